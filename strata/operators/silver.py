@@ -28,15 +28,20 @@ def keep_required(bronze: DataFrame) -> DataFrame:
     return bronze.filter(cond)
 
 
-def standardize(df: DataFrame) -> DataFrame:
-    """Trim / lower-case text, fall back through three date sources, round and cast numbers."""
-    out = {c: F.trim(F.col(f"`{c}`")) for c in TRIM_COLUMNS}
-    out.update({c: lower_trim(c) for c in LOWER_TRIM_COLUMNS})
-    out["event_date"] = F.coalesce(
+def resolved_event_date():
+    """Parsed date, else the text cast to DATE, else the day of the event time."""
+    return F.coalesce(
         F.col("event_date_parsed"),
         F.expr("try_cast(event_date AS DATE)"),
         F.to_date(F.col("event_timestamp")),
     )
+
+
+def standardize(df: DataFrame) -> DataFrame:
+    """Trim / lower-case text, fall back through three date sources, round and cast numbers."""
+    out = {c: F.trim(F.col(f"`{c}`")) for c in TRIM_COLUMNS}
+    out.update({c: lower_trim(c) for c in LOWER_TRIM_COLUMNS})
+    out["event_date"] = resolved_event_date()
     out["product_price"] = money_round("product_price")
     out["discount_percent"] = money_round("discount_percent")
     out["sales"] = money_round("sales")

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators import gold, silver
+from strata.operators import gold, payload, quality, report, silver
 from strata.plans import fixtures
 from strata.plans import oracle as O
 
@@ -68,3 +69,329 @@ def q_gold_conversion_metrics(spark, sf_dir):
 @register("session_funnel_flags", O.with_silver(O.session_flags_select()))
 def q_session_funnel_flags(spark, sf_dir):
     return gold.session_flags(silver_of(spark, sf_dir))
+
+
+# ------------------------------------------------------ Silver, step by step
+
+_KEY = '"offset", "partition"'
+
+
+def _bronze(spark, sf_dir):
+    return fixtures.bronze_fixture(spark, sf_dir)
+
+
+@register(
+    "silver_required",
+    O.with_bronze(
+        "SELECT * FROM bronze WHERE event_id IS NOT NULL AND TRIM(event_id) <> '' "
+        "AND user_id IS NOT NULL AND TRIM(user_id) <> '' AND session_id IS NOT NULL AND TRIM(session_id) <> '' "
+        "AND event_type IS NOT NULL AND TRIM(event_type) <> '' AND product_id IS NOT NULL AND TRIM(product_id) <> '' "
+        "AND event_timestamp IS NOT NULL"
+    ),
+)
+def q_silver_required(spark, sf_dir):
+    return silver.keep_required(_bronze(spark, sf_dir))
+
+
+_TEXT_COLS = [
+    "event_id", "user_id", "session_id", "event_type", "timestamp", "device", "traffic_source",
+    "customer_name", "segment", "country", "market", "region", "product_id", "category",
+    "sub_category", "product_name", "ship_mode", "order_priority", "search_query",
+]
+_LOWER = {"event_type", "device", "traffic_source", "ship_mode", "order_priority"}
+
+
+@register(
+    "silver_standardize",
+    O.with_bronze(
+        f"SELECT {_KEY}, "
+        + ", ".join((f'LOWER(TRIM("{c}"))' if c in _LOWER else f'TRIM("{c}")') + f' AS "{c}"' for c in _TEXT_COLS)
+        + " FROM bronze"
+    ),
+)
+def q_silver_standardize(spark, sf_dir):
+    return silver.standardize(_bronze(spark, sf_dir)).select("offset", "partition", *_TEXT_COLS)
+
+
+@register(
+    "silver_event_date",
+    O.with_bronze(
+        f"SELECT {_KEY}, event_date AS event_date_text, event_date_parsed, "
+        "COALESCE(event_date_parsed, TRY_CAST(event_date AS DATE), CAST(event_timestamp AS DATE)) AS event_date_resolved "
+        "FROM bronze"
+    ),
+)
+def q_silver_event_date(spark, sf_dir):
+    return _bronze(spark, sf_dir).select(
+        "offset", "partition", F.col("event_date").alias("event_date_text"), "event_date_parsed",
+        silver.resolved_event_date().alias("event_date_resolved"),
+    )
+
+
+_NUM_SQL = (
+    f"SELECT {_KEY}, {O.round2('product_price')} AS product_price, CAST(quantity AS INTEGER) AS quantity, "
+    f"{O.round2('discount_percent')} AS discount_percent, {O.round2('sales')} AS sales, "
+    "CAST(removed_quantity AS INTEGER) AS removed_quantity FROM bronze"
+)
+_NUM_COLS = ["offset", "partition", "product_price", "quantity", "discount_percent", "sales", "removed_quantity"]
+
+
+@register("silver_numeric", O.with_bronze(_NUM_SQL))
+def q_silver_numeric(spark, sf_dir):
+    return silver.standardize(_bronze(spark, sf_dir)).select(*_NUM_COLS)
+
+
+@register(
+    "silver_clamp",
+    O.with_bronze(
+        f"SELECT {_KEY}, CASE WHEN product_price < 0 THEN NULL ELSE product_price END AS product_price, "
+        "CASE WHEN quantity < 0 THEN 0 ELSE quantity END AS quantity, "
+        "CASE WHEN discount_percent < 0 THEN 0 WHEN discount_percent > 100 THEN 100 ELSE discount_percent END AS discount_percent, "
+        "sales, CASE WHEN removed_quantity < 0 THEN 0 ELSE removed_quantity END AS removed_quantity "
+        f"FROM ({_NUM_SQL}) n"
+    ),
+)
+def q_silver_clamp(spark, sf_dir):
+    return silver.clamp(silver.standardize(_bronze(spark, sf_dir))).select(*_NUM_COLS)
+
+
+@register("silver_dedup", O.with_silver('SELECT event_id, event_timestamp, "offset", "partition" FROM silver'))
+def q_silver_dedup(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    return silver.deduplicate(silver.clamp(silver.standardize(silver.keep_required(b)))).select(
+        "event_id", "event_timestamp", "offset", "partition"
+    )
+
+
+@register("silver_net_quantity", O.with_silver("SELECT event_id, quantity, removed_quantity, net_quantity FROM silver"))
+def q_silver_net_quantity(spark, sf_dir):
+    return silver_of(spark, sf_dir).select("event_id", "quantity", "removed_quantity", "net_quantity")
+
+
+@register(
+    "silver_discount_amount",
+    O.with_silver("SELECT event_id, product_price, quantity, discount_percent, discount_amount FROM silver"),
+)
+def q_silver_discount_amount(spark, sf_dir):
+    return silver_of(spark, sf_dir).select("event_id", "product_price", "quantity", "discount_percent", "discount_amount")
+
+
+# ------------------------------------------------- verification and reports
+
+_G1 = f"({O.DAILY_SALES_SELECT})"
+_G2 = f"({O.PRODUCT_SELECT})"
+_G3 = f"({O.CUSTOMER_SELECT})"
+_G4 = f"({O.conversion_select()})"
+
+
+def _layers(spark, sf_dir):
+    b = _bronze(spark, sf_dir)
+    s = silver.silver_events(b)
+    return b, s
+
+
+@register(
+    "layer_counts",
+    O.with_silver(
+        "SELECT 'bronze' AS layer, COUNT(*) AS total_rows FROM bronze "
+        "UNION ALL SELECT 'silver', COUNT(*) FROM silver "
+        f"UNION ALL SELECT 'gold_daily_sales', COUNT(*) FROM {_G1} g1 "
+        f"UNION ALL SELECT 'gold_product_performance', COUNT(*) FROM {_G2} g2 "
+        f"UNION ALL SELECT 'gold_customer_activity', COUNT(*) FROM {_G3} g3 "
+        f"UNION ALL SELECT 'gold_conversion_metrics', COUNT(*) FROM {_G4} g4"
+    ),
+)
+def q_layer_counts(spark, sf_dir):
+    b, s = _layers(spark, sf_dir)
+    return report.layer_counts(
+        {
+            "bronze": b,
+            "silver": s,
+            "gold_daily_sales": gold.daily_sales(s),
+            "gold_product_performance": gold.product_performance(s),
+            "gold_customer_activity": gold.customer_activity(s),
+            "gold_conversion_metrics": gold.conversion_metrics(s),
+        }
+    )
+
+
+@register(
+    "verify_uniqueness",
+    O.with_silver(
+        "SELECT 'bronze' AS layer, COUNT(*) AS total_rows, COUNT(DISTINCT event_id) AS unique_events FROM bronze "
+        "UNION ALL SELECT 'silver', COUNT(*), COUNT(DISTINCT event_id) FROM silver"
+    ),
+)
+def q_verify_uniqueness(spark, sf_dir):
+    b, s = _layers(spark, sf_dir)
+    return report.uniqueness({"bronze": b, "silver": s})
+
+
+@register(
+    "event_type_counts",
+    O.with_silver(
+        "SELECT 'bronze' AS layer, event_type, COUNT(*) AS event_count FROM bronze GROUP BY event_type "
+        "UNION ALL SELECT 'silver', event_type, COUNT(*) FROM silver GROUP BY event_type"
+    ),
+)
+def q_event_type_counts(spark, sf_dir):
+    b, s = _layers(spark, sf_dir)
+    return (
+        report.event_type_counts(b).select(F.lit("bronze").alias("layer"), "event_type", "event_count")
+        .unionByName(report.event_type_counts(s).select(F.lit("silver").alias("layer"), "event_type", "event_count"))
+    )
+
+
+@register(
+    "top_products",
+    O.with_silver(f"SELECT * FROM {_G2} g2 ORDER BY total_sales DESC, product_id, product_name, category, sub_category LIMIT 10"),
+)
+def q_top_products(spark, sf_dir):
+    return report.top_by_sales(gold.product_performance(silver_of(spark, sf_dir)), gold.PRODUCT_KEY, 10)
+
+
+@register("top_customers", O.with_silver(f"SELECT * FROM {_G3} g3 ORDER BY total_sales DESC, user_id LIMIT 10"))
+def q_top_customers(spark, sf_dir):
+    return report.top_by_sales(gold.customer_activity(silver_of(spark, sf_dir)), ["user_id"], 10)
+
+
+@register("silver_sample", O.with_silver("SELECT * FROM silver ORDER BY event_id LIMIT 5"))
+def q_silver_sample(spark, sf_dir):
+    return report.sample_rows(silver_of(spark, sf_dir), "event_id", 5)
+
+
+_PURCHASE = ", ".join(f"'{t}'" for t in gold.PURCHASE_TYPES)
+
+
+@register(
+    "dash_executive",
+    O.with_silver(
+        "SELECT total_sales, total_customers, total_sessions, total_quantity, purchase_sessions, "
+        f"{O.pct('purchase_sessions', 'total_sessions')} AS conversion_rate_percent FROM ("
+        f"SELECT {O.money_sum('sales')} AS total_sales, COUNT(DISTINCT user_id) AS total_customers, "
+        f"COUNT(DISTINCT session_id) AS total_sessions, {O.int_sum('quantity')} AS total_quantity, "
+        f"COUNT(DISTINCT CASE WHEN event_type IN ({_PURCHASE}) THEN session_id END) AS purchase_sessions "
+        "FROM silver) t"
+    ),
+)
+def q_dash_executive(spark, sf_dir):
+    return report.executive_totals(silver_of(spark, sf_dir))
+
+
+def _roll(c):
+    return f"CAST(SUM(CAST({c} AS DECIMAL(28,2))) AS DOUBLE)"
+
+
+@register(
+    "dash_category_sales",
+    O.with_silver(
+        "SELECT category, sub_category, COUNT(*) AS products, CAST(SUM(total_events) AS BIGINT) AS total_events, "
+        "CAST(SUM(total_quantity) AS BIGINT) AS total_quantity, CAST(SUM(total_net_quantity) AS BIGINT) AS total_net_quantity, "
+        f"{_roll('total_sales')} AS total_sales, {_roll('total_discount_amount')} AS total_discount_amount "
+        f"FROM {_G2} g2 GROUP BY category, sub_category"
+    ),
+)
+def q_dash_category_sales(spark, sf_dir):
+    return report.category_sales(gold.product_performance(silver_of(spark, sf_dir)))
+
+
+@register(
+    "dash_segment_sales",
+    O.with_silver(
+        "SELECT segment, COUNT(*) AS customers, CAST(SUM(total_events) AS BIGINT) AS total_events, "
+        f"CAST(SUM(total_sessions) AS BIGINT) AS total_sessions, {_roll('total_sales')} AS total_sales "
+        f"FROM {_G3} g3 GROUP BY segment"
+    ),
+)
+def q_dash_segment_sales(spark, sf_dir):
+    return report.segment_sales(gold.customer_activity(silver_of(spark, sf_dir)))
+
+
+@register(
+    "dash_geo_sales",
+    O.with_silver(
+        "SELECT country, market, region, COUNT(*) AS customers, CAST(SUM(total_events) AS BIGINT) AS total_events, "
+        f"{_roll('total_sales')} AS total_sales FROM {_G3} g3 GROUP BY country, market, region"
+    ),
+)
+def q_dash_geo_sales(spark, sf_dir):
+    return report.geo_sales(gold.customer_activity(silver_of(spark, sf_dir)))
+
+
+@register(
+    "dash_funnel",
+    O.with_silver(
+        "SELECT * FROM (SELECT 1 AS stage_order, 'sessions' AS stage, total_sessions AS sessions, CAST(NULL AS DOUBLE) AS rate_percent FROM g4 "
+        "UNION ALL SELECT 2, 'view', view_sessions, view_rate_percent FROM g4 "
+        "UNION ALL SELECT 3, 'add_to_cart', add_to_cart_sessions, add_to_cart_rate_percent FROM g4 "
+        "UNION ALL SELECT 4, 'remove_from_cart', remove_from_cart_sessions, NULL FROM g4 "
+        "UNION ALL SELECT 5, 'purchase', purchase_sessions, cart_to_purchase_rate_percent FROM g4 "
+        "UNION ALL SELECT 6, 'overall', purchase_sessions, overall_conversion_rate_percent FROM g4)"
+    ).replace("\nSELECT * FROM (SELECT 1", f", g4 AS {_G4}\nSELECT * FROM (SELECT 1", 1),
+)
+def q_dash_funnel(spark, sf_dir):
+    return report.funnel_stages(gold.conversion_metrics(silver_of(spark, sf_dir)))
+
+
+@register(
+    "silver_invariants",
+    O.with_silver(
+        "SELECT s.*, b.bronze_rows FROM (SELECT COUNT(*) AS silver_rows, COUNT(DISTINCT event_id) AS distinct_event_ids, "
+        "COUNT(CASE WHEN discount_percent < 0 OR discount_percent > 100 THEN 1 END) AS bad_discount, "
+        "COUNT(CASE WHEN quantity < 0 OR removed_quantity < 0 OR net_quantity < 0 THEN 1 END) AS negative_quantities, "
+        "COUNT(CASE WHEN product_price < 0 THEN 1 END) AS negative_price FROM silver) s, "
+        "(SELECT COUNT(*) AS bronze_rows FROM bronze) b"
+    ),
+)
+def q_silver_invariants(spark, sf_dir):
+    b, s = _layers(spark, sf_dir)
+    return quality.invariants(s, b)
+
+
+@register(
+    "sales_reconcile",
+    O.with_silver(
+        "SELECT COUNT(*) AS rows_total, COUNT(CASE WHEN ok THEN 1 END) AS rows_checked, "
+        "COUNT(CASE WHEN ok AND re = rec THEN 1 END) AS rows_matching, COUNT(CASE WHEN ok AND re <> rec THEN 1 END) AS rows_mismatching, "
+        "CAST(SUM(CASE WHEN ok THEN rec END) AS DOUBLE) AS recorded_sales, CAST(SUM(CASE WHEN ok THEN re END) AS DOUBLE) AS recomputed_sales "
+        "FROM (SELECT product_price IS NOT NULL AND quantity IS NOT NULL AND discount_percent IS NOT NULL AND sales IS NOT NULL AS ok, "
+        "ROUND(CAST(product_price AS DECIMAL(18,2)) * quantity * ((100 - CAST(discount_percent AS DECIMAL(5,2))) * 0.01), 2) AS re, "
+        "CAST(sales AS DECIMAL(18,2)) AS rec FROM silver) t"
+    ),
+)
+def q_sales_reconcile(spark, sf_dir):
+    return quality.sales_check(silver_of(spark, sf_dir))
+
+
+def _market_mapping(spark, sf_dir):
+    """country → market lookup from the test tables (nation → region)."""
+    t = lambda n: fixtures.read_table(spark, sf_dir, n)
+    return t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("country"), F.col("r_name").alias("market")
+    )
+
+
+@register(
+    "market_enrich",
+    O.with_silver(
+        "SELECT s.country, m.r_name AS expected_market, CAST(COUNT(*) AS BIGINT) AS events, "
+        "CAST(SUM(CASE WHEN s.market = m.r_name THEN 1 ELSE 0 END) AS BIGINT) AS consistent_events, "
+        "CAST(SUM(CASE WHEN s.market <> m.r_name THEN 1 ELSE 0 END) AS BIGINT) AS mismatched_events "
+        "FROM silver s LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey) m ON s.country = m.n_name "
+        "GROUP BY s.country, m.r_name"
+    ),
+)
+def q_market_enrich(spark, sf_dir):
+    return quality.market_consistency(silver_of(spark, sf_dir), _market_mapping(spark, sf_dir))
+
+
+@register(
+    "event_payload",
+    "SELECT event_id, event_type, CAST(ts AS TIMESTAMP) AS event_timestamp, "
+    "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
+)
+def q_event_payload(spark, sf_dir):
+    ev = fixtures.read_table(spark, sf_dir, "events")
+    return payload.extract_payload(ev, "props", "k INT").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"), "k"
+    )
