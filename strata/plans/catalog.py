@@ -12,7 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators import bronze as bronze_ops
 from strata.operators import gold, payload, quality, report, silver
+from strata.schema import EVENT_COLUMNS
+from strata.session import scratch_path
+from strata.sources import files, kafka, sinks
 from strata.plans import fixtures
 from strata.plans import oracle as O
 
@@ -395,3 +399,92 @@ def q_event_payload(spark, sf_dir):
     return payload.extract_payload(ev, "props", "k INT").select(
         "event_id", "event_type", F.col("ts").cast("timestamp").alias("event_timestamp"), "k"
     )
+
+
+# ------------------------------------------------------- JSON / Kafka layer
+
+_EVENT_COLS_SQL = ", ".join(f'"{c}"' for c in EVENT_COLUMNS)
+
+
+@register("bronze_parse_json", O.with_bronze("SELECT * REPLACE (user_id AS kafka_key) FROM bronze"))
+def q_bronze_parse_json(spark, sf_dir):
+    return bronze_ops.kafka_to_bronze(fixtures.kafka_fixture(spark, sf_dir))
+
+
+@register(
+    "bronze_typed_time",
+    O.with_bronze('SELECT "offset", "partition", "timestamp", event_date, event_timestamp, event_date_parsed FROM bronze'),
+)
+def q_bronze_typed_time(spark, sf_dir):
+    return bronze_ops.kafka_to_bronze(fixtures.kafka_fixture(spark, sf_dir)).select(
+        "offset", "partition", "timestamp", "event_date", "event_timestamp", "event_date_parsed"
+    )
+
+
+@register(
+    "nan_to_null",
+    O.with_bronze(
+        'SELECT "offset", "partition", CASE WHEN "offset" % 31 = 0 THEN NULL ELSE product_price END AS product_price, '
+        "discount_percent, sales FROM bronze"
+    ),
+)
+def q_nan_to_null(spark, sf_dir):
+    b = bronze_ops.doubles_nan_to_null(bronze_ops.kafka_to_bronze(fixtures.kafka_with_nan(spark, sf_dir)))
+    return b.select("offset", "partition", "product_price", "discount_percent", "sales")
+
+
+@register("scan_jsonl", f"SELECT {_EVENT_COLS_SQL} FROM ({fixtures.event_rows_sql()}) ev")
+def q_scan_jsonl(spark, sf_dir):
+    ev = fixtures.event_rows(spark, sf_dir)
+    path = scratch_path(spark, "events-jsonl")
+    lines = ev.select(fixtures.json_value().alias("value"))
+    blanks = ev.filter(F.col("offset") % 13 == 0).select(F.lit("  ").alias("value"))
+    lines.unionByName(blanks).write.text(path)
+    return files.parse_jsonl(files.scan_jsonl(spark, path))
+
+
+_JSON_FIELD_COUNT = " + ".join(f'CAST("{c}" IS NOT NULL AS INTEGER)' for c in EVENT_COLUMNS)
+
+
+@register(
+    "kafka_encode",
+    "SELECT user_id AS kafka_key, event_id, product_price, quantity, "
+    f"CAST({_JSON_FIELD_COUNT} AS INTEGER) AS json_fields FROM ({fixtures.event_rows_sql()}) ev",
+)
+def q_kafka_encode(spark, sf_dir):
+    rec = kafka.encode_events(fixtures.event_rows(spark, sf_dir))
+    v = F.col("value").cast("string")
+    return rec.select(
+        F.col("key").cast("string").alias("kafka_key"),
+        F.get_json_object(v, "$.event_id").alias("event_id"),
+        F.get_json_object(v, "$.product_price").cast("double").alias("product_price"),
+        F.get_json_object(v, "$.quantity").cast("int").alias("quantity"),
+        F.size(F.json_object_keys(v)).alias("json_fields"),
+    )
+
+
+@register(
+    "topic_peek",
+    'SELECT "partition", "offset", CASE WHEN "offset" % 101 = 0 THEN NULL ELSE event_type END AS event_type, '
+    'CASE WHEN "offset" % 101 = 0 THEN NULL ELSE user_id END AS user_id, "offset" % 101 <> 0 AS is_json '
+    f"FROM ({fixtures.event_rows_sql()}) ev",
+)
+def q_topic_peek(spark, sf_dir):
+    return kafka.peek(fixtures.kafka_with_junk(spark, sf_dir))
+
+
+@register(
+    "validate_records",
+    f"SELECT \"offset\", \"partition\", reason = '' AS is_valid, reason FROM ({fixtures.VALIDATION_EXPECTED_SQL}) v",
+)
+def q_validate_records(spark, sf_dir):
+    return quality.validate(fixtures.validation_lines(spark, sf_dir)).select("offset", "partition", "is_valid", "reason")
+
+
+@register(
+    "reject_summary",
+    "SELECT CASE WHEN reason = '' THEN 'sent' ELSE 'invalid' END AS status, reason, COUNT(*) AS lines "
+    f"FROM ({fixtures.VALIDATION_EXPECTED_SQL}) v GROUP BY 1, 2",
+)
+def q_reject_summary(spark, sf_dir):
+    return quality.reject_summary(quality.validate(fixtures.validation_lines(spark, sf_dir)))

@@ -168,3 +168,57 @@ def bronze_sql() -> str:
         "  TRY_CAST(event_date AS DATE) AS event_date_parsed\n"
         f"FROM ({event_rows_sql()}) ev"
     )
+
+
+# ------------------------------------------------ raw-record fixture variants
+
+
+def json_value(columns: list[str] = EVENT_COLUMNS, keep_nulls: bool = False):
+    opts = {"ignoreNullFields": "false"} if keep_nulls else {}
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), opts)
+
+
+def validation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 at table scale: one raw line per event, with every kind of bad line planted."""
+    off = F.col("offset")
+    no_ids = [c for c in EVENT_COLUMNS if c not in ("event_id", "user_id")]
+    line = (
+        F.when(off % 211 == 0, F.lit(None).cast("string"))
+        .when(off % 83 == 0, F.lit("   "))
+        .when(off % 79 == 0, F.concat(F.lit("{bad "), F.col("session_id")))
+        .when(off % 73 == 0, F.lit("[1]"))
+        .when(off % 71 == 0, json_value(no_ids))
+        .when(off % 2 == 0, json_value(keep_nulls=True))
+        .otherwise(json_value())
+    )
+    return event_rows(spark, sf_dir).select("offset", "partition", line.alias("json_line"))
+
+
+VALIDATION_EXPECTED_SQL = f"""
+SELECT "offset", "partition",
+  CASE WHEN "offset" % 211 = 0 THEN 'Input is not a string'
+       WHEN "offset" % 83 = 0 THEN 'Empty line'
+       WHEN "offset" % 79 = 0 THEN 'Invalid JSON'
+       WHEN "offset" % 73 = 0 THEN 'JSON record is not an object'
+       WHEN "offset" % 71 = 0 THEN 'Missing required fields: event_id, user_id'
+       WHEN event_id IS NULL AND "offset" % 2 = 0 THEN 'Required field ''event_id'' is null'
+       WHEN event_id IS NULL THEN 'Missing required fields: event_id'
+       WHEN TRIM(event_id) = '' THEN 'Required field ''event_id'' is empty'
+       ELSE '' END AS reason
+FROM ({event_rows_sql()}) ev
+"""
+
+
+def kafka_with_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with a non-JSON payload planted in some records."""
+    k = kafka_fixture(spark, sf_dir)
+    return k.withColumn(
+        "value", F.when(F.col("offset") % 101 == 0, F.lit("not json").cast("binary")).otherwise(F.col("value"))
+    )
+
+
+def kafka_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with a bare NaN price planted in some records (accepted by the JSON parser)."""
+    k = kafka_fixture(spark, sf_dir)
+    nan_value = F.regexp_replace(F.col("value").cast("string"), r'"product_price":[-0-9.Ee]+', '"product_price":NaN')
+    return k.withColumn("value", F.when(F.col("offset") % 31 == 0, nan_value.cast("binary")).otherwise(F.col("value")))
