@@ -7,6 +7,7 @@ returns a lazy DataFrame over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 
 from strata.operators import bronze as bronze_ops
 from strata.operators import gold, payload, quality, report, silver
-from strata.schema import EVENT_COLUMNS
+from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA, SILVER_COLUMNS
 from strata.session import scratch_path
 from strata.sources import files, kafka, sinks
+from strata.streaming import jobs
 from strata.plans import fixtures
 from strata.plans import oracle as O
 
@@ -488,3 +490,173 @@ def q_validate_records(spark, sf_dir):
 )
 def q_reject_summary(spark, sf_dir):
     return quality.reject_summary(quality.validate(fixtures.validation_lines(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ storage
+
+
+@register("scan_bronze_parquet", O.with_bronze("SELECT * FROM bronze"))
+def q_scan_bronze_parquet(spark, sf_dir):
+    path = scratch_path(spark, "bronze-parquet")
+    sinks.write_partitioned(_bronze(spark, sf_dir), path, "event_date_parsed")
+    return files.read_bronze_parquet(spark, path)
+
+
+@register(
+    "bronze_null_fill",
+    O.with_bronze(
+        "SELECT * REPLACE ("
+        'CASE WHEN "partition" < 2 THEN NULL ELSE removed_quantity END AS removed_quantity, '
+        'CASE WHEN "partition" < 2 THEN NULL ELSE search_query END AS search_query, '
+        'CASE WHEN "partition" < 2 THEN NULL ELSE event_date_parsed END AS event_date_parsed) FROM bronze'
+    ),
+)
+def q_bronze_null_fill(spark, sf_dir):
+    """Files of an older producer (Kafka partitions 0-1) lack three columns and
+    carry an extra one; reading the directory null-fills and drops them."""
+    b = _bronze(spark, sf_dir)
+    path = scratch_path(spark, "bronze-mixed")
+    old = b.filter(F.col("partition") < 2).drop("removed_quantity", "search_query", "event_date_parsed").withColumn(
+        "legacy_flag", F.lit(True)
+    )
+    old.write.parquet(f"{path}/old")
+    b.filter(F.col("partition") >= 2).write.parquet(f"{path}/new")
+    return files.read_bronze_parquet(spark, [f"{path}/old", f"{path}/new"])
+
+
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+@register("bronze_full_refresh", O.with_bronze("SELECT * FROM bronze"))
+def q_bronze_full_refresh(spark, sf_dir):
+    """Load Bronze twice into one table: the rerun replaces, never duplicates."""
+    b = _bronze(spark, sf_dir)
+    table, base = _table_name("bronze_events"), scratch_path(spark, "tables")
+    sinks.create_table(spark, table, BRONZE_SCHEMA, location=f"{base}/{table}/initial")
+    for _ in range(2):
+        _, loaded = sinks.publish(b, table, base)
+        sinks.assert_reconciled(spark, table, loaded)
+    return spark.table(table)
+
+
+@register(
+    "reconcile_counts",
+    O.with_silver("SELECT COUNT(*) AS loaded_rows, COUNT(*) AS table_rows, true AS matches FROM silver"),
+)
+def q_reconcile_counts(spark, sf_dir):
+    table, base = _table_name("silver_events"), scratch_path(spark, "tables")
+    _, loaded = sinks.publish(silver_of(spark, sf_dir), table, base)
+    return sinks.reconcile(spark, table, loaded)
+
+
+@register("publish_table", O.with_silver(O.DAILY_SALES_SELECT))
+def q_publish_table(spark, sf_dir):
+    table, base = _table_name("gold_daily_sales"), scratch_path(spark, "tables")
+    sinks.publish(gold.daily_sales(silver_of(spark, sf_dir)), table, base)
+    return spark.table(table)
+
+
+@register("parquet_round_trip", O.with_silver(O.CUSTOMER_SELECT))
+def q_parquet_round_trip(spark, sf_dir):
+    return sinks.round_trip(gold.customer_activity(silver_of(spark, sf_dir)), scratch_path(spark, "round-trip"))
+
+
+@register("compact_bronze", O.with_bronze("SELECT * FROM bronze"))
+def q_compact_bronze(spark, sf_dir):
+    """Append Bronze in four loads (one per Kafka partition) into a month-partitioned
+    directory — four files per month — then compact it into one file per month
+    at a new location."""
+    b = sinks.with_month_partition(_bronze(spark, sf_dir))
+    small = scratch_path(spark, "bronze-small")
+    for p in range(4):
+        sinks.write_partitioned(b.filter(F.col("partition") == p), small, "event_month", mode="append")
+    dst = sinks.compact(spark, small, scratch_path(spark, "bronze-compact"), BRONZE_SCHEMA, partition_col="event_month")
+    return files.read_bronze_parquet(spark, dst, nan_to_null=False)
+
+
+# ---------------------------------------------------------------- streaming
+
+
+def _stage_files(df, path: str, n_files: int, *order: str) -> None:
+    """Append `df` to `path` as about n_files range-split Parquet files."""
+    df.repartitionByRange(n_files, *order).write.mode("append").parquet(path)
+
+
+def _kafka_source(spark, sf_dir, path, n_files, cond=None):
+    k = fixtures.kafka_fixture(spark, sf_dir)
+    # Records reach a topic roughly in time order, so files are time ranges.
+    _stage_files(k if cond is None else k.filter(cond), path, n_files, "timestamp", "offset", "partition")
+
+
+_BRONZE_VIA_KAFKA = O.with_bronze("SELECT * REPLACE (user_id AS kafka_key) FROM bronze")
+
+
+def _run(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+@register("stream_bronze_append", _BRONZE_VIA_KAFKA)
+def q_stream_bronze_append(spark, sf_dir):
+    """Kafka-shaped files → rate-limited stream (one file per micro-batch) →
+    parse → day-partitioned Parquet sink; read back in batch."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("kafka-src", "bronze-stream", "ckpt-bronze"))
+    _kafka_source(spark, sf_dir, src, 3)
+    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+    _run(jobs.start_bronze_stream(stream, out, ckpt, available_now=True))
+    return files.read_bronze_parquet(spark, out, nan_to_null=False)
+
+
+@register("stream_restart", _BRONZE_VIA_KAFKA)
+def q_stream_restart(spark, sf_dir):
+    """Run on the first records, stop, let more records arrive, resume from the
+    same checkpoint: every record lands exactly once."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("kafka-src", "bronze-stream", "ckpt-bronze"))
+    for cond in (F.col("partition") < 2, F.col("partition") >= 2):
+        _kafka_source(spark, sf_dir, src, 2, cond)
+        stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+        _run(jobs.start_bronze_stream(stream, out, ckpt, partition_col="event_month", available_now=True))
+    return files.read_bronze_parquet(spark, out, nan_to_null=False)
+
+
+_EVENT_STREAM_COLS = ["event_id", "event_timestamp", "user_id", "event_type", "value", "is_late"]
+
+
+@register(
+    "stream_watermark",
+    "SELECT event_id, CAST(ts AS TIMESTAMP) AS event_timestamp, user_id, event_type, value, false AS is_late FROM events "
+    "UNION ALL SELECT event_id, CAST(ts AS TIMESTAMP) - INTERVAL 1 HOUR, user_id, event_type, value, true FROM events",
+)
+def q_stream_watermark(spark, sf_dir):
+    """Event-time watermark of 10 minutes over five in-order batches, then one
+    batch of rows an hour behind: with no stateful operator after it the
+    watermark drops nothing, so every late row passes."""
+    ev = fixtures.read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("event_timestamp"), "user_id", "event_type", "value"
+    )
+    src, out, ckpt = (scratch_path(spark, n) for n in ("events-src", "events-stream", "ckpt-events"))
+    _stage_files(ev.withColumn("is_late", F.lit(False)), src, 5, "event_id")
+    late = ev.withColumn("event_timestamp", F.col("event_timestamp") - F.expr("INTERVAL 1 HOUR")).withColumn("is_late", F.lit(True))
+    _stage_files(late, src, 1, "event_id")
+    schema = spark.read.parquet(src).schema
+    stream = jobs.with_event_watermark(files.bronze_file_stream(spark, src, schema, max_files_per_trigger=1))
+    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start()
+    _run(q)
+    return spark.read.parquet(out).select(*_EVENT_STREAM_COLS)
+
+
+@register("stream_silver", O.SILVER)
+def q_stream_silver(spark, sf_dir):
+    """Continuous Silver: Bronze arrives in three micro-batches (Kafka partitions
+    0-1, then 2-3, then a replay of 0-1); each batch is merged into the
+    bucketed Silver table. The result equals the batch Silver."""
+    b = _bronze(spark, sf_dir)
+    src, out, ckpt = (scratch_path(spark, n) for n in ("bronze-src", "silver-stream", "ckpt-silver"))
+    _stage_files(b.filter(F.col("partition") < 2), src, 1, "offset")
+    _stage_files(b.filter(F.col("partition") >= 2), src, 1, "offset")
+    _stage_files(b.filter(F.col("partition") < 2), src, 1, "offset")
+    stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=1)
+    _run(jobs.start_silver_stream(stream, out, ckpt, n_buckets=16, available_now=True))
+    return spark.read.parquet(out).select(*SILVER_COLUMNS)

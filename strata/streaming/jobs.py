@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators import silver as S
 from strata.operators.bronze import kafka_to_bronze
+from strata.sources.sinks import with_month_partition
 
 
 def with_trigger(writer, processing_time: str | None = None, available_now: bool = False):
@@ -39,13 +40,17 @@ def start_bronze_stream(
 ) -> StreamingQuery:
     """Parse every micro-batch and append it to Parquet.
 
+    `partition_col` is the reference's daily layout by default; "event_month"
+    selects the coarser monthly layout for high date cardinality.
     One checkpoint per query: the offset log and the sink's commit log make
     the output exactly-once across restarts (a batch planned but not committed
     is replayed, and the sink ignores a repeat of a committed batch).
     """
+    bronze = kafka_to_bronze(kafka_df)
+    if partition_col == "event_month":
+        bronze = with_month_partition(bronze)
     w = (
-        kafka_to_bronze(kafka_df)
-        .writeStream.format("parquet")
+        bronze.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
