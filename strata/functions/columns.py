@@ -62,17 +62,33 @@ def to_money(c: Column | str) -> Column:
     return _c(c).cast(MONEY)
 
 
+def to_cents(c: Column | str) -> Column:
+    """A 2-decimal DOUBLE amount as exact integer cents (NULL → 0)."""
+    return F.coalesce(F.round(_c(c).cast("double") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def _cent() -> Column:
+    return F.lit(0.01).cast(DecimalType(3, 2))
+
+
 def money_sum(c: Column | str) -> Column:
-    """SUM(COALESCE(x, 0)) in DECIMAL, returned as DOUBLE."""
-    return F.sum(F.coalesce(to_money(c), F.lit(0).cast(MONEY))).cast("double")
+    """SUM(COALESCE(x, 0)), exact, returned as DOUBLE.
+
+    Summed as integer cents: a long aggregation buffer stays on the fast
+    fixed-width path (a wide DECIMAL buffer would do BigDecimal arithmetic per
+    row), is exact whatever the row order, and ANSI mode raises on overflow
+    instead of wrapping. The one decimal step happens once per group.
+    """
+    return (F.sum(to_cents(c)).cast(DecimalType(38, 0)) * _cent()).cast("double")
 
 
 def money_avg(c: Column | str) -> Column:
-    """AVG(COALESCE(x, 0)) in DECIMAL (exact, HALF_UP at 6 places), as DOUBLE.
+    """AVG(COALESCE(x, 0)) rounded HALF_UP to 6 places, exact, as DOUBLE.
 
     NULLs count as 0, so the mean is over every row of the group.
     """
-    return F.avg(F.coalesce(to_money(c), F.lit(0).cast(MONEY))).cast("double")
+    total = F.sum(to_cents(c)).cast(DecimalType(38, 0)) * _cent()
+    return (total / F.count(F.lit(1)).cast(DecimalType(20, 0))).cast("double")
 
 
 def pct(n: Column | str, d: Column | str) -> Column:

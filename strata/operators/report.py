@@ -10,13 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-from strata.functions import pct
+from strata.functions import money_sum, pct
 from strata.operators.gold import PURCHASE_TYPES
 
-ROLLUP_MONEY = DecimalType(28, 2)
-
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """A3: COUNT(*) per named layer/table → (layer, total_rows)."""
@@ -64,7 +61,7 @@ def executive_totals(silver: DataFrame, purchase_types=PURCHASE_TYPES) -> DataFr
     """Headline numbers in one aggregation over Silver."""
     purchase_session = F.when(F.col("event_type").isin(*purchase_types), F.col("session_id"))
     agg = silver.agg(
-        F.sum(F.coalesce(F.col("sales").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)"))).cast("double").alias("total_sales"),
+        money_sum("sales").alias("total_sales"),
         F.countDistinct("user_id").alias("total_customers"),
         F.countDistinct("session_id").alias("total_sessions"),
         F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("bigint").alias("total_quantity"),
@@ -81,7 +78,7 @@ def executive_totals(silver: DataFrame, purchase_types=PURCHASE_TYPES) -> DataFr
 
 
 def _rollup_money(c: str) -> Column:
-    return F.sum(F.col(c).cast(ROLLUP_MONEY)).cast("double")
+    return money_sum(c)
 
 
 def category_sales(products: DataFrame) -> DataFrame:

@@ -13,6 +13,11 @@ part on partkey. nation/region are fixed-size by the TPC-H specification (25 and
 5 rows) and are broadcast; customer and part grow with the scale factor and are
 left to the planner (AQE broadcasts them only when their measured size is under
 `spark.sql.autoBroadcastJoinThreshold`, otherwise sort-merge on the key).
+lineitem ⋈ orders is pinned to a sort-merge join on orderkey: both sides grow
+with the data, so that is the plan at any real scale, and it keeps the fact
+table the streamed, key-partitioned side. Left to size estimates, a small
+lineitem is broadcast instead and every later operator runs in as many tasks
+as the other side has input splits (one, for a one-row-group file).
 """
 
 from __future__ import annotations
@@ -89,8 +94,11 @@ def joined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
         F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority").join(
-        cust, F.col("o_custkey") == F.col("c_custkey")
+    orders = (
+        t("orders")
+        .select("o_orderkey", "o_custkey", "o_orderpriority")
+        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        .hint("merge")
     )
     part = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     return (
