@@ -135,3 +135,43 @@ def start_silver_stream(bronze_stream: DataFrame, silver_path: str, checkpoint:
         "checkpointLocation", checkpoint
     )
     return with_trigger(w, processing_time, available_now).start()
+
+
+# ------------------------------------------------------------------ CLI
+
+
+def main(argv: list[str] | None = None) -> None:
+    """python -m strata.streaming.jobs {bronze,console} --bootstrap HOST:PORT --checkpoint DIR [--path DIR]
+
+    bronze:  Kafka → Bronze Parquet, 10 s trigger, 10,000 offsets per batch.
+    console: Kafka → parsed rows with a 10-minute watermark → console, 5 s trigger.
+    Both stop cleanly on Ctrl-C. Requires the Kafka connector on the classpath.
+    """
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    from strata.operators.bronze import add_event_times, decode_kafka, parse_events
+    from strata.sources import kafka
+
+    ap = argparse.ArgumentParser(description="Structured Streaming jobs")
+    ap.add_argument("job", choices=["bronze", "console"])
+    ap.add_argument("--bootstrap", required=True)
+    ap.add_argument("--topic", default=kafka.DEFAULT_TOPIC)
+    ap.add_argument("--checkpoint", required=True, help="one checkpoint folder per query")
+    ap.add_argument("--path", help="Bronze output folder (bronze job)")
+    ap.add_argument("--partition-col", default="event_date_parsed", choices=["event_date_parsed", "event_month"])
+    a = ap.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    if a.job == "bronze":
+        src = kafka.read_kafka_stream(spark, kafka.kafka_options(a.bootstrap, a.topic))
+        query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col)
+    else:
+        src = kafka.read_kafka_stream(spark, kafka.kafka_options(a.bootstrap, a.topic, max_offsets_per_trigger=None))
+        parsed = add_event_times(parse_events(decode_kafka(src)))
+        query = start_console_stream(with_event_watermark(parsed), a.checkpoint)
+    run_until_stopped(query)
+
+
+if __name__ == "__main__":
+    main()
