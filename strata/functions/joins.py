@@ -1,0 +1,15 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a lookup side only after checking it holds at most `max_rows`
+    rows. The check is a bounded scan (it stops after max_rows + 1 rows);
+    beyond the bound the side is returned unchanged and the planner picks a
+    shuffle join."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
