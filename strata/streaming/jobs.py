@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -118,8 +119,8 @@ def silver_upsert_batch(bronze_batch: DataFrame, silver_path: str, n_buckets: in
         touched = cand.select(BUCKET_COL).distinct()
         stored = stored.join(touched, BUCKET_COL, "left_semi")
         merged = cand.unionByName(stored.select(*cand.columns))
-    except Exception as exc:  # first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+    except AnalysisException as exc:  # first batch: no table yet
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         merged = cand
     # Cut the lineage that reads the table being overwritten.
@@ -151,7 +152,7 @@ def main(argv: list[str] | None = None) -> None:
 
     from pyspark.sql import SparkSession
 
-    from strata.operators.bronze import add_event_times, decode_kafka, parse_events
+    from strata.operators.bronze import to_console_rows
     from strata.sources import kafka
 
     ap = argparse.ArgumentParser(description="Structured Streaming jobs")
@@ -168,8 +169,7 @@ def main(argv: list[str] | None = None) -> None:
         query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col)
     else:
         src = kafka.read_kafka_stream(spark, kafka.kafka_options(a.bootstrap, a.topic, max_offsets_per_trigger=None))
-        parsed = add_event_times(parse_events(decode_kafka(src)))
-        query = start_console_stream(with_event_watermark(parsed), a.checkpoint)
+        query = start_console_stream(with_event_watermark(to_console_rows(src)), a.checkpoint)
     run_until_stopped(query)
 
 

@@ -48,3 +48,16 @@ def test_publish_replaces(spark):
     sinks.publish(spark.range(5), "strata_t_replace", base)
     _, n = sinks.publish(spark.range(7), "strata_t_replace", base)
     assert n == 7 and spark.table("strata_t_replace").count() == 7
+
+
+def test_console_row_shape(spark):
+    from strata.operators.bronze import to_console_rows
+    from strata.schema import EVENT_COLUMNS
+
+    rec = spark.createDataFrame(
+        [(b"u", b'{"event_id":"e","timestamp":"2024-02-14T15:50:34","page":"home"}', "t", 0, 5, None, 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
+    )
+    out = to_console_rows(rec)
+    assert out.columns == EVENT_COLUMNS + ["topic", "partition", "offset", "kafka_timestamp", "event_timestamp"]
+    assert out.first().event_timestamp is not None
