@@ -10,9 +10,9 @@ oracle builds the very same input rows.
 Join plan: the dimension chain orders ⋈ customer ⋈ nation ⋈ region is joined
 first (orders is a quarter of lineitem), then lineitem joins it on orderkey and
 part on partkey. nation/region are fixed-size by the TPC-H specification (25 and
-5 rows) and are broadcast behind a row-count check; customer and part grow with the scale factor and are
-left to the planner (AQE broadcasts them only when their measured size is under
-`spark.sql.autoBroadcastJoinThreshold`, otherwise sort-merge on the key).
+5 rows); they, customer and part are left to the planner, which broadcasts a
+side only when its measured size is under `spark.sql.autoBroadcastJoinThreshold`
+(checked again at run time by AQE) and otherwise sort-merges on the key.
 lineitem ⋈ orders is pinned to a sort-merge join on orderkey: both sides grow
 with the data, so that is the plan at any real scale, and it keeps the fact
 table the streamed, key-partitioned side. Left to size estimates, a small
@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.joins import broadcast_if_bounded
 from strata.operators.bronze import add_event_times
 from strata.schema import BRONZE_COLUMNS, BRONZE_SCHEMA, EVENT_COLUMNS
 
@@ -76,9 +75,6 @@ F1_COLUMNS: list[tuple[str, str]] = [
     ("search_query", "case when mod(l_linenumber + l_partkey, 7) = 2 then concat(' ', p_name) end"),
 ]
 
-# Broadcast bound for the geography dimensions (25 nations / 5 regions by spec).
-DIMENSION_MAX_ROWS = 10_000
-
 LINEITEM_COLS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
     "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -93,11 +89,10 @@ def joined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star join feeding the fixture, pruned to the columns it uses."""
     t = lambda name: read_table(spark, sf_dir, name)
     geo = t("nation").select("n_nationkey", "n_name", "n_regionkey").join(
-        broadcast_if_bounded(t("region").select("r_regionkey", "r_name"), DIMENSION_MAX_ROWS),
-        F.col("n_regionkey") == F.col("r_regionkey"),
+        t("region").select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     cust = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
-        broadcast_if_bounded(geo, DIMENSION_MAX_ROWS), F.col("c_nationkey") == F.col("n_nationkey")
+        geo, F.col("c_nationkey") == F.col("n_nationkey")
     )
     orders = (
         t("orders")
