@@ -107,8 +107,13 @@ def with_bronze(select: str) -> str:
     return f"WITH bronze AS (\n{bronze_sql()}\n)\n{select}"
 
 
+def silver_over(bronze_select: str, select: str) -> str:
+    """`select` over the Silver rules applied to any Bronze-shaped SELECT."""
+    return f"WITH bronze AS (\n{bronze_select}\n),\nsilver AS ({_expand_round2(SILVER_SELECT)})\n{select}"
+
+
 def with_silver(select: str) -> str:
-    return f"WITH bronze AS (\n{bronze_sql()}\n),\nsilver AS ({_expand_round2(SILVER_SELECT)})\n{select}"
+    return silver_over(bronze_sql(), select)
 
 
 SILVER = with_silver("SELECT * FROM silver")

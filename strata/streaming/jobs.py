@@ -12,13 +12,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from strata.operators import silver as S
 from strata.operators.bronze import kafka_to_bronze
+from strata.schema import SILVER_SCHEMA
 from strata.sources.sinks import with_month_partition
 
 
@@ -96,6 +97,7 @@ def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) ->
 # ------------------------------------------------------- continuous Silver
 
 BUCKET_COL = "_bucket"
+SILVER_BUCKETED = StructType(SILVER_SCHEMA.fields + [StructField(BUCKET_COL, IntegerType())])
 
 
 def event_bucket(n_buckets: int):
@@ -114,15 +116,9 @@ def silver_upsert_batch(bronze_batch: DataFrame, silver_path: str, n_buckets: in
     spark = bronze_batch.sparkSession
     cand = S.clamp(S.standardize(S.keep_required(bronze_batch))).withColumn(BUCKET_COL, event_bucket(n_buckets))
     cand = cand.select(*[c for c in cand.columns if c not in ("net_quantity", "discount_amount")])
-    try:
-        stored = spark.read.parquet(silver_path).drop("net_quantity", "discount_amount")
-        touched = cand.select(BUCKET_COL).distinct()
-        stored = stored.join(touched, BUCKET_COL, "left_semi")
-        merged = cand.unionByName(stored.select(*cand.columns))
-    except AnalysisException as exc:  # first batch: no table yet
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        merged = cand
+    stored = spark.read.schema(SILVER_BUCKETED).parquet(silver_path).drop("net_quantity", "discount_amount")
+    touched = cand.select(BUCKET_COL).distinct()
+    merged = cand.unionByName(stored.join(touched, BUCKET_COL, "left_semi").select(*cand.columns))
     # Cut the lineage that reads the table being overwritten.
     merged = merged.checkpoint(eager=True)
     out = S.derive(S.deduplicate(merged))
@@ -132,6 +128,9 @@ def silver_upsert_batch(bronze_batch: DataFrame, silver_path: str, n_buckets: in
 def start_silver_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str, n_buckets: int = 64,
                         processing_time: str | None = None, available_now: bool = False) -> StreamingQuery:
     """Continuous Silver over a Bronze stream."""
+    # An empty table to merge into (left as is when it already exists).
+    spark = bronze_stream.sparkSession
+    spark.createDataFrame([], SILVER_BUCKETED).write.mode("ignore").partitionBy(BUCKET_COL).parquet(silver_path)
     w = bronze_stream.writeStream.foreachBatch(lambda batch, _id: silver_upsert_batch(batch, silver_path, n_buckets)).option(
         "checkpointLocation", checkpoint
     )
