@@ -77,6 +77,11 @@ def executive_totals(silver: DataFrame, purchase_types=PURCHASE_TYPES) -> DataFr
     )
 
 
+def daily_trend(daily: DataFrame) -> DataFrame:
+    """The daily sales table read in date order (for a trend chart)."""
+    return daily.select("event_date", "total_sales", "total_events", "unique_customers", "total_net_quantity").orderBy("event_date")
+
+
 def _rollup_money(c: str) -> Column:
     return money_sum(c)
 

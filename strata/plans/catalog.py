@@ -284,6 +284,14 @@ def q_dash_executive(spark, sf_dir):
     return report.executive_totals(silver_of(spark, sf_dir))
 
 
+@register(
+    "dash_daily_trend",
+    O.with_silver(f"SELECT event_date, total_sales, total_events, unique_customers, total_net_quantity FROM {_G1} g1 ORDER BY event_date"),
+)
+def q_dash_daily_trend(spark, sf_dir):
+    return report.daily_trend(gold.daily_sales(silver_of(spark, sf_dir)))
+
+
 def _roll(c):
     return f"CAST(SUM(CAST({c} AS DECIMAL(28,2))) AS DOUBLE)"
 
