@@ -668,3 +668,28 @@ def q_stream_silver(spark, sf_dir):
     stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=1)
     _run(jobs.start_silver_stream(stream, out, ckpt, n_buckets=16, available_now=True))
     return spark.read.parquet(out).select(*SILVER_COLUMNS)
+
+
+_EVENTS_BRONZE_COLS = ["partition", "offset"] + [n for n, _ in fixtures.F7_COLUMNS] + ["event_timestamp", "event_date_parsed"]
+
+
+def stage_events_topic(spark, sf_dir, batches: int = 10) -> str:
+    """The events as a topic: `batches` offset-range files, one per micro-batch."""
+    src = scratch_path(spark, "events-kafka")
+    _stage_files(fixtures.events_kafka(spark, sf_dir), src, batches, "offset")
+    return src
+
+
+def stream_topic_to_bronze(spark, src: str) -> str:
+    """Rate-limited micro-batches (one file each) into day-partitioned Bronze."""
+    out, ckpt = scratch_path(spark, "events-bronze"), scratch_path(spark, "ckpt-events-bronze")
+    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+    _run(jobs.start_bronze_stream(stream, out, ckpt, available_now=True))
+    return out
+
+
+@register("stream_events_bronze", f"SELECT * FROM ({fixtures.events_bronze_sql()}) e")
+def q_stream_events_bronze(spark, sf_dir):
+    """100,000 events at sf0.1 in 10 micro-batches of 10,000 (the reference's example volume)."""
+    out = stream_topic_to_bronze(spark, stage_events_topic(spark, sf_dir))
+    return files.read_bronze_parquet(spark, out, nan_to_null=False).select(*_EVENTS_BRONZE_COLS)

@@ -230,3 +230,49 @@ def kafka_with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = kafka_fixture(spark, sf_dir)
     nan_value = F.regexp_replace(F.col("value").cast("string"), r'"product_price":[-0-9.Ee]+', '"product_price":NaN')
     return k.withColumn("value", F.when(F.col("offset") % 31 == 0, nan_value.cast("binary")).otherwise(F.col("value")))
+
+
+# --------------------------------------------------- F7: the events stream
+
+# (column, SQL over `events`), valid in Spark and DuckDB: one shop event per
+# row of the driver's `events` table.
+F7_COLUMNS: list[tuple[str, str]] = [
+    ("event_id", "cast(event_id as string)"),
+    ("user_id", "concat('user_', lpad(cast(user_id as string), 6, '0'))"),
+    ("session_id", "concat('s-', cast(user_id as string), '-', cast(cast(ts as date) as string))"),
+    ("event_type", "event_type"),
+    ("event_date", "cast(cast(ts as date) as string)"),
+    ("product_id", "concat('P-', json_extract_string_k)"),
+    ("product_price", "value"),
+    ("quantity", "cast(1 + event_id % 5 as int)"),
+    ("sales", "value"),
+]
+
+
+def events_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped records of the events table: key = user_id, offset =
+    event_id, Kafka partition = user_id mod 4, value = compact JSON with the
+    ISO event time."""
+    ev = read_table(spark, sf_dir, "events").withColumn("json_extract_string_k", F.get_json_object("props", "$.k"))
+    fields = [F.expr(expr).alias(name) for name, expr in F7_COLUMNS]
+    iso_ts = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return ev.select(
+        F.expr("concat('user_', lpad(cast(user_id as string), 6, '0'))").cast("binary").alias("key"),
+        F.to_json(F.struct(*fields, iso_ts.alias("timestamp"))).cast("binary").alias("value"),
+        F.lit("ecommerce-events").alias("topic"),
+        (F.col("user_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def events_bronze_sql() -> str:
+    """DuckDB rows the Bronze stream must produce from `events_kafka` (typed
+    columns only)."""
+    k = "json_extract_string(props, '$.k')"
+    cols = ",\n  ".join(f"{expr.replace('json_extract_string_k', k)} AS {name}" for name, expr in F7_COLUMNS)
+    return (
+        f"SELECT CAST(user_id % 4 AS INTEGER) AS \"partition\", event_id AS \"offset\",\n  {cols},\n"
+        "  CAST(ts AS TIMESTAMP) AS event_timestamp, CAST(ts AS DATE) AS event_date_parsed\nFROM events"
+    )
