@@ -1,29 +1,25 @@
 """Column-expression helpers shared by the layers (all JVM-side, no UDFs)."""
 
 from strata.functions.columns import (
-    is_blank,
     lower_trim,
     money_round,
     money_sum,
     money_avg,
+    to_cents,
     nan_to_null,
     not_blank,
     pct,
-    sql_trim,
     strip_ws,
-    to_money,
 )
 
 __all__ = [
-    "is_blank",
     "lower_trim",
     "money_round",
     "money_sum",
     "money_avg",
+    "to_cents",
     "nan_to_null",
     "not_blank",
     "pct",
-    "sql_trim",
     "strip_ws",
-    "to_money",
 ]

@@ -10,22 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Money is stored as DOUBLE (as in the reference tables) but summed and
-# averaged in DECIMAL so totals do not depend on the order rows arrive in.
-MONEY = DecimalType(18, 2)
-# Wide enough for a clamped discount multiplied through quantity and price.
-MONEY_WIDE = DecimalType(38, 2)
+# Money is stored as DOUBLE (as in the reference tables) but summed as exact
+# integer cents, so totals do not depend on the order rows arrive in.
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sql_trim(c: Column | str) -> Column:
-    """SQL TRIM: strips the space character only (not tabs or newlines)."""
-    return F.trim(_c(c))
-
-
 def lower_trim(c: Column | str) -> Column:
     return F.lower(F.trim(_c(c)))
 
@@ -35,12 +27,6 @@ def strip_ws(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
 
 
-def is_blank(c: Column | str) -> Column:
-    """NULL or empty after SQL TRIM."""
-    c = _c(c)
-    return c.isNull() | (F.trim(c) == F.lit(""))
-
-
 def not_blank(c: Column | str) -> Column:
     c = _c(c)
     return c.isNotNull() & (F.trim(c) != F.lit(""))
@@ -57,11 +43,6 @@ def money_round(c: Column | str) -> Column:
     return F.round(_c(c).cast("double"), 2)
 
 
-def to_money(c: Column | str) -> Column:
-    """Exact decimal form of a 2-decimal DOUBLE amount."""
-    return _c(c).cast(MONEY)
-
-
 def to_cents(c: Column | str) -> Column:
     """A 2-decimal DOUBLE amount as exact integer cents (NULL → 0)."""
     return F.coalesce(F.round(_c(c).cast("double") * 100).cast("bigint"), F.lit(0).cast("bigint"))

@@ -22,10 +22,6 @@ def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str =
     spark.sql(create_table_sql(name, schema, fmt, location))
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "event_date_parsed", mode: str = "overwrite",
                       max_records_per_file: int | None = None) -> None:
     """Partitioned Parquet write that avoids both small files and skew.

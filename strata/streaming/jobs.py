@@ -110,8 +110,10 @@ def silver_upsert_batch(bronze_batch: DataFrame, silver_path: str, n_buckets: in
     Candidates of the batch (filtered, standardised, clamped) are unioned with
     the stored Silver rows of the touched buckets, reduced to one row per
     event_id with the same ordering as the batch Silver, re-derived and written
-    back with dynamic partition overwrite (only touched buckets change). A
-    replayed batch yields the same result, so the sink is idempotent.
+    back with dynamic partition overwrite (only touched buckets change). The
+    semi-join on the bucket column lets dynamic partition pruning read only
+    the touched bucket folders of the stored table. A replayed batch yields
+    the same result, so the sink is idempotent.
     """
     spark = bronze_batch.sparkSession
     cand = S.clamp(S.standardize(S.keep_required(bronze_batch))).withColumn(BUCKET_COL, event_bucket(n_buckets))

@@ -104,3 +104,22 @@ def test_kafka_options():
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "ecommerce-events",
                  "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10000"}
     assert "maxOffsetsPerTrigger" not in kafka.kafka_options("b", max_offsets_per_trigger=None)
+
+
+def test_wide_payload_fields(spark):
+    from strata.operators import payload
+
+    df = spark.createDataFrame(
+        [('{"event_id":"e","page":"home","duration_seconds":12.5,"order_id":"o-1","cart_quantity":3}',)], "raw string"
+    )
+    r = payload.extract_payload(df, "raw").first()
+    assert (r.page, r.duration_seconds, r.order_id, r.cart_quantity, r.failure_reason) == ("home", 12.5, "o-1", 3, None)
+    wide = df.select(F.from_json("raw", payload.WIDE_EVENT_SCHEMA).alias("e")).select("e.*").first()
+    assert (wide.event_id, wide.page) == ("e", "home")
+
+
+def test_enrich_market_fills_missing(spark):
+    ev = spark.createDataFrame([("Canada", None), ("India", "APAC"), ("Mars", None)], "country string, market string")
+    lookup = spark.createDataFrame([("Canada", "Canada"), ("India", "APAC")], "country string, market string")
+    out = {r.country: r.market for r in quality.enrich_market(ev, lookup).collect()}
+    assert out == {"Canada": "Canada", "India": "APAC", "Mars": None}
