@@ -41,6 +41,12 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_events(fixtures.bronze_fixture(spark, sf_dir))
 
 
+def silver_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once to the shared folder, for plans with several Silver
+    branches (customer activity aggregates text and numbers separately)."""
+    return sinks.stage(silver_of(spark, sf_dir), scratch_path(spark, "stage-silver"))
+
+
 # ------------------------------------------------------------------ Silver
 
 
@@ -64,7 +70,7 @@ def q_gold_product_performance(spark, sf_dir):
 
 @register("gold_customer_activity", O.with_silver(O.CUSTOMER_SELECT))
 def q_gold_customer_activity(spark, sf_dir):
-    return gold.customer_activity(silver_of(spark, sf_dir))
+    return gold.customer_activity(silver_stored(spark, sf_dir))
 
 
 @register("gold_conversion_metrics", O.with_silver(O.conversion_select()))
@@ -191,8 +197,9 @@ _G4 = f"({O.conversion_select()})"
 
 
 def _layers(spark, sf_dir):
-    b = _bronze(spark, sf_dir)
-    s = silver.silver_events(b)
+    """Bronze and Silver computed once and stored, for queries that fan out."""
+    b = sinks.stage(_bronze(spark, sf_dir), scratch_path(spark, "stage-bronze"))
+    s = sinks.stage(silver.silver_events(b), scratch_path(spark, "stage-silver"))
     return b, s
 
 
@@ -258,7 +265,7 @@ def q_top_products(spark, sf_dir):
 
 @register("top_customers", O.with_silver(f"SELECT * FROM {_G3} g3 ORDER BY total_sales DESC, user_id LIMIT 10"))
 def q_top_customers(spark, sf_dir):
-    return report.top_by_sales(gold.customer_activity(silver_of(spark, sf_dir)), ["user_id"], 10)
+    return report.top_by_sales(gold.customer_activity(silver_stored(spark, sf_dir)), ["user_id"], 10)
 
 
 @register("silver_sample", O.with_silver("SELECT * FROM silver ORDER BY event_id LIMIT 5"))
@@ -318,7 +325,7 @@ def q_dash_category_sales(spark, sf_dir):
     ),
 )
 def q_dash_segment_sales(spark, sf_dir):
-    return report.segment_sales(gold.customer_activity(silver_of(spark, sf_dir)))
+    return report.segment_sales(gold.customer_activity(silver_stored(spark, sf_dir)))
 
 
 @register(
@@ -329,7 +336,7 @@ def q_dash_segment_sales(spark, sf_dir):
     ),
 )
 def q_dash_geo_sales(spark, sf_dir):
-    return report.geo_sales(gold.customer_activity(silver_of(spark, sf_dir)))
+    return report.geo_sales(gold.customer_activity(silver_stored(spark, sf_dir)))
 
 
 @register(
@@ -567,7 +574,7 @@ def q_publish_table(spark, sf_dir):
 
 @register("parquet_round_trip", O.with_silver(O.CUSTOMER_SELECT))
 def q_parquet_round_trip(spark, sf_dir):
-    return sinks.round_trip(gold.customer_activity(silver_of(spark, sf_dir)), scratch_path(spark, "round-trip"))
+    return sinks.round_trip(gold.customer_activity(silver_stored(spark, sf_dir)), scratch_path(spark, "round-trip"))
 
 
 @register("compact_bronze", O.with_bronze("SELECT * FROM bronze"))

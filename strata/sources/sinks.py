@@ -101,6 +101,18 @@ def compact(spark: SparkSession, src: str, dst: str, schema: StructType, partiti
     return dst
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` once to the shared folder and read it back.
+
+    For plans that fan one layer out into several branches: every branch
+    reads the stored columns it needs instead of recomputing the layer (exchange
+    reuse cannot help, since each branch prunes different columns), and the
+    stored copy cuts the lineage, so a lost executor never replays the layer.
+    """
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def round_trip(df: DataFrame, path: str) -> DataFrame:
     """Overwrite Parquet at any Hadoop path (file:, s3a:, …) and read it back."""
     df.write.mode("overwrite").parquet(path)
