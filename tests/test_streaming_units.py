@@ -100,3 +100,29 @@ def test_uncommitted_batch_is_replayed_exactly_once(spark, sf_small):
     sent = k.select("offset", "partition", F.col("timestamp").alias("kafka_timestamp"))
     assert back.count() == sent.count()
     assert back.exceptAll(sent).count() == 0 and sent.exceptAll(back).count() == 0
+
+
+def test_watermark_progression(spark, sf_small):
+    """Watermark starts at 0 and then trails the maximum event time seen by
+    10 minutes; with no stateful operator nothing is dropped."""
+    import datetime as dt
+    import time
+
+    from strata.plans.fixtures import read_table
+
+    ev = read_table(spark, sf_small, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
+    src = scratch_path(spark, "t-wm-src")
+    cut = ev.approxQuantile("event_id", [0.5], 0.0)[0]
+    for cond in (F.col("event_id") < cut, F.col("event_id") >= cut):
+        ev.filter(cond).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    q = jobs.start_console_stream(jobs.with_event_watermark(stream), scratch_path(spark, "t-wm-ckpt"), fmt="memory",
+                                  query_name="strata_wm", available_now=True)
+    q.awaitTermination()
+    marks = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
+    assert marks[0] == "1970-01-01T00:00:00.000Z"
+    first_max = ev.filter(F.col("event_id") < cut).agg(F.max("event_timestamp")).first()[0]
+    expected = (first_max - dt.timedelta(minutes=10)).strftime("%Y-%m-%dT%H:%M:%S")
+    assert marks[1].startswith(expected)
+    assert spark.table("strata_wm").count() == ev.count()
