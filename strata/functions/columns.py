@@ -44,8 +44,11 @@ def money_round(c: Column | str) -> Column:
 
 
 def to_cents(c: Column | str) -> Column:
-    """A 2-decimal DOUBLE amount as exact integer cents (NULL → 0)."""
-    return F.coalesce(F.round(_c(c).cast("double") * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    """A 2-decimal DOUBLE amount as exact integer cents (NULL, NaN, ±Inf → 0;
+    a finite value beyond the bigint range raises under ANSI mode)."""
+    x = _c(c).cast("double")
+    finite = F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
+    return F.coalesce(F.round(finite * 100).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _cent() -> Column:

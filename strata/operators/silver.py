@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from strata.functions import lower_trim, money_round, not_blank
+from strata.functions import lower_trim, money_round, nan_to_null, not_blank
 from strata.schema import LOWER_TRIM_COLUMNS, SILVER_COLUMNS, SILVER_REQUIRED, TRIM_COLUMNS
 
 
@@ -42,9 +42,10 @@ def standardize(df: DataFrame) -> DataFrame:
     out = {c: F.trim(F.col(f"`{c}`")) for c in TRIM_COLUMNS}
     out.update({c: lower_trim(c) for c in LOWER_TRIM_COLUMNS})
     out["event_date"] = resolved_event_date()
-    out["product_price"] = money_round("product_price")
-    out["discount_percent"] = money_round("discount_percent")
-    out["sales"] = money_round("sales")
+    # NaN → NULL here too (idempotent): Silver may be built straight from a
+    # parsed stream, and a NaN amount would otherwise survive the clamps.
+    for c in ("product_price", "discount_percent", "sales"):
+        out[c] = money_round(nan_to_null(F.col(c).cast("double")))
     out["quantity"] = F.col("quantity").cast("int")
     out["removed_quantity"] = F.col("removed_quantity").cast("int")
     return df.withColumns(out).drop("event_date_parsed")

@@ -166,3 +166,12 @@ def test_gold_totals_add_up(spark, sf_small):
     sums = [one(fn(s).agg(F.sum("total_events"))).__getitem__(0) for fn in (gold.daily_sales, gold.product_performance, gold.customer_activity)]
     s.unpersist()
     assert sums == [n, n, n]
+
+
+def test_nan_amounts_do_not_break_silver_or_gold(spark):
+    df = silver.silver_events(bronze_rows(spark, [
+        {"event_id": "a", "product_price": float("nan"), "quantity": 2, "discount_percent": float("nan"), "sales": float("nan")},
+        {"event_id": "b", "sales": 3.0}]))
+    a = {r.event_id: r for r in df.collect()}["a"]
+    assert (a.product_price, a.discount_percent, a.sales, a.discount_amount) == (None, None, None, 0.0)
+    assert one(gold.daily_sales(df)).total_sales == 3.0
