@@ -3,10 +3,10 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default:
 all cores), BENCH_REPS (default 3; median after one warm-up).
 
-Layered timings follow how the pipeline runs in production: the Bronze rows
+Layered timings follow how the layers run in production: the Bronze rows
 are stored once (setup, not timed), `silver_events` is timed from the Bronze
 Parquet, Silver is stored, and each Gold table is timed over the stored
-Silver. `pipeline_bronze_to_gold` runs the whole batch job with its
+Silver. `batch_job_bronze_to_gold` runs the whole batch job with its
 writes (Bronze table, Silver, four Gold tables, guards and reconciliation).
 `stream_bronze_10_batches` streams the 100,000-row events table in ten
 micro-batches into Bronze. The `e2e_*` entries time registered driver queries end to end from the
@@ -26,7 +26,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata.operators import gold, silver  # noqa: E402
-from strata.plans import catalog, pipeline  # noqa: E402
+from strata.plans import batch_job, catalog  # noqa: E402
 from strata.plans.fixtures import bronze_fixture  # noqa: E402
 from strata.session import build_session  # noqa: E402
 from strata.sources import files  # noqa: E402
@@ -82,10 +82,10 @@ def main() -> None:
     pipe_times = []
     for i in range(REPS + 1):
         t0 = time.perf_counter()
-        pipeline.run(spark, bronze_path, warehouse)
+        batch_job.run(spark, bronze_path, warehouse)
         if i:
             pipe_times.append(time.perf_counter() - t0)
-    results["pipeline_bronze_to_gold"] = statistics.median(pipe_times)
+    results["batch_job_bronze_to_gold"] = statistics.median(pipe_times)
 
     # The reference's example run: the events table (100,000 rows at sf0.1) as
     # a topic, consumed in 10 micro-batches into day-partitioned Bronze.

@@ -1 +1 @@
-"""Test-table fixtures, the end-to-end pipeline and the SQL oracle."""
+"""Test-table fixtures, the batch and producer jobs, the query catalog and the SQL oracle."""

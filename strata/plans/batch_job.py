@@ -6,7 +6,7 @@ computed once and the four Gold aggregations each scan only the Silver columns
 they need. Runtime guards: non-empty inputs, loaded rows = table rows, and
 Silver ≤ Bronze.
 
-    python -m strata.plans.pipeline --bronze-path DIR --warehouse DIR
+    python -m strata.plans.batch_job --bronze-path DIR --warehouse DIR
 """
 
 from __future__ import annotations

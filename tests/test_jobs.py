@@ -1,10 +1,10 @@
-"""End-to-end jobs: producer (JSONL → validated records) and the batch pipeline."""
+"""End-to-end jobs: producer (JSONL → validated records) and the batch job."""
 
 import json
 
 from pyspark.sql import functions as F
 
-from strata.plans import fixtures, pipeline, produce
+from strata.plans import batch_job, fixtures, produce
 from strata.session import scratch_path
 from strata.sources import sinks
 
@@ -23,12 +23,12 @@ def test_producer_counts(spark, sf_small):
     assert json.loads(bytes(rec.value))["user_id"] == bytes(rec.key).decode()
 
 
-def test_pipeline_run(spark, sf_small):
+def test_batch_job_run(spark, sf_small):
     bronze_dir = scratch_path(spark, "test-bronze-dir")
     sinks.write_partitioned(sinks.with_month_partition(fixtures.bronze_fixture(spark, sf_small)), bronze_dir, "event_month")
-    counts = pipeline.run(spark, bronze_dir, scratch_path(spark, "test-warehouse"))
+    counts = batch_job.run(spark, bronze_dir, scratch_path(spark, "test-warehouse"))
     assert counts["bronze"] == 6000 and counts["silver"] == 4460
     assert counts["gold_daily_sales"] == 2068 and counts["gold_conversion_metrics"] == 1
     # rerun replaces, never duplicates
-    again = pipeline.run(spark, bronze_dir, scratch_path(spark, "test-warehouse"))
+    again = batch_job.run(spark, bronze_dir, scratch_path(spark, "test-warehouse"))
     assert again == counts and spark.table("silver_events").count() == 4460
