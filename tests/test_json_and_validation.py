@@ -68,6 +68,9 @@ REQ = '"event_id":"e","user_id":"u","session_id":"s","event_type":"view","timest
         ("{" + REQ.replace('"user_id":"u"', '"user_id":"\\t"') + "}", False, "Required field 'user_id' is empty"),
         ("{" + REQ.replace('"user_id":"u"', '"user_id":0') + "}", True, ""),
         ("{" + REQ + ',"extra":1,"page":"home"}', True, ""),
+        ("{" + REQ + "}  \t", True, ""),
+        ("{" + REQ + "} trailing", False, "Invalid JSON"),
+        ("{" + REQ + ',"price":NaN}', True, ""),
     ],
 )
 def test_validation_vectors(spark, line, valid, reason):
