@@ -6,7 +6,7 @@ computed once and the four Gold aggregations each scan only the Silver columns
 they need. Runtime guards: non-empty inputs, loaded rows = table rows, and
 Silver ≤ Bronze.
 
-    python -m strata.plans.batch_job --bronze-path DIR --warehouse DIR
+    python -m strata.plans.batch_job --bronze-path DIR --warehouse DIR [--verify]
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators import gold, silver
+from strata.operators import gold, report, silver
 from strata.sources import files, sinks
 
 DEFAULT_NAMES = {
@@ -73,13 +73,33 @@ def run(spark: SparkSession, bronze_path: str, warehouse: str) -> dict[str, int]
     return counts
 
 
+def verify(spark: SparkSession, names: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The verification reports over the published tables: rows per table,
+    rows vs distinct event ids per layer, events per type, and a sample."""
+    n = {**DEFAULT_NAMES, **(names or {})}
+    bronze, silver_t = spark.table(n["bronze"]), spark.table(n["silver"])
+    return {
+        "layer_counts": report.layer_counts({key: spark.table(name) for key, name in n.items()}),
+        "uniqueness": report.uniqueness({"bronze": bronze, "silver": silver_t}),
+        "bronze_event_types": report.event_type_counts(bronze),
+        "silver_event_types": report.event_type_counts(silver_t),
+        "silver_sample": report.sample_rows(silver_t),
+    }
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--bronze-path", required=True)
-    ap.add_argument("--warehouse", required=True, help="shared folder for table versions")
+    ap.add_argument("--bronze-path")
+    ap.add_argument("--warehouse", help="shared folder for table versions")
+    ap.add_argument("--verify", action="store_true", help="print the verification reports of the tables")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run(spark, args.bronze_path, args.warehouse)))
+    if args.bronze_path:
+        print(json.dumps(run(spark, args.bronze_path, args.warehouse)))
+    if args.verify:
+        for name, df in verify(spark).items():
+            print(name)
+            df.show(50, truncate=False)
 
 
 if __name__ == "__main__":

@@ -32,3 +32,9 @@ def test_batch_job_run(spark, sf_small):
     # rerun replaces, never duplicates
     again = batch_job.run(spark, bronze_dir, scratch_path(spark, "test-warehouse"))
     assert again == counts and spark.table("silver_events").count() == 4460
+    reports = batch_job.verify(spark)
+    layers = {r.layer: r.total_rows for r in reports["layer_counts"].collect()}
+    assert layers["bronze"] == 6000 and layers["silver"] == 4460 and layers["gold_daily_sales"] == 2068
+    uniq = {r.layer: (r.total_rows, r.unique_events) for r in reports["uniqueness"].collect()}
+    assert uniq["silver"] == (4460, 4460)
+    assert reports["silver_sample"].count() == 5
