@@ -128,7 +128,7 @@ def kafka_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_rows(spark, sf_dir)
     return ev.select(
         F.col("user_id").cast("binary").alias("key"),
-        F.to_json(F.struct(*EVENT_COLUMNS)).cast("binary").alias("value"),
+        json_value().cast("binary").alias("value"),
         "topic",
         "partition",
         "offset",

@@ -14,13 +14,19 @@ def test_producer_counts(spark, sf_small):
     ev = fixtures.event_rows(spark, sf_small)
     ev.select(fixtures.json_value().alias("value")).unionByName(
         spark.createDataFrame([("{bad",), ("   ",), ("[1]",)], "value string")
+    ).unionByName(
+        spark.createDataFrame([('{"event_id":"x1","user_id":"u9","session_id":"s","event_type":"view",'
+                                '"timestamp":"t","product_id":"p","page":"home"}',)], "value string")
     ).write.text(src)
     out = scratch_path(spark, "test-produce")
     counts = produce.run(spark, src, out)
     expected_invalid = ev.filter(F.col("event_id").isNull() | (F.trim("event_id") == "")).count() + 2
-    assert counts == {"sent": ev.count() - expected_invalid + 2, "invalid": expected_invalid}
-    rec = spark.read.parquet(f"{out}/records").first()
+    assert counts == {"sent": ev.count() - expected_invalid + 2 + 1, "invalid": expected_invalid}
+    recs = spark.read.parquet(f"{out}/records")
+    rec = recs.first()
     assert json.loads(bytes(rec.value))["user_id"] == bytes(rec.key).decode()
+    extra = recs.filter(F.col("key") == F.lit(b"u9")).first()
+    assert json.loads(bytes(extra.value))["page"] == "home"  # event-specific keys travel on
 
 
 def test_batch_job_run(spark, sf_small):
