@@ -47,6 +47,10 @@ def test_every_query_has_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
+DUCK_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+             "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(queries()))
 def test_query_matches_oracle(spark, con, sf_small, key):
     df = queries()[key](spark, sf_small)
@@ -54,4 +58,6 @@ def test_query_matches_oracle(spark, con, sf_small, key):
     rel = con.sql(oracle_sql()[key])
     d_cols, d_rows = canon(rel.columns, rel.fetchall())
     assert s_cols == d_cols
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, map(str, rel.types)))
     assert s_rows == d_rows
