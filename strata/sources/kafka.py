@@ -7,6 +7,7 @@ driver feed Kafka-shaped DataFrames (or a file stream) into the same code.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
@@ -35,13 +36,36 @@ def kafka_options(
     return opts
 
 
+class KafkaConnectorMissing(RuntimeError):
+    """The Kafka data source is not on the classpath."""
+
+
+def _is_missing_kafka(exc: AnalysisException) -> bool:
+    msg = str(exc).lower()
+    return "kafka" in msg and (
+        "failed to find data source" in msg or "DATA_SOURCE_NOT_FOUND" in (exc.getCondition() or "")
+    )
+
+
+def _connector_hint(spark: SparkSession) -> str:
+    return (
+        "the Kafka connector is not on the classpath; start Spark with "
+        f"--packages org.apache.spark:spark-sql-kafka-0-10_2.13:{spark.version}"
+    )
+
+
 def kafka_stream_reader(spark: SparkSession, options: dict[str, str]) -> DataStreamReader:
     return spark.readStream.format("kafka").options(**options)
 
 
 def read_kafka_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Streaming DataFrame with the Kafka source schema (requires the connector)."""
-    return kafka_stream_reader(spark, options).load()
+    try:
+        return kafka_stream_reader(spark, options).load()
+    except AnalysisException as exc:
+        if _is_missing_kafka(exc):
+            raise KafkaConnectorMissing(_connector_hint(spark)) from exc
+        raise
 
 
 def encode_events(events: DataFrame, key_column: str = "user_id", columns: list[str] = EVENT_COLUMNS) -> DataFrame:
@@ -55,7 +79,12 @@ def encode_events(events: DataFrame, key_column: str = "user_id", columns: list[
 
 def write_kafka(records: DataFrame, bootstrap_servers: str, topic: str = DEFAULT_TOPIC) -> None:
     """Batch write of encoded records (requires the connector)."""
-    records.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save()
+    try:
+        records.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save()
+    except AnalysisException as exc:
+        if _is_missing_kafka(exc):
+            raise KafkaConnectorMissing(_connector_hint(records.sparkSession)) from exc
+        raise
 
 
 def peek(records: DataFrame) -> DataFrame:

@@ -126,3 +126,13 @@ def test_enrich_market_fills_missing(spark):
     lookup = spark.createDataFrame([("Canada", "Canada"), ("India", "APAC")], "country string, market string")
     out = {r.country: r.market for r in quality.enrich_market(ev, lookup).collect()}
     assert out == {"Canada": "Canada", "India": "APAC", "Mars": None}
+
+
+def test_missing_kafka_connector_is_reported(spark):
+    import pytest
+
+    with pytest.raises(kafka.KafkaConnectorMissing, match="spark-sql-kafka"):
+        kafka.read_kafka_stream(spark, kafka.kafka_options("localhost:9092"))
+    rec = kafka.encode_events(spark.createDataFrame([("e", "u")], "event_id string, user_id string"), columns=["event_id"])
+    with pytest.raises(kafka.KafkaConnectorMissing):
+        kafka.write_kafka(rec, "localhost:9092")
