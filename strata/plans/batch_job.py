@@ -29,7 +29,8 @@ DEFAULT_NAMES = {
 
 def load_bronze(spark: SparkSession, bronze_path: str, warehouse: str, table: str = DEFAULT_NAMES["bronze"]) -> int:
     """Bronze Parquet directory → Bronze table (full refresh, reconciled)."""
-    df = files.read_bronze_parquet(spark, bronze_path)
+    df = files.read_bronze_parquet(spark, bronze_path)  # a missing directory raises
+    sinks.assert_not_empty(df, f"Bronze directory {bronze_path}")
     _, loaded = sinks.publish(df, table, warehouse)
     sinks.assert_reconciled(spark, table, loaded)
     return loaded

@@ -31,3 +31,18 @@ def test_compaction_reduces_files_and_keeps_rows(spark, sf_small):
     got = files.read_bronze_parquet(spark, dst, nan_to_null=False)
     assert got.count() == b.count()
     assert got.exceptAll(b.drop("event_month")).count() == 0
+
+
+def test_bronze_directory_missing_or_empty(spark):
+    import pytest
+
+    from pyspark.errors import AnalysisException
+
+    from strata.plans import batch_job
+
+    with pytest.raises(AnalysisException):
+        files.read_bronze_parquet(spark, scratch_path(spark, "t-missing")).count()
+    empty = scratch_path(spark, "t-empty")
+    spark.createDataFrame([], BRONZE_SCHEMA).write.parquet(empty)
+    with pytest.raises(RuntimeError, match="is empty"):
+        batch_job.load_bronze(spark, empty, scratch_path(spark, "t-wh"))
