@@ -63,51 +63,63 @@ def main() -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-bench-ckpt-"))
     root = spark.sparkContext.getCheckpointDir().rstrip("/")
     bronze_path, silver_path = f"{root}/bench-bronze", f"{root}/bench-silver"
+    results: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+
+    def record(name: str, measure) -> None:
+        """One entry; a failure is recorded, never aborts the bench."""
+        try:
+            results[name] = measure()
+        except Exception as exc:  # noqa: BLE001
+            results[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+
+    def repeated(action) -> float:
+        times = []
+        for i in range(REPS + 1):
+            t0 = time.perf_counter()
+            action()
+            if i:
+                times.append(time.perf_counter() - t0)
+        return statistics.median(times)
 
     # A Bronze directory is many files (one per micro-batch task and day);
     # store the fixture as several files so the Silver scan is parallel.
     bronze_fixture(spark, SF_DIR).repartition(2 * CPUS).write.mode("overwrite").parquet(bronze_path)
-    results: dict[str, float] = {}
-    results["silver_events"] = timed(lambda: silver.silver_events(files.read_bronze_parquet(spark, bronze_path, nan_to_null=False)))
+    record("silver_events", lambda: timed(lambda: silver.silver_events(files.read_bronze_parquet(spark, bronze_path, nan_to_null=False))))
     silver.silver_events(files.read_bronze_parquet(spark, bronze_path, nan_to_null=False)).write.mode("overwrite").parquet(silver_path)
     stored = lambda: spark.read.parquet(silver_path)
     for key, fn in gold.GOLD_TABLES.items():
-        results[key] = timed(lambda fn=fn: fn(stored()))
+        record(key, lambda fn=fn: timed(lambda: fn(stored())))
     for key in E2E:
-        results[f"e2e_{key}"] = timed(lambda key=key: catalog.QUERIES[key](spark, SF_DIR))
+        record(f"e2e_{key}", lambda key=key: timed(lambda: catalog.QUERIES[key](spark, SF_DIR)))
 
     # The whole batch job: Bronze directory → Bronze table → Silver → 4 Gold
     # tables, each published (written) and read back by the next layer.
     warehouse = f"{root}/bench-warehouse"
-    pipe_times = []
-    for i in range(REPS + 1):
-        t0 = time.perf_counter()
-        batch_job.run(spark, bronze_path, warehouse)
-        if i:
-            pipe_times.append(time.perf_counter() - t0)
-    results["batch_job_bronze_to_gold"] = statistics.median(pipe_times)
+    record("batch_job_bronze_to_gold", lambda: repeated(lambda: batch_job.run(spark, bronze_path, warehouse)))
 
     # The reference's example run: the events table (100,000 rows at sf0.1) as
     # a topic, consumed in 10 micro-batches into day-partitioned Bronze.
-    topic = catalog.stage_events_topic(spark, SF_DIR)
-    stream_times = []
-    for i in range(REPS + 1):
-        t0 = time.perf_counter()
-        catalog.stream_topic_to_bronze(spark, topic)
-        if i:
-            stream_times.append(time.perf_counter() - t0)
-    results["stream_bronze_10_batches"] = statistics.median(stream_times)
+    def stream_runs() -> float:
+        topic = catalog.stage_events_topic(spark, SF_DIR)
+        return repeated(lambda: catalog.stream_topic_to_bronze(spark, topic))
+
+    record("stream_bronze_10_batches", stream_runs)
 
-    total = sum(results.values())
-    print(json.dumps({
+    total = sum(v for v in results.values() if v is not None)
+    line = {
         "metric": "sum of median query times",
         "value": round(total, 3),
         "unit": "sec",
-        "queries": {k: round(v, 3) for k, v in results.items()},
+        "queries": {k: (round(v, 3) if v is not None else None) for k, v in results.items()},
         "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
         "cpus": CPUS,
         "reps": REPS,
-    }))
+    }
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
     spark.stop()
 
 
