@@ -58,20 +58,40 @@ PRODUCT_KEY = ["product_id", "product_name", "category", "sub_category"]
 
 
 def product_performance(silver: DataFrame) -> DataFrame:
-    """One row per (product_id, product_name, category, sub_category)."""
-    return (
-        silver.filter(F.col("product_id").isNotNull())
-        .groupBy(*PRODUCT_KEY)
-        .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            F.countDistinct("user_id").alias("unique_customers"),
-            F.countDistinct("session_id").alias("unique_sessions"),
-            *_quantity_sums(),
-            money_sum("sales").alias("total_sales"),
-            money_sum("discount_amount").alias("total_discount_amount"),
-            money_avg("product_price").alias("average_product_price"),
-            money_avg("discount_percent").alias("average_discount_percent"),
-        )
+    """One row per (product_id, product_name, category, sub_category).
+
+    Planned as two aggregations joined on the group key: the regular sums and
+    means shuffle only one partial row per key and task, and the two distinct
+    counts run their Expand over narrow rows, without the regular aggregates'
+    buffers riding along. The four-column key travels as one struct (struct
+    equality treats NULL fields as equal, like GROUP BY), so both sides are
+    partitioned alike and the join adds no shuffle.
+    """
+    keyed = silver.filter(F.col("product_id").isNotNull()).withColumn("_key", F.struct(*PRODUCT_KEY))
+    regular = keyed.groupBy("_key").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        *_quantity_sums(),
+        money_sum("sales").alias("total_sales"),
+        money_sum("discount_amount").alias("total_discount_amount"),
+        money_avg("product_price").alias("average_product_price"),
+        money_avg("discount_percent").alias("average_discount_percent"),
+    )
+    distinct = keyed.groupBy("_key").agg(
+        F.countDistinct("user_id").alias("unique_customers"),
+        F.countDistinct("session_id").alias("unique_sessions"),
+    )
+    return regular.join(distinct, "_key").select(
+        *[F.col(f"_key.{k}").alias(k) for k in PRODUCT_KEY],
+        "total_events",
+        "unique_customers",
+        "unique_sessions",
+        "total_quantity",
+        "total_removed_quantity",
+        "total_net_quantity",
+        "total_sales",
+        "total_discount_amount",
+        "average_product_price",
+        "average_discount_percent",
     )
 
 

@@ -43,7 +43,8 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver written once to the shared folder, for plans with several Silver
-    branches (customer activity aggregates text and numbers separately)."""
+    branches (product performance and customer activity each run two
+    aggregations over it)."""
     return sinks.stage(silver_of(spark, sf_dir), scratch_path(spark, "stage-silver"))
 
 
@@ -65,7 +66,7 @@ def q_gold_daily_sales(spark, sf_dir):
 
 @register("gold_product_performance", O.with_silver(O.PRODUCT_SELECT))
 def q_gold_product_performance(spark, sf_dir):
-    return gold.product_performance(silver_of(spark, sf_dir))
+    return gold.product_performance(silver_stored(spark, sf_dir))
 
 
 @register("gold_customer_activity", O.with_silver(O.CUSTOMER_SELECT))
@@ -260,7 +261,7 @@ def q_event_type_counts(spark, sf_dir):
     O.with_silver(f"SELECT * FROM {_G2} g2 ORDER BY total_sales DESC, product_id, product_name, category, sub_category LIMIT 10"),
 )
 def q_top_products(spark, sf_dir):
-    return report.top_by_sales(gold.product_performance(silver_of(spark, sf_dir)), gold.PRODUCT_KEY, 10)
+    return report.top_by_sales(gold.product_performance(silver_stored(spark, sf_dir)), gold.PRODUCT_KEY, 10)
 
 
 @register("top_customers", O.with_silver(f"SELECT * FROM {_G3} g3 ORDER BY total_sales DESC, user_id LIMIT 10"))
@@ -313,7 +314,7 @@ def _roll(c):
     ),
 )
 def q_dash_category_sales(spark, sf_dir):
-    return report.category_sales(gold.product_performance(silver_of(spark, sf_dir)))
+    return report.category_sales(gold.product_performance(silver_stored(spark, sf_dir)))
 
 
 @register(

@@ -175,3 +175,12 @@ def test_nan_amounts_do_not_break_silver_or_gold(spark):
     a = {r.event_id: r for r in df.collect()}["a"]
     assert (a.product_price, a.discount_percent, a.sales, a.discount_amount) == (None, None, None, 0.0)
     assert one(gold.daily_sales(df)).total_sales == 3.0
+
+
+def test_product_key_with_null_parts(spark):
+    df = silver.silver_events(bronze_rows(spark, [
+        {"event_id": "a", "product_id": "p1", "category": None, "user_id": "u1"},
+        {"event_id": "b", "product_id": "p1", "category": None, "user_id": "u2"},
+        {"event_id": "c", "product_id": "p1", "category": "X", "user_id": "u1"}]))
+    got = {r.category: (r.total_events, r.unique_customers) for r in gold.product_performance(df).collect()}
+    assert got == {None: (2, 2), "X": (1, 1)}

@@ -55,6 +55,7 @@ def test_no_python_udf_in_any_plan(spark, sf_small):
 def test_fan_out_queries_read_stored_layers(spark, sf_small):
     """Queries that branch one layer into several aggregations read it from
     storage; the star join is not recomputed per branch."""
-    for key in ("layer_counts", "verify_uniqueness", "event_type_counts", "silver_invariants", "gold_customer_activity"):
+    for key in ("layer_counts", "verify_uniqueness", "event_type_counts", "silver_invariants", "gold_customer_activity",
+                "gold_product_performance", "top_products", "dash_category_sales"):
         p = plan(catalog.QUERIES[key](spark, sf_small))
         assert "lineitem.parquet" not in p, key
