@@ -27,6 +27,8 @@ NOTES = {
     "before the Exchange; the keep-rule's IsNotNull filters are pushed into the scan.",
     "gold_daily_sales": "Expand for the three COUNT(DISTINCT); map-side partial aggregation on (date, value, gid), "
     "then on date; money sums in bigint cents.",
+    "gold_product_performance": "Regular sums/means and the two distinct counts as separate aggregations on the "
+    "four-column key carried as one struct; both sides hash-partitioned on it, so the join adds no shuffle.",
     "gold_customer_activity": "Hash-aggregated numeric side (with Expand) and a narrow sort-aggregated text side, "
     "joined 1:1 on user_id.",
     "gold_conversion_metrics": "Session flags (partial + final hash aggregate), then one global row per task into a "
@@ -70,6 +72,7 @@ def main() -> None:
     queries = {
         "silver_events": lambda: silver.silver_events(files.read_bronze_parquet(spark, bronze_path, nan_to_null=False)),
         "gold_daily_sales": lambda: gold.daily_sales(spark.read.parquet(silver_path)),
+        "gold_product_performance": lambda: gold.product_performance(spark.read.parquet(silver_path)),
         "gold_customer_activity": lambda: gold.customer_activity(spark.read.parquet(silver_path)),
         "gold_conversion_metrics": lambda: gold.conversion_metrics(spark.read.parquet(silver_path)),
         "e2e_gold_daily_sales": lambda: catalog.QUERIES["gold_daily_sales"](spark, sf),
