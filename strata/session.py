@@ -7,7 +7,7 @@ test or the bench passes; a cluster supplies its own.
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,14 +39,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`); set one only when unset."""
+    """The cluster's shared folder (`spark.checkpoint.dir`).
+
+    Unset on a cluster it is an error: a folder of one machine would lose the
+    other executors' part files. A local master has one machine only and gets a
+    folder beside its warehouse.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        conf_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
