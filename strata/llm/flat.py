@@ -88,12 +88,17 @@ def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.searchsorted(start, off)
 
 
+def hash_runs(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every run [start, end) of uint64 values, by its content alone."""
+    up, down = _POWERS.upto(len(values))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def segment_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of every byte segment [start, end); `lower` folds A-Z to a-z."""
-    up, down = _POWERS.upto(len(raw))
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[raw] * up[: len(raw)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    return hash_runs((_BYTE_LOWER if lower else _BYTE)[raw], start, end)
 
 
 def windows(word_hash: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
