@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language_id, line_crf, ngram_join, piece_bpe
+from strata.llm import language_id, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe
 from strata.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,15 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     coded = piece_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), packed=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+                                   (F.col("size") * F.col("mix_copies")).alias("taken"))
+
+
+@query
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace_pii(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
