@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import language_id, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe
+from strata.llm import chat_collapse, language_id, license_scan, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe
 from strata.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_surrogates.replace_pii(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_collapse.collapse(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op2_license_scan"] = license_scan.oracle()
+ORACLE["op6_chat_collapse"] = chat_collapse.ORACLE
