@@ -278,8 +278,8 @@ def _table(model) -> PieceTable:
 
 
 def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                  begin: bool = True, end: bool = True, packed: bool = False) -> DataFrame:
-    """One row per row of `docs`: id, `n_tokens`, `ids` (array of int, or with
+                  begin: bool = True, end: bool = True, packed: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """One row per row of `docs`: id, the columns in `keep`, `n_tokens`, `ids` (array of int, or with
     `packed` little-endian unsigned 32-bit integers in one binary) and `decoded`
     (the text that decoding the ids gives).
 
@@ -292,15 +292,15 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     spark = docs.sparkSession
     with open(model_path, "rb") as f:
         model = spark.sparkContext.broadcast(f.read())
-    src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
-    kind = src.schema[0].dataType.simpleString()
-    schema = StructType.fromDDL(f"id {kind}, n_tokens bigint, ids {'binary' if packed else 'array<int>'}, decoded string")
+    passed = docs.select(id_col, *(keep or []))
+    src = docs.select(*passed.columns, F.col(text_col).cast("string").alias("__text"))
+    schema = StructType(passed.schema.fields + StructType.fromDDL(f"n_tokens bigint, ids {'binary' if packed else 'array<int>'}, decoded string").fields)
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         table = _table(model)
         for rb in batches:
-            for first, raw, off in flat.text_chunks(rb.column(1), CHUNK_BYTES):
+            for first, raw, off in flat.text_chunks(rb.column(rb.num_columns - 1), CHUNK_BYTES):
                 ids, ids_off = encode_chunk(table, raw, off)
                 n = len(off) - 1
                 at = ids_off + np.arange(n + 1) * (int(begin) + int(end))
@@ -319,6 +319,6 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 else:
                     col = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(whole.astype(np.int32))).cast(arrow.field("ids").type)
                 yield pa.RecordBatch.from_arrays(
-                    [rb.column(0).slice(first, n), pa.array(np.diff(at)), col, pa.array(decode_chunk(table, whole, at), pa.string())], schema=arrow)
+                    [*(c.slice(first, n) for c in rb.columns[:-1]), pa.array(np.diff(at)), col, pa.array(decode_chunk(table, whole, at), pa.string())], schema=arrow)
 
-    return src.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return src.mapInArrow(run, schema)

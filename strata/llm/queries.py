@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_collapse, language_id, license_scan, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe
+from strata.llm import chat_collapse, language_id, license_scan, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe, vptree, warc
 from strata.llm.shipping import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,18 @@ def op6_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op2_license_scan"] = license_scan.oracle()
 ORACLE["op6_chat_collapse"] = chat_collapse.ORACLE
+
+
+@query
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"), with_html=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op5_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+ORACLE["op4_warc_round_trip"] = warc.ORACLE
+ORACLE["op5_vantage_point_search"] = vptree.oracle()
