@@ -95,12 +95,7 @@ def _bronze(spark, sf_dir):
 
 @register(
     "silver_required",
-    O.with_bronze(
-        "SELECT * FROM bronze WHERE event_id IS NOT NULL AND TRIM(event_id) <> '' "
-        "AND user_id IS NOT NULL AND TRIM(user_id) <> '' AND session_id IS NOT NULL AND TRIM(session_id) <> '' "
-        "AND event_type IS NOT NULL AND TRIM(event_type) <> '' AND product_id IS NOT NULL AND TRIM(product_id) <> '' "
-        "AND event_timestamp IS NOT NULL"
-    ),
+    O.with_bronze(f"SELECT * FROM bronze WHERE {O.keep_rule()}"),
 )
 def q_silver_required(spark, sf_dir):
     return silver.keep_required(_bronze(spark, sf_dir))
@@ -111,14 +106,13 @@ _TEXT_COLS = [
     "customer_name", "segment", "country", "market", "region", "product_id", "category",
     "sub_category", "product_name", "ship_mode", "order_priority", "search_query",
 ]
-_LOWER = {"event_type", "device", "traffic_source", "ship_mode", "order_priority"}
 
 
 @register(
     "silver_standardize",
     O.with_bronze(
         f"SELECT {_KEY}, "
-        + ", ".join((f'LOWER(TRIM("{c}"))' if c in _LOWER else f'TRIM("{c}")') + f' AS "{c}"' for c in _TEXT_COLS)
+        + ", ".join(f'{O.standard_columns()[c]} AS "{c}"' for c in _TEXT_COLS)
         + " FROM bronze"
     ),
 )
@@ -130,8 +124,7 @@ def q_silver_standardize(spark, sf_dir):
     "silver_event_date",
     O.with_bronze(
         f"SELECT {_KEY}, event_date AS event_date_text, event_date_parsed, "
-        "COALESCE(event_date_parsed, TRY_CAST(event_date AS DATE), CAST(event_timestamp AS DATE)) AS event_date_resolved "
-        "FROM bronze"
+        f"{O.RESOLVED_DATE} AS event_date_resolved FROM bronze"
     ),
 )
 def q_silver_event_date(spark, sf_dir):
@@ -141,11 +134,8 @@ def q_silver_event_date(spark, sf_dir):
     )
 
 
-_NUM_SQL = (
-    f"SELECT {_KEY}, {O.round2('product_price')} AS product_price, CAST(quantity AS INTEGER) AS quantity, "
-    f"{O.round2('discount_percent')} AS discount_percent, {O.round2('sales')} AS sales, "
-    "CAST(removed_quantity AS INTEGER) AS removed_quantity FROM bronze"
-)
+_NUM_SQL = "SELECT " + ", ".join([_KEY, *(f"{O.standard_columns()[c]} AS {c}" for c in (
+    "product_price", "quantity", "discount_percent", "sales", "removed_quantity"))]) + " FROM bronze"
 _NUM_COLS = ["offset", "partition", "product_price", "quantity", "discount_percent", "sales", "removed_quantity"]
 
 
@@ -157,11 +147,9 @@ def q_silver_numeric(spark, sf_dir):
 @register(
     "silver_clamp",
     O.with_bronze(
-        f"SELECT {_KEY}, CASE WHEN product_price < 0 THEN NULL ELSE product_price END AS product_price, "
-        "CASE WHEN quantity < 0 THEN 0 ELSE quantity END AS quantity, "
-        "CASE WHEN discount_percent < 0 THEN 0 WHEN discount_percent > 100 THEN 100 ELSE discount_percent END AS discount_percent, "
-        "sales, CASE WHEN removed_quantity < 0 THEN 0 ELSE removed_quantity END AS removed_quantity "
-        f"FROM ({_NUM_SQL}) n"
+        f"SELECT {_KEY}, sales, "
+        + ", ".join(f"{x} AS {c}" for c, x in O.clamped_columns({c: c for c in _NUM_COLS}).items())
+        + f" FROM ({_NUM_SQL}) n"
     ),
 )
 def q_silver_clamp(spark, sf_dir):
