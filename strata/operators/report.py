@@ -45,11 +45,27 @@ def event_type_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def top_by_sales(gold_df: DataFrame, key: list[str], n: int = 10) -> DataFrame:
-    """O2: the n rows with the highest total_sales (ties by key) — a top-k
-    report, planned as TakeOrderedAndProject (per-task top-n, then merge)."""
+def event_type_counts_by_layer(layers: dict[str, DataFrame]) -> DataFrame:
+    """A5 for several layers: ordered by layer, then most frequent first, as the last step."""
+    parts = [df.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count")).select(F.lit(name).alias("layer"), "event_type", "event_count") for name, df in layers.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.orderBy("layer", F.col("event_count").desc(), F.col("event_type").asc_nulls_first())
+
+
+def top_by_sales(gold_df: DataFrame, key: list[str], n: int | None = None) -> DataFrame:
+    """O2: the whole Gold listing, highest total_sales first (ties by key): a range
+    exchange and a sort. With `n` a top-k report, planned as
+    TakeOrderedAndProject (per-task top-n, then merge)."""
     order = [F.col("total_sales").desc()] + [F.col(k).asc_nulls_last() for k in key]
-    return gold_df.orderBy(*order).limit(n)
+    listing = gold_df.orderBy(*order)
+    return listing if n is None else listing.limit(n)
+
+
+def list_daily_sales(daily: DataFrame) -> DataFrame:
+    """O2: all days with all columns, in date order."""
+    return daily.orderBy("event_date")
 
 
 def sample_rows(df: DataFrame, key: str = "event_id", n: int = 5) -> DataFrame:
@@ -78,7 +94,7 @@ def executive_totals(silver: DataFrame, purchase_types=PURCHASE_TYPES) -> DataFr
 
 
 def daily_trend(daily: DataFrame) -> DataFrame:
-    """The daily sales table read in date order (for a trend chart)."""
+    """The daily sales table read in date order (for a trend chart)."""
     return daily.select("event_date", "total_sales", "total_events", "unique_customers", "total_net_quantity").orderBy("event_date")
 
 

@@ -2,7 +2,9 @@
 their DuckDB oracle SQL.
 
 Each query takes ``(spark, sf_dir)``, derives its input from the test tables and
-returns a lazy DataFrame over the whole tables.
+returns a DataFrame over the whole tables. Queries about storage and streaming, and
+those that read Silver more than once, write to the shared folder when called;
+the others are lazy.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import bronze as bronze_ops
 from strata.operators import gold, payload, quality, report, silver
-from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA, SILVER_COLUMNS
+from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA
 from strata.session import scratch_path
 from strata.sources import files, kafka, sinks
 from strata.streaming import jobs
@@ -41,11 +43,18 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_events(fixtures.bronze_fixture(spark, sf_dir))
 
 
-def silver_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver written once to the shared folder, for plans with several Silver
-    branches (product performance and customer activity each run two
-    aggregations over it)."""
-    return sinks.stage(silver_of(spark, sf_dir), scratch_path(spark, "stage-silver"))
+def silver_stored(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The named Silver columns written once to the shared folder, for plans with
+    several Silver branches (product performance and customer activity each
+    run two aggregations over it)."""
+    return sinks.stage(silver_of(spark, sf_dir).select(*columns), scratch_path(spark, "stage-silver"))
+
+
+#: What the Gold tables read of Silver.
+_MEASURES = ["session_id", "user_id", "product_id", "quantity", "removed_quantity", "net_quantity", "sales", "discount_amount"]
+PRODUCT_INPUT = [*_MEASURES, "product_name", "category", "sub_category", "product_price", "discount_percent"]
+CUSTOMER_INPUT = [*_MEASURES, "customer_name", "segment", "country", "market", "region", "event_timestamp"]
+GOLD_INPUT = list(dict.fromkeys([*PRODUCT_INPUT, *CUSTOMER_INPUT, "event_date", "event_type"]))
 
 
 # ------------------------------------------------------------------ Silver
@@ -66,12 +75,12 @@ def q_gold_daily_sales(spark, sf_dir):
 
 @register("gold_product_performance", O.with_silver(O.PRODUCT_SELECT))
 def q_gold_product_performance(spark, sf_dir):
-    return gold.product_performance(silver_stored(spark, sf_dir))
+    return gold.product_performance(silver_stored(spark, sf_dir, PRODUCT_INPUT))
 
 
 @register("gold_customer_activity", O.with_silver(O.CUSTOMER_SELECT))
 def q_gold_customer_activity(spark, sf_dir):
-    return gold.customer_activity(silver_stored(spark, sf_dir))
+    return gold.customer_activity(silver_stored(spark, sf_dir, CUSTOMER_INPUT))
 
 
 @register("gold_conversion_metrics", O.with_silver(O.conversion_select()))
@@ -185,11 +194,10 @@ _G3 = f"({O.CUSTOMER_SELECT})"
 _G4 = f"({O.conversion_select()})"
 
 
-def _layers(spark, sf_dir):
-    """Bronze and Silver computed once and stored, for queries that fan out."""
-    b = sinks.stage(_bronze(spark, sf_dir), scratch_path(spark, "stage-bronze"))
-    s = sinks.stage(silver.silver_events(b), scratch_path(spark, "stage-silver"))
-    return b, s
+def _layers(spark, sf_dir, silver_columns):
+    """Bronze as it is (its counts need no copy) and the named Silver columns stored once."""
+    b = _bronze(spark, sf_dir)
+    return b, sinks.stage(silver.silver_events(b).select(*silver_columns), scratch_path(spark, "stage-silver"))
 
 
 @register(
@@ -204,7 +212,7 @@ def _layers(spark, sf_dir):
     ),
 )
 def q_layer_counts(spark, sf_dir):
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, GOLD_INPUT)
     return report.layer_counts(
         {
             "bronze": b,
@@ -225,36 +233,63 @@ def q_layer_counts(spark, sf_dir):
     ),
 )
 def q_verify_uniqueness(spark, sf_dir):
-    b, s = _layers(spark, sf_dir)
-    return report.uniqueness({"bronze": b, "silver": s})
+    b = _bronze(spark, sf_dir)
+    return report.uniqueness({"bronze": b, "silver": silver.silver_events(b)})
 
 
 @register(
     "event_type_counts",
     O.with_silver(
         "SELECT 'bronze' AS layer, event_type, COUNT(*) AS event_count FROM bronze GROUP BY event_type "
-        "UNION ALL SELECT 'silver', event_type, COUNT(*) FROM silver GROUP BY event_type"
+        "UNION ALL SELECT 'silver', event_type, COUNT(*) FROM silver GROUP BY event_type ORDER BY layer, event_count DESC, event_type NULLS FIRST"
     ),
 )
 def q_event_type_counts(spark, sf_dir):
-    b, s = _layers(spark, sf_dir)
-    return (
-        report.event_type_counts(b).select(F.lit("bronze").alias("layer"), "event_type", "event_count")
-        .unionByName(report.event_type_counts(s).select(F.lit("silver").alias("layer"), "event_type", "event_count"))
-    )
+    b = _bronze(spark, sf_dir)
+    return report.event_type_counts_by_layer({"bronze": b, "silver": silver.silver_events(b)})
+
+
+@register("bronze_event_type_counts", O.with_bronze("SELECT event_type, COUNT(*) AS event_count FROM bronze GROUP BY event_type ORDER BY event_count DESC, event_type NULLS FIRST"))
+def q_bronze_event_type_counts(spark, sf_dir):
+    return report.event_type_counts(_bronze(spark, sf_dir))
+
+
+@register("silver_event_type_counts", O.with_silver("SELECT event_type, COUNT(*) AS event_count FROM silver GROUP BY event_type ORDER BY event_count DESC, event_type NULLS FIRST"))
+def q_silver_event_type_counts(spark, sf_dir):
+    return report.event_type_counts(silver_of(spark, sf_dir))
+
+
+@register("list_daily_sales", O.with_silver(f"SELECT * FROM {_G1} g1 ORDER BY event_date"))
+def q_list_daily_sales(spark, sf_dir):
+    return report.list_daily_sales(gold.daily_sales(silver_of(spark, sf_dir)))
+
+
+_BY_PRODUCT = "ORDER BY total_sales DESC, product_id, product_name, category, sub_category"
+
+
+@register("list_product_performance", O.with_silver(f"SELECT * FROM {_G2} g2 {_BY_PRODUCT}"))
+def q_list_product_performance(spark, sf_dir):
+    return report.top_by_sales(gold.product_performance(silver_stored(spark, sf_dir, PRODUCT_INPUT)), gold.PRODUCT_KEY)
+
+
+@register("list_customer_activity", O.with_silver(f"SELECT * FROM {_G3} g3 ORDER BY total_sales DESC, user_id"))
+def q_list_customer_activity(spark, sf_dir):
+    return report.top_by_sales(gold.customer_activity(silver_stored(spark, sf_dir, CUSTOMER_INPUT)), ["user_id"])
 
 
 @register(
     "top_products",
-    O.with_silver(f"SELECT * FROM {_G2} g2 ORDER BY total_sales DESC, product_id, product_name, category, sub_category LIMIT 10"),
+    O.with_silver(f"SELECT product_id, product_name, total_sales, total_quantity FROM {_G2} g2 {_BY_PRODUCT}"),
 )
 def q_top_products(spark, sf_dir):
-    return report.top_by_sales(gold.product_performance(silver_stored(spark, sf_dir)), gold.PRODUCT_KEY, 10)
+    """Every product, best seller first."""
+    return q_list_product_performance(spark, sf_dir).select("product_id", "product_name", "total_sales", "total_quantity")
 
 
-@register("top_customers", O.with_silver(f"SELECT * FROM {_G3} g3 ORDER BY total_sales DESC, user_id LIMIT 10"))
+@register("top_customers", O.with_silver(f"SELECT user_id, customer_name, total_sales, total_events FROM {_G3} g3 ORDER BY total_sales DESC, user_id"))
 def q_top_customers(spark, sf_dir):
-    return report.top_by_sales(gold.customer_activity(silver_stored(spark, sf_dir)), ["user_id"], 10)
+    """Every customer, highest sales first."""
+    return q_list_customer_activity(spark, sf_dir).select("user_id", "customer_name", "total_sales", "total_events")
 
 
 @register("silver_sample", O.with_silver("SELECT * FROM silver ORDER BY event_id LIMIT 5"))
@@ -302,7 +337,7 @@ def _roll(c):
     ),
 )
 def q_dash_category_sales(spark, sf_dir):
-    return report.category_sales(gold.product_performance(silver_stored(spark, sf_dir)))
+    return report.category_sales(gold.product_performance(silver_stored(spark, sf_dir, PRODUCT_INPUT)))
 
 
 @register(
@@ -314,7 +349,7 @@ def q_dash_category_sales(spark, sf_dir):
     ),
 )
 def q_dash_segment_sales(spark, sf_dir):
-    return report.segment_sales(gold.customer_activity(silver_stored(spark, sf_dir)))
+    return report.segment_sales(gold.customer_activity(silver_stored(spark, sf_dir, CUSTOMER_INPUT)))
 
 
 @register(
@@ -325,7 +360,7 @@ def q_dash_segment_sales(spark, sf_dir):
     ),
 )
 def q_dash_geo_sales(spark, sf_dir):
-    return report.geo_sales(gold.customer_activity(silver_stored(spark, sf_dir)))
+    return report.geo_sales(gold.customer_activity(silver_stored(spark, sf_dir, CUSTOMER_INPUT)))
 
 
 @register(
@@ -354,7 +389,7 @@ def q_dash_funnel(spark, sf_dir):
     ),
 )
 def q_silver_invariants(spark, sf_dir):
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, ["event_id", "discount_percent", "quantity", "removed_quantity", "net_quantity", "product_price"])
     return quality.invariants(s, b)
 
 
@@ -564,7 +599,7 @@ def q_publish_table(spark, sf_dir):
 
 @register("parquet_round_trip", O.with_silver(O.CUSTOMER_SELECT))
 def q_parquet_round_trip(spark, sf_dir):
-    return sinks.round_trip(gold.customer_activity(silver_stored(spark, sf_dir)), scratch_path(spark, "round-trip"))
+    return sinks.round_trip(gold.customer_activity(silver_stored(spark, sf_dir, CUSTOMER_INPUT)), scratch_path(spark, "round-trip"))
 
 
 @register("compact_bronze", O.with_bronze("SELECT * FROM bronze"))
@@ -583,15 +618,19 @@ def q_compact_bronze(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
-def _stage_files(df, path: str, n_files: int, *order: str) -> None:
-    """Append `df` to `path` as about n_files range-split Parquet files."""
-    df.repartitionByRange(n_files, *order).write.mode("append").parquet(path)
+#: Source files that one micro-batch of the streaming queries reads, each by a task of its own.
+FILES_PER_BATCH = 8
+
+
+def _stage_files(df, path: str, n_batches: int, *order: str) -> None:
+    """Append `df` to `path` as range-split Parquet files, FILES_PER_BATCH for each of n_batches micro-batches."""
+    df.repartitionByRange(n_batches * FILES_PER_BATCH, *order).write.mode("append").parquet(path)
 
 
-def _kafka_source(spark, sf_dir, path, n_files, cond=None):
+def _kafka_source(spark, sf_dir, path, n_batches, cond=None):
     k = fixtures.kafka_fixture(spark, sf_dir)
     # Records reach a topic roughly in time order, so files are time ranges.
-    _stage_files(k if cond is None else k.filter(cond), path, n_files, "timestamp", "offset", "partition")
+    _stage_files(k if cond is None else k.filter(cond), path, n_batches, "timestamp", "offset", "partition")
 
 
 _BRONZE_VIA_KAFKA = O.with_bronze("SELECT * REPLACE (user_id AS kafka_key) FROM bronze")
@@ -605,11 +644,11 @@ def _run(query):
 
 @register("stream_bronze_append", _BRONZE_VIA_KAFKA)
 def q_stream_bronze_append(spark, sf_dir):
-    """Kafka-shaped files → rate-limited stream (one file per micro-batch) →
+    """Kafka-shaped files → rate-limited stream (a few files per micro-batch) →
     parse → day-partitioned Parquet sink; read back in batch."""
     src, out, ckpt = (scratch_path(spark, n) for n in ("kafka-src", "bronze-stream", "ckpt-bronze"))
     _kafka_source(spark, sf_dir, src, 3)
-    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
     _run(jobs.start_bronze_stream(stream, out, ckpt, available_now=True))
     return files.read_bronze_parquet(spark, out, nan_to_null=False)
 
@@ -621,7 +660,7 @@ def q_stream_restart(spark, sf_dir):
     src, out, ckpt = (scratch_path(spark, n) for n in ("kafka-src", "bronze-stream", "ckpt-bronze"))
     for cond in (F.col("partition") < 2, F.col("partition") >= 2):
         _kafka_source(spark, sf_dir, src, 2, cond)
-        stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+        stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
         _run(jobs.start_bronze_stream(stream, out, ckpt, partition_col="event_month", available_now=True))
     return files.read_bronze_parquet(spark, out, nan_to_null=False)
 
@@ -646,7 +685,7 @@ def q_stream_watermark(spark, sf_dir):
     late = ev.withColumn("event_timestamp", F.col("event_timestamp") - F.expr("INTERVAL 1 HOUR")).withColumn("is_late", F.lit(True))
     _stage_files(late, src, 1, "event_id")
     schema = spark.read.parquet(src).schema
-    stream = jobs.with_event_watermark(files.bronze_file_stream(spark, src, schema, max_files_per_trigger=1))
+    stream = jobs.with_event_watermark(files.bronze_file_stream(spark, src, schema, max_files_per_trigger=FILES_PER_BATCH))
     q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start()
     _run(q)
     return spark.read.parquet(out).select(*_EVENT_STREAM_COLS)
@@ -655,32 +694,32 @@ def q_stream_watermark(spark, sf_dir):
 @register("stream_silver", O.SILVER)
 def q_stream_silver(spark, sf_dir):
     """Continuous Silver: Bronze arrives in three micro-batches (Kafka partitions
-    0-1, then 2-3, then a replay of 0-1); each batch is merged into the
-    bucketed Silver table. The result equals the batch Silver."""
+    0-1, then 2-3, then a replay of 0-1); each batch appends its candidates to
+    the log. Resolving the log equals the batch Silver."""
     b = _bronze(spark, sf_dir)
     src, out, ckpt = (scratch_path(spark, n) for n in ("bronze-src", "silver-stream", "ckpt-silver"))
     _stage_files(b.filter(F.col("partition") < 2), src, 1, "offset")
     _stage_files(b.filter(F.col("partition") >= 2), src, 1, "offset")
     _stage_files(b.filter(F.col("partition") < 2), src, 1, "offset")
-    stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=1)
-    _run(jobs.start_silver_stream(stream, out, ckpt, n_buckets=16, available_now=True))
-    return spark.read.parquet(out).select(*SILVER_COLUMNS)
+    stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
+    _run(jobs.start_silver_stream(stream, out, ckpt, available_now=True))
+    return jobs.resolve_silver(spark, out)
 
 
 _EVENTS_BRONZE_COLS = ["partition", "offset"] + [n for n, _ in fixtures.F7_COLUMNS] + ["event_timestamp", "event_date_parsed"]
 
 
 def stage_events_topic(spark, sf_dir, batches: int = 10) -> str:
-    """The events as a topic: `batches` offset-range files, one per micro-batch."""
+    """The events as a topic: offset-range files of `batches` micro-batches."""
     src = scratch_path(spark, "events-kafka")
     _stage_files(fixtures.events_kafka(spark, sf_dir), src, batches, "offset")
     return src
 
 
 def stream_topic_to_bronze(spark, src: str) -> str:
-    """Rate-limited micro-batches (one file each) into day-partitioned Bronze."""
+    """Rate-limited micro-batches into day-partitioned Bronze."""
     out, ckpt = scratch_path(spark, "events-bronze"), scratch_path(spark, "ckpt-events-bronze")
-    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=1)
+    stream = files.bronze_file_stream(spark, src, KAFKA_SOURCE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
     _run(jobs.start_bronze_stream(stream, out, ckpt, available_now=True))
     return out
 
@@ -690,3 +729,18 @@ def q_stream_events_bronze(spark, sf_dir):
     """100,000 events at sf0.1 in 10 micro-batches of 10,000 (the reference's example volume)."""
     out = stream_topic_to_bronze(spark, stage_events_topic(spark, sf_dir))
     return files.read_bronze_parquet(spark, out, nan_to_null=False).select(*_EVENTS_BRONZE_COLS)
+
+
+@register("publish_schema_change", O.with_silver(
+    "SELECT event_date, COUNT(*) AS events, CAST(COUNT(*) AS VARCHAR) AS label, MIN(event_id) AS first_id, CAST(YEAR(event_date) AS INTEGER) AS event_year FROM silver GROUP BY event_date"))
+def q_publish_schema_change(spark, sf_dir):
+    """Publishes under one name twice, the second time with a retyped and an added
+    column and by year partitions: the table shows the second schema."""
+    table, base = _table_name("daily_counts"), scratch_path(spark, "tables")
+    s = silver_of(spark, sf_dir)
+    n = F.count(F.lit(1))
+    sinks.publish(s.groupBy("event_date").agg(n.alias("events"), n.alias("label")), table, base)
+    _, loaded = sinks.publish(s.groupBy("event_date").agg(n.alias("events"), n.cast("string").alias("label"), F.min("event_id").alias("first_id")).withColumn("event_year", F.year("event_date")),
+                             table, base, partition_by=["event_year"])
+    sinks.assert_reconciled(spark, table, loaded)
+    return spark.table(table).select("event_date", "events", "label", "first_id", "event_year")

@@ -23,6 +23,7 @@ def kafka_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = 10_000,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Subscribe options; `max_offsets_per_trigger=None` reads without a rate limit."""
     opts = {
@@ -33,6 +34,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger is not None:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions is not None:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 
@@ -90,11 +93,11 @@ def write_kafka(records: DataFrame, bootstrap_servers: str, topic: str = DEFAULT
 def peek(records: DataFrame) -> DataFrame:
     """Per record partition, offset, event_type, user_id and whether the
     payload is JSON at all (non-JSON payloads are flagged, not dropped)."""
-    value = F.col("value").cast("string")
-    return records.select(
+    parsed = records.select("partition", "offset", F.try_parse_json(F.col("value").cast("string")).alias("json"))
+    return parsed.select(
         "partition",
         "offset",
-        F.get_json_object(value, "$.event_type").alias("event_type"),
-        F.get_json_object(value, "$.user_id").alias("user_id"),
-        F.try_parse_json(value).isNotNull().alias("is_json"),
+        F.try_variant_get("json", "$.event_type", "string").alias("event_type"),
+        F.try_variant_get("json", "$.user_id", "string").alias("user_id"),
+        F.col("json").isNotNull().alias("is_json"),
     )

@@ -23,15 +23,18 @@ def create_table(spark: SparkSession, name: str, schema: StructType, fmt: str =
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "event_date_parsed", mode: str = "overwrite",
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, overwrite: str = "static") -> None:
     """Partitioned Parquet write that avoids both small files and skew.
 
+    `overwrite` says what mode "overwrite" replaces, whatever the session says:
+    "static" the whole directory, "dynamic" only the partitions written.
+
     `REBALANCE(col)` clusters rows of one partition value into few tasks (one
     file per value per task instead of one per value per input split), and AQE
     splits an oversized value (a hot date) into several tasks instead of
     funnelling it through one.
     """
-    w = df.hint("rebalance", partition_col).write.mode(mode).partitionBy(partition_col)
+    w = df.hint("rebalance", partition_col).write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(partition_col)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.parquet(path)
@@ -43,7 +46,13 @@ def with_month_partition(df: DataFrame, date_col: str = "event_date_parsed", nam
     return df.withColumn(name, F.date_format(F.col(date_col), "yyyy-MM"))
 
 
-def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet") -> tuple[str, int]:
+def _layout(fields, partition_cols: list[str]) -> list[tuple[str, str]]:
+    """Column names and types as a table partitioned by `partition_cols` shows them (partition columns last)."""
+    named = [(f.name, f.dataType.simpleString()) for f in fields]
+    return [x for x in named if x[0] not in partition_cols] + [x for c in partition_cols for x in named if x[0] == c]
+
+
+def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> tuple[str, int]:
     """Create-or-replace a table atomically and count what was written.
 
     The data is written to a fresh version folder first; only after the write
@@ -51,16 +60,34 @@ def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet") ->
     half-loaded table and a rerun replaces rather than duplicates. Returns the
     version path and the number of rows written (an `Observation` taken during
     the write, no second pass over the data).
+
+    A table of another schema or partitioning is replaced: its definition is
+    dropped (an external table, so no data goes) and created over the new
+    version. `partition_by` lays the files out by column values, so later reads
+    are pruned by them.
     """
+    partition_by = list(partition_by or [])
     spark = df.sparkSession
     version = f"{base_path.rstrip('/')}/{table}/v-{uuid.uuid4().hex[:12]}"
     obs = Observation(f"publish_{table}_{uuid.uuid4().hex[:6]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(version)
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        counted = counted.hint("rebalance", *partition_by)
+    counted.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(version)
+    wanted = _layout(df.schema.fields, partition_by)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-        spark.sql(f"REFRESH TABLE {table}")
-    else:
-        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{version}'")
+        now = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if now == partition_by and _layout(spark.table(table).schema.fields, now) == wanted:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        else:
+            spark.sql(f"DROP TABLE {table}")
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{n}` {t}" for n, t in wanted)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{parts} LOCATION '{version}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {table}")
     return version, int(obs.get["rows"])
 
 

@@ -6,16 +6,16 @@
 * Watermark on event time (10 minutes). No stateful operator follows it, so
   it never drops a row: late rows pass through.
 * Continuous Silver through `foreachBatch`: `row_number` is not allowed on a
-  stream, so each micro-batch re-derives the Silver rows of the event_id
-  buckets it touches and overwrites only those buckets.
+  stream, so each micro-batch appends its candidates to a log, and readers
+  resolve the latest row per event_id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from strata.operators import silver as S
 from strata.operators.bronze import kafka_to_bronze
@@ -39,6 +39,7 @@ def start_bronze_stream(
     processing_time: str | None = "10 seconds",
     available_now: bool = False,
     query_name: str | None = None,
+    salt_files: int = 1,
 ) -> StreamingQuery:
     """Parse every micro-batch and append it to Parquet.
 
@@ -47,10 +48,14 @@ def start_bronze_stream(
     One checkpoint per query: the offset log and the sink's commit log make
     the output exactly-once across restarts (a batch planned but not committed
     is replayed, and the sink ignores a repeat of a committed batch).
+    Each micro-batch is clustered by the partition column before the sink, so it
+    writes one file per partition that it touches instead of one per task and
+    partition; a hot partition is spread by `salt_files` more keys.
     """
     bronze = kafka_to_bronze(kafka_df)
     if partition_col == "event_month":
         bronze = with_month_partition(bronze)
+    bronze = bronze.repartition(F.col(partition_col), F.pmod(F.xxhash64("event_id"), F.lit(max(1, salt_files))))
     w = (
         bronze.writeStream.format("parquet")
         .outputMode("append")
@@ -96,44 +101,39 @@ def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) ->
 
 # ------------------------------------------------------- continuous Silver
 
-BUCKET_COL = "_bucket"
-SILVER_BUCKETED = StructType(SILVER_SCHEMA.fields + [StructField(BUCKET_COL, IntegerType())])
+BATCH_COL = "_batch"
+MONTH_COL = "_event_month"
+CANDIDATE_SCHEMA = StructType([f for f in SILVER_SCHEMA.fields if f.name not in ("net_quantity", "discount_amount")])
 
 
-def event_bucket(n_buckets: int):
-    return F.pmod(F.xxhash64(F.col("event_id")), F.lit(n_buckets)).cast("int")
+def append_silver_batch(bronze_batch: DataFrame, batch_id: int, log_path: str) -> None:
+    """Append one Bronze micro-batch to the Silver candidate log.
 
+    The batch's rows are filtered, standardised, clamped and reduced to one per
+    event_id, and written to the batch's own folder, by event month. Nothing that
+    is stored is read or rewritten: the bytes written follow the batch, not the
+    table, and a crash can at worst leave this batch's folder incomplete. A
+    replay replaces exactly that folder (static overwrite, whatever the session's
+    mode), so the sink is idempotent.
+    """
+    rows = S.deduplicate(S.clamp(S.standardize(S.keep_required(bronze_batch))))
+    rows = rows.select(*CANDIDATE_SCHEMA.fieldNames(), F.date_format("event_date", "yyyy-MM").alias(MONTH_COL))
+    rows.hint("rebalance", MONTH_COL).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH_COL).parquet(
+        f"{log_path}/{BATCH_COL}={batch_id}")
 
-def silver_upsert_batch(bronze_batch: DataFrame, silver_path: str, n_buckets: int) -> None:
-    """Merge one Bronze micro-batch into the bucketed Silver table.
 
-    Candidates of the batch (filtered, standardised, clamped) are unioned with
-    the stored Silver rows of the touched buckets, reduced to one row per
-    event_id with the same ordering as the batch Silver, re-derived and written
-    back with dynamic partition overwrite (only touched buckets change). The
-    semi-join on the bucket column lets dynamic partition pruning read only
-    the touched bucket folders of the stored table. A replayed batch yields
-    the same result, so the sink is idempotent.
-    """
-    spark = bronze_batch.sparkSession
-    cand = S.clamp(S.standardize(S.keep_required(bronze_batch))).withColumn(BUCKET_COL, event_bucket(n_buckets))
-    cand = cand.select(*[c for c in cand.columns if c not in ("net_quantity", "discount_amount")])
-    stored = spark.read.schema(SILVER_BUCKETED).parquet(silver_path).drop("net_quantity", "discount_amount")
-    touched = cand.select(BUCKET_COL).distinct()
-    merged = cand.unionByName(stored.join(touched, BUCKET_COL, "left_semi").select(*cand.columns))
-    # Cut the lineage that reads the table being overwritten.
-    merged = merged.checkpoint(eager=True)
-    out = S.derive(S.deduplicate(merged))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(silver_path)
-
-
-def start_silver_stream(bronze_stream: DataFrame, silver_path: str, checkpoint: str, n_buckets: int = 64,
-                        processing_time: str | None = None, available_now: bool = False) -> StreamingQuery:
+def resolve_silver(spark: SparkSession, log_path: str) -> DataFrame:
+    """Silver out of the candidate log: the latest row per event_id over all
+    batches, in the order of the batch Silver, with the derived columns. The
+    scheduled batch Silver publishes this as a table."""
+    log = spark.read.schema(CANDIDATE_SCHEMA).parquet(log_path)
+    return S.derive(S.deduplicate(log)).select(*SILVER_SCHEMA.fieldNames())
+
+
+def start_silver_stream(bronze_stream: DataFrame, log_path: str, checkpoint: str, processing_time: str | None = None,
+                        available_now: bool = False) -> StreamingQuery:
     """Continuous Silver over a Bronze stream."""
-    # An empty table to merge into (left as is when it already exists).
-    spark = bronze_stream.sparkSession
-    spark.createDataFrame([], SILVER_BUCKETED).write.mode("ignore").partitionBy(BUCKET_COL).parquet(silver_path)
-    w = bronze_stream.writeStream.foreachBatch(lambda batch, _id: silver_upsert_batch(batch, silver_path, n_buckets)).option(
+    w = bronze_stream.writeStream.foreachBatch(lambda batch, number: append_silver_batch(batch, number, log_path)).option(
         "checkpointLocation", checkpoint
     )
     return with_trigger(w, processing_time, available_now).start()
@@ -151,8 +151,6 @@ def main(argv: list[str] | None = None) -> None:
     """
     import argparse
 
-    from pyspark.sql import SparkSession
-
     from strata.operators.bronze import to_console_rows
     from strata.sources import kafka
 
@@ -163,14 +161,21 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoint", required=True, help="one checkpoint folder per query")
     ap.add_argument("--path", help="Bronze output folder (bronze job)")
     ap.add_argument("--partition-col", default="event_date_parsed", choices=["event_date_parsed", "event_month"])
+    ap.add_argument("--files-per-partition", type=int, default=1, help="files a hot partition may be spread over per batch")
+    ap.add_argument("--trigger", help="processing time (default: 10 seconds for bronze, 5 seconds for console)")
+    ap.add_argument("--max-offsets", type=int, help="offsets per batch, 0 for no limit (default: 10000 for bronze, none for console)")
+    ap.add_argument("--starting-offsets", default="earliest")
+    ap.add_argument("--fail-on-data-loss", action="store_true")
+    ap.add_argument("--min-partitions", type=int, help="read a Kafka partition by several tasks")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
+    limit = a.max_offsets if a.max_offsets is not None else (10_000 if a.job == "bronze" else 0)
+    options = kafka.kafka_options(a.bootstrap, a.topic, a.starting_offsets, a.fail_on_data_loss, limit or None, a.min_partitions)
+    src = kafka.read_kafka_stream(spark, options)
     if a.job == "bronze":
-        src = kafka.read_kafka_stream(spark, kafka.kafka_options(a.bootstrap, a.topic))
-        query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col)
+        query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col, processing_time=a.trigger or "10 seconds", salt_files=a.files_per_partition)
     else:
-        src = kafka.read_kafka_stream(spark, kafka.kafka_options(a.bootstrap, a.topic, max_offsets_per_trigger=None))
-        query = start_console_stream(with_event_watermark(to_console_rows(src)), a.checkpoint)
+        query = start_console_stream(with_event_watermark(to_console_rows(src)), a.checkpoint, processing_time=a.trigger or "5 seconds")
     run_until_stopped(query)
 
 
