@@ -1,6 +1,7 @@
 """Column-expression helpers shared by the layers (all JVM-side, no UDFs)."""
 
 from strata.functions.columns import (
+    in_exact_range,
     lower_trim,
     money_round,
     money_sum,
@@ -13,6 +14,7 @@ from strata.functions.columns import (
 )
 
 __all__ = [
+    "in_exact_range",
     "lower_trim",
     "money_round",
     "money_sum",

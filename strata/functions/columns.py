@@ -43,36 +43,62 @@ def money_round(c: Column | str) -> Column:
     return F.round(_c(c).cast("double"), 2)
 
 
+#: Amounts below this size (in currency units) are computed exactly, as cents in a
+#: long; their double has its two decimals. Larger, infinite or NaN amounts are
+#: computed in DOUBLE.
+EXACT_LIMIT = 1e9
+
+
+def in_exact_range(c: Column | str) -> Column:
+    """True for amounts of the exact range; NULL counts as 0."""
+    return F.coalesce(F.abs(_c(c).cast("double")) < F.lit(EXACT_LIMIT), F.lit(True))
+
+
 def to_cents(c: Column | str) -> Column:
-    """A 2-decimal DOUBLE amount as exact integer cents (NULL, NaN, ±Inf → 0;
-    a finite value beyond the bigint range raises under ANSI mode)."""
+    """A 2-decimal DOUBLE amount as exact integer cents; NULL and amounts outside
+    the exact range give 0."""
     x = _c(c).cast("double")
-    finite = F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
-    return F.coalesce(F.round(finite * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    inside = F.when(F.abs(x) < F.lit(EXACT_LIMIT), x)
+    return F.coalesce(F.round(inside * 100).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _cent() -> Column:
     return F.lit(0.01).cast(DecimalType(3, 2))
 
 
+def _exact_total(c: Column | str) -> Column:
+    """The exact amounts' total as DECIMAL; NULL where cents leave the long range."""
+    return F.try_sum(to_cents(c)).cast(DecimalType(38, 0)) * _cent()
+
+
+def _wide_total(c: Column | str) -> Column:
+    """The DOUBLE sum of the amounts outside the exact range, NULL without any."""
+    return F.sum(F.when(~in_exact_range(c), _c(c).cast("double")))
+
+
 def money_sum(c: Column | str) -> Column:
-    """SUM(COALESCE(x, 0)), exact, returned as DOUBLE.
+    """SUM(COALESCE(x, 0)) as DOUBLE, exact for amounts of the exact range.
 
     Summed as integer cents: a long aggregation buffer stays on the fast
     fixed-width path (a wide DECIMAL buffer would do BigDecimal arithmetic per
-    row), is exact whatever the row order, and ANSI mode raises on overflow
-    instead of wrapping. The one decimal step happens once per group.
+    row) and is exact whatever the row order. The one decimal step happens once
+    per group. Amounts outside the range are added as a second, DOUBLE sum; if
+    the cents of a group overflow, the whole sum is a DOUBLE sum.
     """
-    return (F.sum(to_cents(c)).cast(DecimalType(38, 0)) * _cent()).cast("double")
+    exact, wide = _exact_total(c).cast("double"), _wide_total(c)
+    plain = F.sum(F.coalesce(_c(c).cast("double"), F.lit(0.0)))
+    return F.when(F.count(F.lit(1)) == 0, F.lit(None).cast("double")).when(exact.isNull(), plain).when(wide.isNull(), exact).otherwise(exact + wide)
 
 
 def money_avg(c: Column | str) -> Column:
-    """AVG(COALESCE(x, 0)) rounded HALF_UP to 6 places, exact, as DOUBLE.
+    """AVG(COALESCE(x, 0)) rounded HALF_UP to 6 places as DOUBLE, exact for amounts
+    of the exact range.
 
     NULLs count as 0, so the mean is over every row of the group.
     """
-    total = F.sum(to_cents(c)).cast(DecimalType(38, 0)) * _cent()
-    return (total / F.count(F.lit(1)).cast(DecimalType(20, 0))).cast("double")
+    n = F.count(F.lit(1))
+    exact = (_exact_total(c) / n.cast(DecimalType(20, 0))).cast("double")
+    return F.when(exact.isNotNull() & _wide_total(c).isNull(), exact).otherwise(money_sum(c) / n)
 
 
 def pct(n: Column | str, d: Column | str) -> Column:

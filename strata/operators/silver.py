@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from strata.functions import lower_trim, money_round, nan_to_null, not_blank
+from strata.functions import in_exact_range, lower_trim, money_round, nan_to_null, not_blank
 from strata.schema import LOWER_TRIM_COLUMNS, SILVER_COLUMNS, SILVER_REQUIRED, TRIM_COLUMNS
 
 
@@ -82,16 +82,20 @@ def deduplicate(df: DataFrame, key: str = "event_id") -> DataFrame:
 
 
 def derive(df: DataFrame) -> DataFrame:
-    """net_quantity and discount_amount (DECIMAL arithmetic, HALF_UP to cents)."""
+    """net_quantity and discount_amount (DECIMAL arithmetic, HALF_UP to cents; for a
+    price outside the exact range the DOUBLE product)."""
     qty = F.coalesce(F.col("quantity"), F.lit(0))
     net = F.greatest(F.col("quantity") - F.coalesce(F.col("removed_quantity"), F.lit(0)), F.lit(0))
+    price, percent = F.coalesce(F.col("product_price"), F.lit(0.0)), F.coalesce(F.col("discount_percent"), F.lit(0.0))
+    exact = in_exact_range(price)
     amount = (
-        F.coalesce(F.col("product_price"), F.lit(0.0)).cast(DecimalType(38, 2))
+        F.when(exact, price).cast(DecimalType(38, 2))
         * qty.cast(DecimalType(10, 0))
-        * F.coalesce(F.col("discount_percent"), F.lit(0.0)).cast(DecimalType(5, 2))
+        * percent.cast(DecimalType(5, 2))
         * F.lit(0.01).cast(DecimalType(3, 2))
     )
-    return df.withColumns({"net_quantity": net, "discount_amount": F.round(amount, 2).cast("double")})
+    wide = price * qty * percent / F.lit(100.0)
+    return df.withColumns({"net_quantity": net, "discount_amount": F.when(exact, F.round(amount, 2).cast("double")).otherwise(wide)})
 
 
 def silver_events(bronze: DataFrame) -> DataFrame:

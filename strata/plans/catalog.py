@@ -393,17 +393,7 @@ def q_silver_invariants(spark, sf_dir):
     return quality.invariants(s, b)
 
 
-@register(
-    "sales_reconcile",
-    O.with_silver(
-        "SELECT COUNT(*) AS rows_total, COUNT(CASE WHEN ok THEN 1 END) AS rows_checked, "
-        "COUNT(CASE WHEN ok AND re = rec THEN 1 END) AS rows_matching, COUNT(CASE WHEN ok AND re <> rec THEN 1 END) AS rows_mismatching, "
-        "CAST(SUM(CASE WHEN ok THEN rec END) AS DOUBLE) AS recorded_sales, CAST(SUM(CASE WHEN ok THEN re END) AS DOUBLE) AS recomputed_sales "
-        "FROM (SELECT product_price IS NOT NULL AND quantity IS NOT NULL AND discount_percent IS NOT NULL AND sales IS NOT NULL AS ok, "
-        "ROUND(CAST(product_price AS DECIMAL(18,2)) * quantity * ((100 - CAST(discount_percent AS DECIMAL(5,2))) * 0.01), 2) AS re, "
-        "CAST(sales AS DECIMAL(18,2)) AS rec FROM silver) t"
-    ),
-)
+@register("sales_reconcile", O.with_silver(O.sales_check_select()))
 def q_sales_reconcile(spark, sf_dir):
     return quality.sales_check(silver_of(spark, sf_dir))
 
@@ -744,3 +734,36 @@ def q_publish_schema_change(spark, sf_dir):
                              table, base, partition_by=["event_year"])
     sinks.assert_reconciled(spark, table, loaded)
     return spark.table(table).select("event_date", "events", "label", "first_id", "event_year")
+
+
+# ------------------------------------------------- amounts beyond the exact range
+
+
+def _over_extremes(select: str) -> str:
+    return O.silver_over(fixtures.bronze_with_extremes_sql(), select)
+
+
+def _extreme_silver(spark, sf_dir):
+    return silver.silver_events(fixtures.bronze_with_extremes(spark, sf_dir))
+
+
+@register("silver_extreme_amounts", _over_extremes("SELECT * FROM silver"))
+def q_silver_extreme_amounts(spark, sf_dir):
+    """Amounts up to infinity in some rows: no layer stops, other rows stay exact."""
+    return _extreme_silver(spark, sf_dir)
+
+
+@register("gold_daily_extreme_amounts", _over_extremes(O.DAILY_SALES_SELECT))
+def q_gold_daily_extreme_amounts(spark, sf_dir):
+    return gold.daily_sales(_extreme_silver(spark, sf_dir))
+
+
+@register("gold_product_extreme_amounts", _over_extremes(O.PRODUCT_SELECT))
+def q_gold_product_extreme_amounts(spark, sf_dir):
+    s = sinks.stage(_extreme_silver(spark, sf_dir).select(*PRODUCT_INPUT), scratch_path(spark, "stage-silver"))
+    return gold.product_performance(s)
+
+
+@register("sales_reconcile_extreme_amounts", _over_extremes(O.sales_check_select()))
+def q_sales_reconcile_extreme_amounts(spark, sf_dir):
+    return quality.sales_check(_extreme_silver(spark, sf_dir))

@@ -196,6 +196,18 @@ def validation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(off % 79 == 0, F.concat(F.lit("{bad "), F.col("session_id")))
         .when(off % 73 == 0, F.lit("[1]"))
         .when(off % 71 == 0, json_value(no_ids))
+        .when(off % 67 == 0, F.concat(json_value(), json_value()))
+        .when(off % 61 == 0, F.concat(json_value(), F.lit(" "), json_value()))
+        .when(off % 59 == 0, F.concat(json_value(), F.lit("}")))
+        .when(off % 53 == 0, F.concat(json_value(), F.lit(" x}")))
+        .when(off % 47 == 0, F.concat(F.lit("{'event_id': '"), F.col("session_id"), F.lit("'}")))
+        .when(off % 43 == 0, F.concat(json_value(), F.lit(","), json_value()))
+        .when(off % 41 == 0, F.lit("NaN"))
+        .when(off % 37 == 0, F.lit("{} {}"))
+        .when(off % 31 == 0, F.lit("null"))
+        .when(off % 29 == 0, F.concat(F.lit("\x1c\x85"), json_value(), F.lit("\x0b")))
+        .when(off % 23 == 0, F.concat(F.lit('{"event_id":"\\u001c","user_id":"u","session_id":"s","event_type":"t","timestamp":"'), F.col("timestamp"), F.lit('","product_id":"p"}')))
+        .when(off % 19 == 0, F.lit('{"event_id":"a","event_id":"b","user_id":"u","session_id":"s","event_type":"t","timestamp":"x","product_id":"p"}'))
         .when(off % 2 == 0, json_value(keep_nulls=True))
         .otherwise(json_value())
     )
@@ -209,6 +221,15 @@ SELECT "offset", "partition",
        WHEN "offset" % 79 = 0 THEN 'Invalid JSON'
        WHEN "offset" % 73 = 0 THEN 'JSON record is not an object'
        WHEN "offset" % 71 = 0 THEN 'Missing required fields: event_id, user_id'
+       WHEN "offset" % 67 = 0 OR "offset" % 61 = 0 OR "offset" % 59 = 0 OR "offset" % 53 = 0 OR "offset" % 47 = 0 OR "offset" % 43 = 0 THEN 'Invalid JSON'
+       WHEN "offset" % 41 = 0 THEN 'JSON record is not an object'
+       WHEN "offset" % 37 = 0 THEN 'Invalid JSON'
+       WHEN "offset" % 31 = 0 THEN 'JSON record is not an object'
+       WHEN "offset" % 29 = 0 AND event_id IS NULL THEN 'Missing required fields: event_id'
+       WHEN "offset" % 29 = 0 AND TRIM(event_id) = '' THEN 'Required field ''event_id'' is empty'
+       WHEN "offset" % 29 = 0 THEN ''
+       WHEN "offset" % 23 = 0 THEN 'Required field ''event_id'' is empty'
+       WHEN "offset" % 19 = 0 THEN ''
        WHEN event_id IS NULL AND "offset" % 2 = 0 THEN 'Required field ''event_id'' is null'
        WHEN event_id IS NULL THEN 'Missing required fields: event_id'
        WHEN TRIM(event_id) = '' THEN 'Required field ''event_id'' is empty'
@@ -276,3 +297,26 @@ def events_bronze_sql() -> str:
         f"SELECT CAST(user_id % 4 AS INTEGER) AS \"partition\", event_id AS \"offset\",\n  {cols},\n"
         "  CAST(ts AS TIMESTAMP) AS event_timestamp, CAST(ts AS DATE) AS event_date_parsed\nFROM events"
     )
+
+
+# ------------------------------------------------- extreme amounts in Bronze
+
+#: (column, divisor of the offset, planted value). Powers of two: sums of one of
+#: them are exact in any order, so both engines must agree to the last bit.
+EXTREME_AMOUNTS = [("sales", 401, 2.0**60), ("sales", 397, 2.0**1000), ("product_price", 389, 2.0**124), ("product_price", 383, float("inf")), ("sales", 379, float("inf"))]
+
+
+def bronze_with_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze with amounts far outside the exact range planted in some rows."""
+    b = bronze_fixture(spark, sf_dir)
+    for column, divisor, value in EXTREME_AMOUNTS:
+        b = b.withColumn(column, F.when(F.col("offset") % divisor == 0, F.lit(value)).otherwise(F.col(column)))
+    return b
+
+
+def bronze_with_extremes_sql() -> str:
+    out = {"sales": "sales", "product_price": "product_price"}
+    for column, divisor, value in EXTREME_AMOUNTS:
+        shown = "CAST('Infinity' AS DOUBLE)" if value == float("inf") else f"CAST({value!r} AS DOUBLE)"
+        out[column] = f'CASE WHEN "offset" % {divisor} = 0 THEN {shown} ELSE {out[column]} END'
+    return f"SELECT * REPLACE ({', '.join(f'{x} AS {c}' for c, x in out.items())}) FROM ({bronze_sql()}) plain"

@@ -12,13 +12,27 @@ from strata.plans.fixtures import bronze_sql
 from strata.schema import LOWER_TRIM_COLUMNS, SILVER_COLUMNS, SILVER_REQUIRED, TRIM_COLUMNS
 
 
+#: Amounts below this are exact decimals, others plain doubles.
+EXACT_LIMIT = 1e9
+
+
+def inside(x: str) -> str:
+    return f"abs(COALESCE({x}, 0)) < {EXACT_LIMIT!r}"
+
+
 def round2(x: str) -> str:
-    """Spark's ROUND(double, 2) for inputs with at most 4 decimals."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(18,4)), 2) AS DOUBLE)"
+    """Spark's ROUND(double, 2) for inputs with at most 4 decimals, or beyond the exact range."""
+    return f"IF({inside(x)}, CAST(ROUND(TRY_CAST({x} AS DECIMAL(18,4)), 2) AS DOUBLE), {x})"
+
+
+def wide_sum(x: str) -> str:
+    """The double sum of the amounts beyond the exact range, NULL without any."""
+    return f"SUM(CAST({x} AS DOUBLE)) FILTER (NOT ({inside(x)}))"
 
 
 def money_sum(x: str) -> str:
-    return f"CAST(SUM(CAST(COALESCE({x}, 0) AS DECIMAL(18,2))) AS DOUBLE)"
+    exact = f"CAST(SUM(IF({inside(x)}, TRY_CAST(COALESCE({x}, 0) AS DECIMAL(18,2)), 0)) AS DOUBLE)"
+    return f"COALESCE({exact} + {wide_sum(x)}, {exact})"
 
 
 def int_sum(x: str) -> str:
@@ -26,13 +40,15 @@ def int_sum(x: str) -> str:
 
 
 def avg6(x: str) -> str:
-    """AVG(COALESCE(x,0)) rounded HALF_UP to 6 places, exactly (integer cents)."""
-    s = f"SUM(CAST(ROUND(COALESCE({x}, 0) * 100) AS BIGINT))"
+    """AVG(COALESCE(x,0)) rounded HALF_UP to 6 places, exactly (integer cents); a
+    plain double mean where an amount is beyond the exact range."""
+    s = f"SUM(IF({inside(x)}, TRY_CAST(ROUND(COALESCE({x}, 0) * 100) AS BIGINT), 0))"
     n = "COUNT(*)"
-    return (
+    exact = (
         f"CAST(CASE WHEN {s} >= 0 THEN ({s} * 20000 + {n}) // (2 * {n}) "
         f"ELSE -((-{s} * 20000 + {n}) // (2 * {n})) END AS DOUBLE) / 1000000"
     )
+    return f"IF({wide_sum(x)} IS NULL, {exact}, {money_sum(x)} / {n})"
 
 
 def pct(n: str, d: str) -> str:
@@ -83,12 +99,14 @@ def clamped_columns(given: dict[str, str]) -> dict[str, str]:
 
 
 def discount(price: str, quantity: str, percent: str) -> str:
-    """round(price * quantity * percent / 100, 2) in exact decimals, NULL as 0."""
-    return (f"CAST(ROUND(CAST(COALESCE({price}, 0) AS DECIMAL(18,2)) * COALESCE({quantity}, 0) "
-            f"* CAST(COALESCE({percent}, 0) AS DECIMAL(5,2)) * 0.01, 2) AS DOUBLE)")
+    """round(price * quantity * percent / 100, 2) in exact decimals, NULL as 0; the double product for a price beyond the range."""
+    exact = (f"CAST(ROUND(TRY_CAST(COALESCE({price}, 0) AS DECIMAL(18,2)) * COALESCE({quantity}, 0) "
+             f"* CAST(COALESCE({percent}, 0) AS DECIMAL(5,2)) * 0.01, 2) AS DOUBLE)")
+    wide = f"{price} * CAST(COALESCE({quantity}, 0) AS DOUBLE) * CAST(COALESCE({percent}, 0) AS DOUBLE) / CAST(100 AS DOUBLE)"
+    return f"IF({inside(price)}, {exact}, {wide})"
 
 
-def silver_rows(discount_amount=discount) -> str:
+def silver_rows() -> str:
     """One row per event id out of `bronze`, in three steps: bounded columns, the
     latest row of each id as a struct, derived columns."""
     standard = standard_columns()
@@ -97,7 +115,7 @@ def silver_rows(discount_amount=discount) -> str:
     fields = ", ".join(f"{quoted(c)} := {bounded.get(c, quoted(c))}" for c in own)
     derived = {
         "net_quantity": "GREATEST(r.quantity - COALESCE(r.removed_quantity, 0), 0)",
-        "discount_amount": discount_amount("r.product_price", "r.quantity", "r.discount_percent"),
+        "discount_amount": discount("r.product_price", "r.quantity", "r.discount_percent"),
     }
     shown = ", ".join(f"{derived.get(c, 'r.' + quoted(c))} AS {quoted(c)}" for c in SILVER_COLUMNS)
     return (f"SELECT {shown} FROM (SELECT arg_max(struct_pack({fields}), {LATEST}) AS r "
@@ -178,3 +196,23 @@ def conversion_select(**vocabulary: tuple[str, ...]) -> str:
     n = ", ".join(f"COUNT(*) FILTER (has_{stage} = 1) AS {stage}_sessions" for stage in FUNNEL)
     shown = ", ".join(f"{pct(up + '_sessions', down + '_sessions')} AS {name}_rate_percent" for name, (up, down) in rates.items())
     return f"SELECT *, {shown} FROM (SELECT COUNT(*) AS total_sessions, {n} FROM ({session_flags_select(**vocabulary)}))"
+
+
+def sales_check_select() -> str:
+    """Recorded against recomputed sales, exact decimals inside the range and doubles beyond it."""
+    keep = "(100 - CAST(discount_percent AS DECIMAL(5,2))) * 0.01"
+    known = " AND ".join(f"{c} IS NOT NULL" for c in ("product_price", "quantity", "discount_percent", "sales"))
+    rows = (
+        f"SELECT {known} AS ok, {inside('product_price')} AND {inside('sales')} AS exact, sales, "
+        f"IF(exact, ROUND(TRY_CAST(product_price AS DECIMAL(18,2)) * quantity * ({keep}), 2), NULL) AS re, "
+        "IF(exact, TRY_CAST(sales AS DECIMAL(18,2)), NULL) AS rec, "
+        "product_price * CAST(quantity AS DOUBLE) * ((CAST(100 AS DOUBLE) - discount_percent) * CAST(0.01 AS DOUBLE)) AS wide, "
+        "IF(exact, re = rec, wide = sales) AS same FROM silver"
+    )
+
+    def total(x: str, y: str) -> str:
+        part = f"CAST(SUM({x}) FILTER (ok AND exact) AS DOUBLE)"
+        return f"COALESCE(COALESCE({part}, 0) + SUM({y}) FILTER (ok AND NOT exact), {part})"
+
+    return (f"SELECT COUNT(*) AS rows_total, COUNT(*) FILTER (ok) AS rows_checked, COUNT(*) FILTER (ok AND same) AS rows_matching, "
+            f"COUNT(*) FILTER (ok AND NOT same) AS rows_mismatching, {total('rec', 'sales')} AS recorded_sales, {total('re', 'wide')} AS recomputed_sales FROM ({rows})")
