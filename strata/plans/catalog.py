@@ -767,3 +767,36 @@ def q_gold_product_extreme_amounts(spark, sf_dir):
 @register("sales_reconcile_extreme_amounts", _over_extremes(O.sales_check_select()))
 def q_sales_reconcile_extreme_amounts(spark, sf_dir):
     return quality.sales_check(_extreme_silver(spark, sf_dir))
+
+
+# ---------------------------------------------------------- checks and payload
+
+
+@register(
+    "event_payload_fields",
+    f"SELECT event_id, {', '.join(f'{sql} AS {name}' for name, sql in fixtures.PAYLOAD_RULES)} FROM events",
+)
+def q_event_payload_fields(spark, sf_dir):
+    """The eight event-specific fields out of raw JSON, each present for its event types only."""
+    raw = fixtures.events_with_payload(spark, sf_dir)
+    return payload.extract_payload(raw, "raw").select("event_id", *payload.PAYLOAD_SCHEMA.fieldNames())
+
+
+@register("check_not_empty", O.with_silver("SELECT 'bronze' AS layer, COUNT(*) > 0 AS has_rows FROM bronze UNION ALL SELECT 'silver', COUNT(*) > 0 FROM silver"))
+def q_check_not_empty(spark, sf_dir):
+    """V7: the guard passes for each layer, and the layers do have rows."""
+    b = _bronze(spark, sf_dir)
+    layers = {"bronze": b, "silver": silver.silver_events(b)}
+    for name, df in layers.items():
+        sinks.assert_not_empty(df, name)
+    return report.layer_counts(layers).select("layer", (F.col("total_rows") > 0).alias("has_rows"))
+
+
+@register("check_silver_bounded", O.with_silver("SELECT (SELECT COUNT(*) FROM silver) AS silver_rows, (SELECT COUNT(*) FROM bronze) AS bronze_rows"))
+def q_check_silver_bounded(spark, sf_dir):
+    """V9: Silver has no more rows than Bronze; the guard raises otherwise."""
+    b = _bronze(spark, sf_dir)
+    counts = report.layer_counts({"bronze": b, "silver": silver.silver_events(b)})
+    row = counts.agg(F.max(F.when(F.col("layer") == "silver", F.col("total_rows"))).alias("silver_rows"), F.max(F.when(F.col("layer") == "bronze", F.col("total_rows"))).alias("bronze_rows"))
+    sinks.assert_bounded(*row.first())
+    return row

@@ -320,3 +320,25 @@ def bronze_with_extremes_sql() -> str:
         shown = "CAST('Infinity' AS DOUBLE)" if value == float("inf") else f"CAST({value!r} AS DOUBLE)"
         out[column] = f'CASE WHEN "offset" % {divisor} = 0 THEN {shown} ELSE {out[column]} END'
     return f"SELECT * REPLACE ({', '.join(f'{x} AS {c}' for c, x in out.items())}) FROM ({bronze_sql()}) plain"
+
+
+# ------------------------------------------------ F8: event-specific payload
+
+#: (field, SQL over `events`), valid in Spark and DuckDB: values by event type as
+#: a producer sends them; other types lack the field.
+PAYLOAD_RULES: list[tuple[str, str]] = [
+    ("page", "CASE WHEN event_type = 'view' THEN concat('page_', cast(event_id % 6 as string)) END"),
+    ("duration_seconds", "CASE WHEN event_type = 'view' THEN cast(5 + event_id % 896 as double) END"),
+    ("view_duration_seconds", "CASE WHEN event_type IN ('view', 'click') THEN cast(5 + event_id % 596 as double) END"),
+    ("cart_quantity", "CASE WHEN event_type = 'add_to_cart' OR event_id % 3 = 0 THEN cast(1 + event_id % 5 as int) END"),
+    ("order_id", "CASE WHEN event_type = 'purchase' THEN concat('ORD-', cast(100000 + event_id % 900000 as string)) END"),
+    ("payment_method", "CASE WHEN event_type = 'purchase' AND event_id % 7 <> 0 THEN 'paypal' END"),
+    ("purchase_status", "CASE WHEN event_type = 'purchase' THEN CASE WHEN event_id % 7 = 0 THEN 'failed' ELSE 'completed' END END"),
+    ("failure_reason", "CASE WHEN event_type = 'purchase' AND event_id % 7 = 0 THEN 'card_declined' END"),
+]
+
+
+def events_with_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as raw JSON with its payload fields (absent where NULL)."""
+    fields = F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type", *[F.expr(sql).alias(name) for name, sql in PAYLOAD_RULES])
+    return read_table(spark, sf_dir, "events").select("event_id", F.to_json(fields).alias("raw"))

@@ -120,10 +120,16 @@ def assert_bounded(silver_rows: int, bronze_rows: int) -> None:
 
 
 def compact(spark: SparkSession, src: str, dst: str, schema: StructType, partition_col: str = "event_date_parsed",
-            max_records_per_file: int = 1_000_000) -> str:
+            max_records_per_file: int = 1_000_000, low: str | None = None, high: str | None = None) -> str:
     """Rewrite a many-small-files partitioned directory into few files per
-    partition at a new location (the caller then switches readers to `dst`)."""
+    partition at a new location (the caller then switches readers to `dst`).
+    With `low` and `high` only partitions in that range (inclusive) are read and
+    rewritten, so a scheduled run touches the newest ones, not the whole table."""
     df = spark.read.schema(schema).parquet(src)
+    if low is not None:
+        df = df.where(F.col(partition_col) >= low)
+    if high is not None:
+        df = df.where(F.col(partition_col) <= high)
     write_partitioned(df, dst, partition_col, mode="errorifexists", max_records_per_file=max_records_per_file)
     return dst
 
