@@ -4,12 +4,16 @@ Every line, every paragraph and the whole of a text is a unit. A unit of u
 distinct bigrams can reach a Dice coefficient of q with a template of t only if
 u lies between q t / (2 - q) and t (2 - q) / q, so templates are joined by the
 unit's size (an equality join with the table of all admissible sizes, whose
-length follows from the templates alone) and only then compared. Nothing is
-shuffled; all of it is SQL functions.
+length follows from the templates alone) and only then compared. Before that,
+texts and units without any anchor word are left out: a set of words chosen so
+that a unit that reaches q must hold one of them. Nothing is shuffled; all of it
+is SQL functions.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,39 @@ def bigrams(word: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(word, 1, n), F.slice(word, F.lit(2), n), lambda a, b: F.xxhash64(a, b)))
 
 
+def anchor_words(templates: dict[str, str], min_percent: int) -> list[str]:
+    """Words of which a unit that reaches the threshold with some template has one.
+
+    Such a unit holds at least percent * t / (200 - percent) of the t bigrams of the
+    template. Of any set of bigrams that is larger than what may be missing, one is
+    therefore present, and with it both its words; the sets are chosen so that
+    they share few, long words.
+    """
+    chosen: set[str] = set()
+    for text in templates.values():
+        word = re.findall("[a-z0-9]+", text.translate(str.maketrans(_UPPER, _LOWER)))
+        pairs = set(zip(word, word[1:]))
+        needed = len(pairs) - -(-min_percent * len(pairs) // (200 - min_percent)) + 1
+        covered: set[tuple[str, str]] = set()
+        # Long words first; a number is rarer in prose than a word of a few letters.
+        for w in sorted(set(word), key=lambda w: (w not in chosen, -max(len(w), 5 * w.isdigit()), w)):
+            if len(covered) >= min(needed, len(pairs)):
+                break
+            covered |= {p for p in pairs if w in p}
+            chosen.add(w)
+    # A word that contains another chosen word adds nothing to a substring test.
+    return sorted(w for w in chosen if not any(o != w and o in w for o in chosen))
+
+
+def has_anchor(text: Column, anchors: list[str]) -> Column:
+    """True where some anchor word occurs as a substring of the lower-cased text: a superset of the units that can match."""
+    low = F.lower(text)
+    test = F.lit(False)
+    for w in anchors:
+        test = test | F.contains(low, F.lit(w))
+    return test
+
+
 def units(text: Column) -> Column:
     """Distinct lines, paragraphs and the text itself."""
     return F.array_distinct(F.concat(F.split(text, "\n", -1), F.split(text, "\n[ \t]*\n", -1), F.array(text)))
@@ -72,8 +109,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """
     spark = docs.sparkSession
     sizes = template_sizes(spark, templates or TEMPLATES, min_percent)
+    anchors = anchor_words(templates or TEMPLATES, min_percent)
     part = (
-        docs.select(F.col(id_col).alias("id"), F.explode(units(F.col(text_col))).alias("matched"))
+        docs.where(has_anchor(F.col(text_col), anchors)).select(F.col(id_col).alias("id"), F.explode(units(F.col(text_col))).alias("matched"))
+        .where(has_anchor(F.col("matched"), anchors))
         .withColumn("unit", bigrams(words(F.col("matched")))).withColumn("unit_bigrams", F.size("unit")).where("unit_bigrams > 0")
     )
     # The size table's length is bounded by the templates, not by the data.

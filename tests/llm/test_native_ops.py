@@ -77,3 +77,22 @@ def test_long_conversations_come_in_parts(spark):
     got = chat_collapse.collapse(spark.createDataFrame(long + short, SCHEMA), chunk_turns=100).orderBy("part").collect()
     assert {r["conv_id"] for r in got} == {1} and [r["part"] for r in got] == list(range(13))
     assert "".join(r["chat"] for r in got) == "".join(f"<|im_start|>user\nt{n}<|im_end|>\n" for n in range(1300))
+
+
+def test_anchor_words_lose_nothing():
+    import random
+    import re
+
+    r = random.Random(8)
+    anchors = license_scan.anchor_words(license_scan.TEMPLATES, 80)
+    fold = lambda s: re.findall("[a-z0-9]+", s.lower())
+    for text in license_scan.TEMPLATES.values():
+        word = fold(text)
+        pairs = set(zip(word, word[1:]))
+        for _ in range(300):
+            unit = [w for w in word if r.random() < r.choice([0.8, 0.9, 1])]
+            for _ in range(r.randint(0, 4)):
+                unit.insert(r.randint(0, len(unit)), f"zz{r.randint(0, 9)}q")
+            mine = set(zip(unit, unit[1:]))
+            if mine and 200 * len(mine & pairs) >= 80 * (len(mine) + len(pairs)):
+                assert any(a in " ".join(unit) for a in anchors)
