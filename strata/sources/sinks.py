@@ -61,9 +61,9 @@ def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet", par
     version path and the number of rows written (an `Observation` taken during
     the write, no second pass over the data).
 
-    A table of another schema or partitioning is replaced: its definition is
-    dropped (an external table, so no data goes) and created over the new
-    version. `partition_by` lays the files out by column values, so later reads
+    A table of another schema, or a partitioned one (whose catalog entries name the
+    old version's folders), is replaced: its definition is dropped (an external
+    table, so no data goes) and created over the new version. `partition_by` lays the files out by column values, so later reads
     are pruned by them.
     """
     partition_by = list(partition_by or [])
@@ -77,7 +77,7 @@ def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet", par
     wanted = _layout(df.schema.fields, partition_by)
     if spark.catalog.tableExists(table):
         now = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-        if now == partition_by and _layout(spark.table(table).schema.fields, now) == wanted:
+        if not now and not partition_by and _layout(spark.table(table).schema.fields, now) == wanted:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
         else:
             spark.sql(f"DROP TABLE {table}")

@@ -44,3 +44,17 @@ def test_batch_job_run(spark, sf_small):
     uniq = {r.layer: (r.total_rows, r.unique_events) for r in reports["uniqueness"].collect()}
     assert uniq["silver"] == (4460, 4460)
     assert reports["silver_sample"].count() == 5
+
+
+def test_producer_counts_every_line_and_loses_no_event(spark):
+    """Joined or quoted lines are quarantined as a whole: no event vanishes uncounted."""
+    one = '{"event_id":"%s","user_id":"u","session_id":"s","event_type":"view","timestamp":"t","product_id":"p"}'
+    lines = [one % "e1", one % "e2" + one % "e3", one % "e4" + " " + one % "e5", one % "e6" + "}", one % "e7" + "," + one % "e8", (one % "e9").replace('"', "'"), "null", "NaN", one % "\\u001c"]
+    src, out = scratch_path(spark, "test-joined"), scratch_path(spark, "test-joined-out")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
+    assert produce.run(spark, src, out) == {"sent": 1, "invalid": len(lines) - 1}
+    sent = [json.loads(bytes(r["value"]))["event_id"] for r in spark.read.parquet(f"{out}/records").collect()]
+    kept = {r["json_line"]: r["reason"] for r in spark.read.parquet(f"{out}/quarantine").collect()}
+    assert sent == ["e1"] and set(kept) == set(lines[1:])
+    assert [kept[x] for x in lines[1:6]] == ["Invalid JSON"] * 5 and kept["null"] == kept["NaN"] == "JSON record is not an object"
+    assert kept[lines[8]] == "Required field 'event_id' is empty"

@@ -2,6 +2,8 @@
 
 import glob
 
+import uuid
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans.fixtures import bronze_fixture
@@ -46,3 +48,56 @@ def test_bronze_directory_missing_or_empty(spark):
     spark.createDataFrame([], BRONZE_SCHEMA).write.parquet(empty)
     with pytest.raises(RuntimeError, match="is empty"):
         batch_job.load_bronze(spark, empty, scratch_path(spark, "t-wh"))
+
+
+def test_publish_replaces_the_schema(spark):
+    base, table = scratch_path(spark, "test-publish"), f"pub_{uuid.uuid4().hex[:8]}"
+    sinks.publish(spark.createDataFrame([(1,)], "a int"), table, base)
+    sinks.publish(spark.createDataFrame([(2, "x")], "a int, b string"), table, base)
+    assert [tuple(r) for r in spark.table(table).collect()] == [(2, "x")]
+    _, n = sinks.publish(spark.createDataFrame([("y", "p"), ("z", "q")], "a string, day string"), table, base, partition_by=["day"])
+    sinks.assert_reconciled(spark, table, n)
+    assert sorted(map(tuple, spark.table(table).collect())) == [("y", "p"), ("z", "q")]
+    _, n = sinks.publish(spark.createDataFrame([("w", "r")], "a string, day string"), table, base, partition_by=["day"])
+    assert n == 1 and [tuple(r) for r in spark.table(table).collect()] == [("w", "r")]
+    spark.sql(f"DROP TABLE {table}")
+
+
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_overwrite_mode_is_set_per_write(spark, session_mode):
+    path = scratch_path(spark, "test-overwrite")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    try:
+        both = spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string")
+        sinks.write_partitioned(both, path, "day")
+        sinks.write_partitioned(both.where("day = 'a'"), path, "day")
+        assert spark.read.parquet(path).count() == 1
+        sinks.write_partitioned(both.where("day = 'b'"), path, "day", overwrite="dynamic")
+        assert spark.read.parquet(path).count() == 2
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_compaction_of_a_partition_range(spark):
+    src, dst = scratch_path(spark, "test-range"), scratch_path(spark, "test-range-out")
+    rows = spark.createDataFrame([(i, f"2024-0{1 + i % 4}") for i in range(40)], "v int, month string")
+    sinks.write_partitioned(rows, src, "month")
+    sinks.compact(spark, src, dst, rows.schema, "month", low="2024-02", high="2024-03")
+    assert sorted({r["month"] for r in spark.read.parquet(dst).collect()}) == ["2024-02", "2024-03"]
+
+
+def test_cluster_without_shared_folder_is_an_error(monkeypatch):
+    from strata import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None
+        def getConf(self): return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

@@ -126,3 +126,38 @@ def test_watermark_progression(spark, sf_small):
     expected = (first_max - dt.timedelta(minutes=10)).strftime("%Y-%m-%dT%H:%M:%S")
     assert marks[1].startswith(expected)
     assert spark.table("strata_wm").count() == ev.count()
+
+
+def test_silver_log_survives_a_crash_and_a_replay(spark, sf_small):
+    """A batch that fails half-way loses nothing that is stored; its replay replaces its own folder."""
+    import os
+
+    from strata.operators import silver
+    from strata.plans.fixtures import bronze_fixture
+    from strata.session import local_path, scratch_path
+    from strata.streaming import jobs
+
+    b = bronze_fixture(spark, sf_small).cache()
+    log = scratch_path(spark, "test-silver-log")
+    first, second = b.filter("partition < 2"), b.filter("partition >= 2")
+    jobs.append_silver_batch(first, 0, log)
+    size = lambda n: sum(f.stat().st_size for f in __import__("pathlib").Path(local_path(log), f"_batch={n}").rglob("*.parquet"))
+    stored = size(0)
+
+    broken = second.withColumn("search_query", F.when(F.col("offset") % 50 == 0, F.raise_error(F.lit("crash"))).otherwise(F.col("search_query")))
+    try:
+        jobs.append_silver_batch(broken, 1, log)
+        raise AssertionError("the write should have failed")
+    except Exception as exc:  # noqa: BLE001
+        assert "crash" in str(exc)
+    assert size(0) == stored and jobs.resolve_silver(spark, log).count() == silver.silver_events(first).count()
+
+    for number in (1, 1, 2):  # the replay of batch 1, once more, and the second batch again under a new number
+        jobs.append_silver_batch(second, number, log)
+    want = sorted(map(str, silver.silver_events(b).collect()))
+    assert sorted(map(str, jobs.resolve_silver(spark, log).collect())) == want
+    assert size(0) == stored and os.path.isdir(local_path(log))
+    # A small batch writes little, however large the log is.
+    jobs.append_silver_batch(second.limit(10), 3, log)
+    assert size(3) < 0.2 * stored
+    b.unpersist()
