@@ -123,12 +123,21 @@ def test_wide_payload_fields(spark):
 
 def test_enrich_market_fills_missing(spark):
     ev = spark.createDataFrame([("Canada", None), ("India", "APAC"), ("Mars", None)], "country string, market string")
-    lookup = spark.createDataFrame([("Canada", "Canada"), ("India", "APAC"), ("India", "Asia")], "country string, market string")
+    lookup = spark.createDataFrame([("Canada", "Canada"), ("India", "APAC"), ("India", "APAC")], "country string, market string")
     rows = quality.enrich_market(ev, lookup).collect()
     assert len(rows) == 3  # a repeated lookup key never multiplies events
     assert {r.country: r.market for r in rows} == {"Canada": "Canada", "India": "APAC", "Mars": None}
 
 
+def test_two_markets_for_a_country_are_an_error(spark):
+    import pytest
+
+    ev = spark.createDataFrame([("India", None)], "country string, market string")
+    lookup = spark.createDataFrame([("India", "APAC"), ("India", "Asia")], "country string, market string")
+    with pytest.raises(Exception, match="several markets for country India"):
+        quality.enrich_market(ev, lookup).collect()
+
+
 def test_missing_kafka_connector_is_reported(spark):
     import pytest
 

@@ -53,9 +53,29 @@ def test_no_python_udf_in_any_plan(spark, sf_small):
 
 
 def test_fan_out_queries_read_stored_layers(spark, sf_small):
-    """Queries that branch one layer into several aggregations read it from
+    """Queries that branch Silver into several aggregations read it from
     storage; the star join is not recomputed per branch."""
-    for key in ("layer_counts", "verify_uniqueness", "event_type_counts", "silver_invariants", "gold_customer_activity",
-                "gold_product_performance", "top_products", "dash_category_sales"):
+    for key in ("gold_customer_activity", "gold_product_performance", "top_products", "dash_category_sales"):
         p = plan(catalog.QUERIES[key](spark, sf_small))
         assert "lineitem.parquet" not in p, key
+
+
+def test_only_needed_columns_are_staged(spark, sf_small, monkeypatch):
+    """No copy of Bronze for counts, and no Silver column that the query does not read."""
+    staged = {}
+    real = catalog.sinks.stage
+
+    def recording(df, path):
+        staged[key].append(df.columns)
+        return real(df, path)
+
+    monkeypatch.setattr(catalog.sinks, "stage", recording)
+    for key in ("layer_counts", "verify_uniqueness", "event_type_counts", "silver_invariants", "gold_product_performance", "gold_customer_activity", "dash_geo_sales"):
+        staged[key] = []
+        catalog.QUERIES[key](spark, sf_small)
+    invariants = ["event_id", "discount_percent", "quantity", "removed_quantity", "net_quantity", "product_price"]
+    assert staged == {
+        "layer_counts": [catalog.GOLD_INPUT], "verify_uniqueness": [], "event_type_counts": [], "silver_invariants": [invariants],
+        "gold_product_performance": [catalog.PRODUCT_INPUT], "gold_customer_activity": [catalog.CUSTOMER_INPUT], "dash_geo_sales": [catalog.CUSTOMER_INPUT],
+    }
+    assert len(catalog.PRODUCT_INPUT) == 13 and len(catalog.CUSTOMER_INPUT) <= 15
