@@ -1,43 +1,98 @@
-"""Connected components of an edge table, as DataFrame rounds.
-
-Hash-to-Min: in each round every node sends its smallest neighbour to all its
-neighbours; old edges are dropped, new ones made distinct. The rounds end when
-the edge set no longer changes: each component is then a star around its
-smallest node. Hub nodes stay rows of a join that adaptive execution can split;
-no neighbour list is ever collected. Each round is checkpointed to the shared
-folder, so a lost executor replays one round at most.
+"""Connected components of an edge table.
+
+Edges are first contracted inside tasks: each task reads a bounded number of
+them and returns a spanning forest of stars, which has fewer edges and the same
+components. What fits one task's bound is finished there. A larger graph goes on
+with Hash-to-Min rounds: every node sends its smallest neighbour to all its
+neighbours, old edges are dropped, new ones made distinct, until the edge set no
+longer changes and each component is a star around its smallest node. Hub nodes
+stay rows of a join that adaptive execution can split; no neighbour list is ever
+collected. Each step is checkpointed to the shared folder, so a lost executor
+replays one step at most.
 """
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import checkpoint_root
 
+#: Edges that one task contracts at once: 16 bytes each, and a dictionary entry per node.
+TASK_EDGES = 1_000_000
+
+
+def _contract(limit: int):
+    def stars(a: list, b: list) -> pa.RecordBatch:
+        root: dict = {}
+
+        def find(z):
+            top = z
+            while (up := root.get(top, top)) != top:
+                top = up
+            while root.get(z, z) != top:
+                root[z], z = top, root[z]
+            return top
+
+        for x, y in zip(a, b):
+            p, q = find(x), find(y)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+        node = list(root)
+        low = [find(z) for z in node]
+        return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(low, pa.int64())], ["a", "b"])
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node that has an edge; `component` is the
-    smallest node of its component. No edges give an empty result. Edges with
-    a null end, repeated edges and self-loops have no effect."""
+    def run(batches):
+        a, b = [], []
+        for rb in batches:
+            a += rb.column(0).to_pylist()
+            b += rb.column(1).to_pylist()
+            if len(a) >= limit:
+                yield stars(a, b)
+                a, b = [], []
+        if a:
+            yield stars(a, b)
+
+    return run
+
+
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", task_edges: int = TASK_EDGES) -> DataFrame:
+    """(node, component) for every node (bigint) that has an edge to another one;
+    `component` is the smallest node of its component. No edges give an empty
+    result. Edges with a null end, repeated edges and self-loops have no effect."""
     checkpoint_root(edges.sparkSession)
-    one = edges.where(F.col(a) != F.col(b)).select(
-        F.greatest(F.col(a), F.col(b)).alias("node"), F.least(F.col(a), F.col(b)).alias("low"))
-    star = one.distinct().checkpoint(eager=True)
+    forest = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("a"), F.col(b).alias("b")).checkpoint(eager=True)
+    size, before, one_task = forest.count(), math.inf, False
+    while not one_task and size <= 0.7 * before:
+        # Neighbouring partitions are read by one task, without a shuffle; a task works in runs of the bound.
+        tasks = max(1, math.ceil(size / task_edges))
+        one_task = tasks == 1
+        forest = forest.coalesce(tasks).mapInArrow(_contract(task_edges), "a bigint, b bigint").checkpoint(eager=True)
+        size, before = forest.count(), size
+    star = forest.select(F.col("a").alias("node"), F.col("b").alias("low"))
+    if not one_task:
+        star = _rounds(star)
+    return star.select("node", F.col("low").alias("component")).unionByName(
+        star.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
+
+
+def _rounds(star: DataFrame) -> DataFrame:
+    """Hash-to-Min until the edges are stars."""
+    star = star.distinct().checkpoint(eager=True)
     seen = None
     while True:
-        mark = star.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)")).alias("h")).first()
-        if mark["n"] == 0 or tuple(mark) == seen:
-            return star.select("node", F.col("low").alias("component")).unionByName(
-                star.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
-        seen = tuple(mark)
-        both = star.select(F.col("node").alias("u"), F.col("low").alias("v")).unionByName(
-            star.select(F.col("low").alias("u"), F.col("node").alias("v")))
+        mark = tuple(star.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))).first())
+        if mark[0] == 0 or mark == seen:
+            return star
+        seen = mark
+        both = star.select(F.explode(F.array(F.struct(F.col("node").alias("u"), F.col("low").alias("v")), F.struct(F.col("low").alias("u"), F.col("node").alias("v")))).alias("e")).select("e.u", "e.v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         sent = both.join(least, "u")
         star = (
-            sent.select(F.col("v").alias("x"), "m").unionByName(least.select(F.col("u").alias("x"), "m"))
-            .where(F.col("x") != F.col("m"))
+            sent.select(F.explode(F.array("v", "u")).alias("x"), "m").where(F.col("x") != F.col("m"))
             .select(F.greatest("x", "m").alias("node"), F.least("x", "m").alias("low"))
             .distinct().checkpoint(eager=True)
         )
