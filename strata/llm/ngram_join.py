@@ -59,7 +59,7 @@ SKETCH_BITS = 22
 MAX_FILTER_BITS = 28
 BLOCK_ROWS = 256
 BUCKET_BYTES = 64 << 20
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 1_000_000
 U64 = np.uint64
 
 
