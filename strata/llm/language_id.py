@@ -118,11 +118,18 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     total is bounded by `per_language` times the number of languages. Without
     such rows the model is empty and predicts `und`."""
     known = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), usable.alias("ok"))
-    known = known.where("ok and id is not null and text is not null and lang is not null")
-    count = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = known.where("ok and id is not null and text is not null and lang is not null").select("id", "lang", "text")
+    # The sample is chosen from ids and languages alone; no text is shuffled.
+    narrow = known.select("id", "lang")
+    count = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     languages = count.count()
     draw = F.pmod(F.xxhash64("id", F.lit("language sample")), F.lit(1 << 30)) / float(1 << 30)
-    rows = known.join(count, "lang").withColumn("draw", draw).where(F.col("draw") * F.col("n") < float(per_language)).select("id", "lang", "text")
+    chosen = (
+        narrow.join(count, "lang").where(draw * F.col("n") < float(per_language)).select("id").distinct()
+        .orderBy(F.xxhash64("id"), "id").limit(per_language * max(languages, 1))
+    )
+    # At most per_language ids per language: a bound that does not grow with the data.
+    rows = known.join(F.broadcast(chosen), "id").select("id", "lang", "text")
 
     def features(batches):
         for rb in batches:
