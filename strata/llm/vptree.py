@@ -6,7 +6,9 @@ Euclidean distance of the unit vectors, which orders like the cosine. A query
 descends the near side first; the far side is skipped when the triangle
 inequality says that nothing there can be nearer than the worst kept neighbour:
 `factor` * (distance to the border) > worst. With factor 1 the search is exact;
-a larger factor skips more and may miss neighbours. Query blocks meet every
+a larger factor skips more and may miss neighbours. A second descent collects every
+point within rounding of the last kept cosine, so that ties of any number are ranked
+by their exact scores and ids. Query blocks meet every
 shard; each visit of a node serves all its queries in one numpy step. The trees
 are stored in the shared folder, one row per shard.
 """
@@ -26,9 +28,10 @@ from pyspark.sql.window import Window
 from strata.session import scratch_path
 
 SHARD_ROWS, BLOCK_ROWS, LEAF = 4096, 1024, 48
-#: Points kept beyond k during a search: the query's own, and near ties that the exact score decides.
-EXTRA = 4
-EPS = 1e-9
+#: Cosines this close are decided by the exact score; distances near zero are only good to the square root of a rounding error.
+EPS, EPS_DISTANCE = 1e-9, 1e-7
+#: Vector components compared at once when exact scores are taken.
+SCORE_CELLS = 1 << 21
 
 
 @dataclass
@@ -118,6 +121,32 @@ def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.n
     return who, best, compared
 
 
+def collect(tree: Tree, queries: np.ndarray, floor: np.ndarray, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query row, point number) of all points whose cosine reaches the query's `floor`."""
+    q_out: list[np.ndarray] = []
+    point_out: list[np.ndarray] = []
+    reach = np.where(np.isfinite(floor), np.sqrt(np.maximum(0, 2 - 2 * np.maximum(floor, -1.0))) + EPS_DISTANCE, np.inf)
+
+    def visit(number: int, q: np.ndarray) -> None:
+        node = tree.nodes[number]
+        if node[0] is None:
+            a, b = node[1], node[2]
+            row, column = np.nonzero(queries[q] @ tree.unit[a:b].T >= floor[q][:, None])
+            q_out.append(q[row])
+            point_out.append(a + column)
+            return
+        point, radius, inner, outer = node
+        gap = np.sqrt(np.maximum(0, 2 - 2 * (queries[q] @ point))) - radius
+        for number, far in ((inner, gap > 0), (outer, gap <= 0)):
+            mine = q[~far | (factor * np.abs(gap) <= reach[q])]
+            if len(mine):
+                visit(number, mine)
+
+    if len(queries) and tree.nodes:
+        visit(0, np.arange(len(queries)))
+    return np.concatenate(q_out or [np.zeros(0, np.int64)]), np.concatenate(point_out or [np.zeros(0, np.int64)])
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise cosine in double precision, sums taken from left to right."""
     def total(x: np.ndarray) -> np.ndarray:
@@ -183,10 +212,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 1.
             tree: Tree = pickle.loads(tree_rows["tree"][0].as_py())
             ids = query_rows["id"].to_numpy()
             raw = query_rows["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            who, _, _ = search(tree, raw / np.linalg.norm(raw, axis=1, keepdims=True), k + EXTRA, factor)
-            q, slot = np.nonzero(who >= 0)
-            point = who[q, slot]
-            score = cosine(raw[q], tree.raw[point])
+            unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+            # One point more than k: the query's own may be among them.
+            _, best, _ = search(tree, unit, k + 1, factor)
+            q, point = collect(tree, unit, best[:, -1] - EPS, factor)
+            step = max(1, SCORE_CELLS // raw.shape[1])
+            score = np.concatenate([cosine(raw[q[i : i + step]], tree.raw[point[i : i + step]]) for i in range(0, len(q), step)] or [np.zeros(0)])
             count = np.array([len(x) for x in tree.ids])[point]
             name = np.concatenate([tree.ids[p] for p in point]) if len(point) else np.zeros(0, np.int64)
             q, score = np.repeat(q, count), np.repeat(score, count)

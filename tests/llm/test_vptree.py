@@ -54,3 +54,16 @@ def test_relaxed_factor_compares_less_and_keeps_recall():
     loose, _, fewer = vptree.search(tree, q, 6, 1.6)
     recall = np.mean([len(set(a) & set(b)) / 6 for a, b in zip(exact, loose)])
     assert recall >= 0.9 and fewer < full < len(q) * 4000
+
+
+def test_dozens_of_ties_go_to_the_smaller_id(spark):
+    # 0/1 vectors: hundreds of distinct points share each cosine. Powers of two: distinct points of one direction.
+    r = np.random.default_rng(7)
+    raw = np.unique((r.random((2000, 14)) < 0.4).astype(np.float64), axis=0)
+    raw = raw[raw.any(axis=1)]
+    raw = np.concatenate([raw, raw[3] * 2.0 ** np.arange(1, 40)[:, None]])
+    raw = raw[r.permutation(len(raw))]
+    ids = np.arange(len(raw))
+    df = spark.createDataFrame([(int(i), [float(x) for x in v], 0, 1, "s") for i, v in zip(ids, raw)], SCHEMA)
+    got = vptree.nearest(df, F.col("id") % 20 == 0, shard_rows=700, block_rows=30)
+    assert sorted(map(tuple, got.collect())) == brute(ids, raw, ids[ids % 20 == 0])
