@@ -47,8 +47,8 @@ _ALL_TITLES = "|".join(sorted((t for v in TITLES.values() for t in v), key=len,
 #: The detection patterns, tried in this order at each place.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63}){1,8}",
-    "assigned": r"(?i:password|passwd|secret|token|api[_\-]?key|access[_\-]?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}[\"']?[A-Za-z0-9_\-+/=.~!@#$%^&*]{8,512}",
-    "secret": r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,255}|sk-[A-Za-z0-9_\-]{20,255}|[0-9a-fA-F]{32,512})(?![\p{L}\p{N}_])",
+    "assigned": r"(?i:password|passwd|secret|token|api[_\-]?key|access[_\-]?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}[\"']?[A-Za-z0-9_\-+/=.~!@#$%^&*]{8,}+",
+    "secret": r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_\-]{20,}|[0-9a-fA-F]{32,}+)(?![\p{L}\p{N}_])",
     "ipv4": rf"{_OCTET}(?:\.{_OCTET}){{3}}(?![.\d]*\d)",
     "ssn": r"\d{3}-\d{2}-\d{4}(?![\d\-])",
     "iban": r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
@@ -56,7 +56,8 @@ PATTERNS = {
     "card": r"\d(?:[ \-]?\d){12,18}(?![\p{L}\d])",
     "person": rf"(?:{_ALL_TITLES})\.?[ ]\p{{Lu}}\p{{L}}+(?:[ \-]\p{{Lu}}\p{{L}}+){{0,2}}",
 }
-ENTITY = rf"(?<![\p{{L}}\p{{N}}_.%+\-@])(?:{PATTERNS['email']})|{_EDGE}(?:" + "|".join(p for k, p in PATTERNS.items() if k not in ("email", "phone")) + rf")|(?<![\p{{L}}\p{{N}}_+(])(?:{PATTERNS['phone']})"
+#: The name of an assignment may follow '_' (access_token=): the part before it stays.
+ENTITY = rf"(?<![\p{{L}}\p{{N}}_.%+\-@])(?:{PATTERNS['email']})|(?<![\p{{L}}\p{{N}}])(?:{PATTERNS['assigned']})|{_EDGE}(?:" + "|".join(p for k, p in PATTERNS.items() if k not in ("email", "assigned", "phone")) + rf")|(?<![\p{{L}}\p{{N}}_+(])(?:{PATTERNS['phone']})"
 
 _TITLE = rf"^(?:{_ALL_TITLES})\.?[ ]"
 _ASSIGN = r"^[A-Za-z_\-]+[\x20\t]*[=:][\x20\t]*[\"']?"
@@ -96,13 +97,14 @@ def _pick(seed: Column, at: Column | int, letters: str) -> Column:
 
 def _redraw(value: Column, seed: Column, hexadecimal: Column) -> Column:
     """Letters and digits drawn anew by position among letters and digits; the rest stays."""
-    def step(acc: Column, c: Column) -> Column:
-        lower = F.when(hexadecimal, _pick(seed, acc["i"], "abcdef")).otherwise(_pick(seed, acc["i"], "abcdefghijklmnopqrstuvwxyz"))
-        new = F.when(c.rlike("[0-9]"), _pick(seed, acc["i"], "0123456789")).when(c.rlike("[a-z]"), lower).when(c.rlike("[A-Z]"), F.upper(lower))
-        return F.struct(F.concat(acc["out"], F.coalesce(new, c)).alias("out"), (acc["i"] + new.isNotNull().cast("int")).alias("i"))
-
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("i"))
-    return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["out"])
+    def new(c: Column, i: Column) -> Column:
+        lower = F.when(hexadecimal, _pick(seed, i, "abcdef")).otherwise(_pick(seed, i, "abcdefghijklmnopqrstuvwxyz"))
+        return F.when(c.rlike("[0-9]"), _pick(seed, i, "0123456789")).when(c.rlike("[a-z]"), lower).otherwise(F.upper(lower))
+
+    # Linear in the length: what lies between letters and digits is joined back in one step.
+    drawn = F.transform(F.regexp_extract_all(value, F.lit("[A-Za-z0-9]"), F.lit(0)), new)
+    between = F.split(value, "[A-Za-z0-9]", -1)
+    return F.array_join(F.zip_with(F.concat(F.array(F.lit("")), drawn), between, lambda d, b: F.concat(d, b)), "")
 
 
 def _luhn(value: Column) -> Column:

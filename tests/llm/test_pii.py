@@ -73,3 +73,17 @@ def test_whole_table_hides_every_entity(small_docs):
         if not hits:
             assert r["text"] == old
         assert kinds.sub("", old) == kinds.sub("", r["text"])
+
+
+def test_long_secrets_go_whole_and_names_may_have_a_prefix(documents):
+    run_of = "Ab3x9Zk7Qm" * 400
+    hexes = "0123456789abcdef" * 300
+    texts = [f"token={run_of} end", f"modulus {hexes} end", f"key ghp_{run_of} end", f"key sk-{run_of} end", "access_token=q7w8e9r0t1y2 end", "DB_PASSWORD=Hunter2Hunter2 end", "client_secret: s3cr3tv4lue end", f"token={'x-Y/z=' * 30_000} end"]
+    got = [r["text"] for r in run(documents(*enumerate(texts))).orderBy("doc_id").collect()]
+    for old, new in zip(texts, got):
+        assert len(old) == len(new) and new.endswith(" end")
+        # The replaced run differs to its end: no ten characters of the value stay.
+        value_old, value_new = (re.search(r"(?:[=: ]|ghp_|sk-)([^ ]{10,}) end", t)[1] for t in (old, new))
+        assert not any(a == b for a, b in zip(re.findall(".{10}", value_old), re.findall(".{10}", value_new))), old[:30]
+    assert [g.split("=")[0].split(":")[0] for g in got[4:7]] == ["access_token", "DB_PASSWORD", "client_secret"]
+    assert re.fullmatch(r"modulus [0-9a-f]{4800} end", got[1])
