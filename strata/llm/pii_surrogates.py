@@ -9,7 +9,9 @@ gets the same surrogate in every document, however it is written (coreference).
 
 Distinctness is checked on the whole table: two entities must not share a
 surrogate, and no surrogate may be an entity that occurs. An entity that fails
-draws again with a higher attempt number until none does. Attempts above zero
+draws again with a higher attempt number until none does. Every WIDEN_EVERY
+attempts the values to draw from become more (another digit, a longer surname,
+further private octets), so that dense tables come to an end too. Attempts above zero
 are rare; only texts that hold such an entity take part in the join that brings
 them in. Everything is SQL functions: texts are not shuffled for the rest.
 """
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 
 from strata.session import checkpoint_root
 
-MAX_ATTEMPTS = 60
+#: After so many attempts an entity draws from a larger set of values; no number of attempts is the last.
+WIDEN_EVERY = 4
 
 #: Titles by the gender they tell, and given names by gender and script.
 TITLES = {
@@ -121,16 +124,28 @@ def _card(value: Column, drawn: Column) -> Column:
     return F.when(_luhn(value) % 10 == 0, fixed).otherwise(drawn)
 
 
-def _ipv4(value: Column, seed: Column) -> Column:
+def _tier(attempt: Column) -> Column:
+    return F.floor(attempt / WIDEN_EVERY).cast("int")
+
+
+def _ipv4(value: Column, seed: Column, tier: Column) -> Column:
+    """Private addresses keep their first half, then (by tier) move within 10/8 or 127/8;
+    then all use the reserved 240/4, then more than four parts."""
     part = F.split(value, r"\.")
     own = value.rlike(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.")
     drawn = F.transform(part, lambda p, i: F.when(own & (i < 2), p).otherwise((F.pmod(F.xxhash64(seed, i), F.when(i == 0, 223).otherwise(254)) + 1).cast("string")))
     # A public address must not become a private one.
     head = F.when(~own & drawn[0].isin("10", "127", "172", "192"), F.lit("198")).otherwise(drawn[0])
-    return F.concat_ws(".", head, drawn[1], drawn[2], drawn[3])
+    octet = lambda i: F.pmod(F.xxhash64(seed, i), F.lit(256)).cast("string")
+    rest = F.concat_ws(".", *[octet(F.lit(i)) for i in (1, 2, 3)])
+    block = F.when(value.startswith("127."), F.lit("127.")).otherwise(F.lit("10."))
+    reserved = F.concat((F.pmod(F.xxhash64(seed, F.lit(0)), F.lit(16)) + 240).cast("string"), F.lit("."), rest)
+    more = F.concat(reserved, F.lit("."), F.array_join(F.transform(F.sequence(F.lit(4), F.greatest(tier, F.lit(3)) + 1), octet), "."))
+    plain = F.concat_ws(".", head, drawn[1], drawn[2], drawn[3])
+    return F.when((tier == 0) | (~own & (tier == 1)), plain).when(tier == 1, F.concat(block, rest)).when(tier == 2, reserved).otherwise(more)
 
 
-def _email(value: Column, seed: Column, key: str) -> Column:
+def _email(value: Column, seed: Column, tier: Column, key: str) -> Column:
     """A redrawn local part at a reserved domain; one domain gets one surrogate domain."""
     local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     label = F.split(domain, r"\.")
@@ -138,12 +153,14 @@ def _email(value: Column, seed: Column, key: str) -> Column:
     rest = F.when(F.size(label) > 2, F.array_join(F.slice(label, 1, F.greatest(F.size(label) - 2, F.lit(0))), ".")).otherwise(label[0])
     seed_domain = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("domain"), F.lower(domain)), 256)
     tail = F.when(F.size(label) > 2, F.concat(F.lit(".example."), top)).otherwise(F.lit(".example"))
-    return F.concat(_redraw(local, seed, F.lit(False)), F.lit("@"), _redraw(rest, seed_domain, F.lit(False)), tail)
+    return F.concat(_redraw(F.concat(local, F.repeat(F.lit("0"), tier)), seed, F.lit(False)), F.lit("@"), _redraw(rest, seed_domain, F.lit(False)), tail)
 
 
 def _person(match: Column, value: Column, norm: Column, attempt: Column, key: str) -> Column:
     """Names of the same gender and script: given names from the lists, surnames of
-    drawn syllables; one surname gets one surrogate unless a draw is repeated."""
+    drawn syllables; one surname gets one surrogate unless a draw is repeated. From
+    tier 1 on each person has an own surname, longer by a syllable a tier."""
+    tier = _tier(attempt)
     title = F.regexp_replace(F.regexp_extract(match, _TITLE, 0), F.lit(r"[. ]"), F.lit(""))
     words = F.split(value, r"[ \-]")
     low = F.lower(words[0])
@@ -152,6 +169,7 @@ def _person(match: Column, value: Column, norm: Column, attempt: Column, key: st
     cyrillic = value.rlike(r"\p{IsCyrillic}")
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("person"), norm, attempt.cast("string")), 256)
     seed_last = F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("surname"), F.lower(F.element_at(words, -1)), attempt.cast("string")), 256)
+    seed_last = F.when(tier > 0, seed).otherwise(seed_last)
 
     def given(i: Column) -> Column:
         out = None
@@ -164,7 +182,8 @@ def _person(match: Column, value: Column, norm: Column, attempt: Column, key: st
         return out
 
     def drawn(consonants: str, vowels: str) -> Column:
-        return F.concat(*[_pick(seed_last, i, consonants if i % 2 == 0 else vowels) for i in range(8)])
+        more = F.transform(F.sequence(F.lit(1), F.greatest(tier, F.lit(1))), lambda t: F.concat(_pick(seed_last, t * 2 + 6, consonants), _pick(seed_last, t * 2 + 7, vowels)))
+        return F.concat(*[_pick(seed_last, i, consonants if i % 2 == 0 else vowels) for i in range(8)], F.when(tier > 0, F.array_join(more, "")).otherwise(F.lit("")))
 
     last = F.initcap(F.when(cyrillic, F.concat(drawn("бвгдклмнпрст", "аеиоу"), F.when(gender == "f", F.lit("ва")).otherwise(F.lit("в")))).otherwise(drawn("bdfgklmnprstvz", "aeiou")))
     new = F.transform(words, lambda w, i: F.when(i == F.size(words) - 1, last).otherwise(given(i)))
@@ -183,7 +202,7 @@ def _hexadecimal(value: Column) -> Column:
 def _surrogate(kind: Column, match: Column, value: Column, norm: Column, attempt: Column, seed: Column, drawn: Column, key: str) -> Column:
     country = r"^\+\d{1,3}(?=[ .\-(])"
     return (
-        F.when(kind == "email", _email(value, seed, key)).when(kind == "ipv4", _ipv4(value, seed)).when(kind == "card", _card(value, drawn))
+        F.when(kind == "email", _email(value, seed, _tier(attempt), key)).when(kind == "ipv4", _ipv4(value, seed, _tier(attempt))).when(kind == "card", _card(value, drawn))
         .when(kind == "phone", F.concat(F.regexp_extract(value, country, 0), F.substr(drawn, F.length(F.regexp_extract(value, country, 0)) + 1, F.length(drawn))))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substr(drawn, F.lit(2), F.length(drawn))))
         .when(kind == "iban", F.concat(F.substr(value, F.lit(1), F.lit(2)), F.substr(drawn, F.lit(3), F.length(drawn))))
@@ -199,7 +218,7 @@ def surrogates(matches: Column, attempt_of, key: str) -> Column:
     x = F.transform(x, lambda e: F.struct(e["match"].alias("match"), e["kind"].alias("kind"), e["attempt"].alias("attempt"), _value(e["kind"], e["match"]).alias("value")))
     x = F.transform(x, lambda e: F.struct(*[e[c].alias(c) for c in ("match", "kind", "attempt", "value")], _norm(e["kind"], e["value"]).alias("norm")))
     x = F.transform(x, lambda e: F.struct(*[e[c].alias(c) for c in ("match", "kind", "attempt", "value", "norm")], _seed(e["kind"], e["norm"], e["attempt"], key).alias("seed")))
-    x = F.transform(x, lambda e: F.struct(*[e[c].alias(c) for c in ("match", "kind", "attempt", "value", "norm", "seed")], _redraw(e["value"], e["seed"], _hexadecimal(e["value"])).alias("drawn")))
+    x = F.transform(x, lambda e: F.struct(*[e[c].alias(c) for c in ("match", "kind", "attempt", "value", "norm", "seed")], _redraw(F.concat(e["value"], F.repeat(F.lit("0"), _tier(e["attempt"]))), e["seed"], _hexadecimal(e["value"])).alias("drawn")))
     return F.transform(x, lambda e: _surrogate(e["kind"], e["match"], e["value"], e["norm"], e["attempt"], e["seed"], e["drawn"], key))
 
 
@@ -222,7 +241,7 @@ def collision_free(known: DataFrame, key: str) -> DataFrame:
         return df.withColumn("new", F.element_at(new, 1)).withColumn("drawn", _norm(F.col("kind"), _value(F.col("kind"), F.col("new"))))
 
     state = draw(known.withColumn("attempt", F.lit(0))).checkpoint(eager=True)
-    for _ in range(MAX_ATTEMPTS):
+    while True:  # ends: the values to draw from grow with the attempts, the entities do not
         # The entity settled longest keeps a surrogate; of equals the smallest.
         keeper = state.groupBy("family", "drawn").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
             "family", "drawn", F.col("first.norm").alias("keeper"))
@@ -232,7 +251,6 @@ def collision_free(known: DataFrame, key: str) -> DataFrame:
         if marked.where("again").isEmpty():
             return state.where("attempt > 0").select("family", "norm", "attempt")
         state = draw(marked.select("family", "norm", "match", "kind", (F.col("attempt") + F.col("again").cast("int")).alias("attempt"))).checkpoint(eager=True)
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
 
 
 def replace_pii(docs: DataFrame, text_col: str = "text", key: str = "surrogates-v1", count_col: str = "n_entities") -> DataFrame:

@@ -87,3 +87,16 @@ def test_long_secrets_go_whole_and_names_may_have_a_prefix(documents):
         assert not any(a == b for a, b in zip(re.findall(".{10}", value_old), re.findall(".{10}", value_new))), old[:30]
     assert [g.split("=")[0].split(":")[0] for g in got[4:7]] == ["access_token", "DB_PASSWORD", "client_secret"]
     assert re.fullmatch(r"modulus [0-9a-f]{4800} end", got[1])
+
+
+def test_dense_values_are_settled(documents):
+    # More than half of a private /16, all two-digit local parts of a domain, 1,500 men of one surname, and a value without letters or digits.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [f"192.168.{i % 256}.{i // 256}" for i in range(40_000)] + [f"{i:02d}@one.org" for i in range(100)]
+    values += [f"Mr {a.upper()}{b}{c} Smith" for a in letters for b in letters for c in "aeu"][:1500] + ["password=********"]
+    got = [r["text"][5:-5] for r in run(documents(*[(i, f"from {v} then") for i, v in enumerate(values)])).orderBy("doc_id").collect()]
+    assert len(got) == len(set(got)) == len(values) and not set(got) & set(values)
+    assert all(re.fullmatch(r"(?:192\.168|10\.\d+)\.\d+\.\d+", v) for v in got[:40_000])
+    assert all(re.fullmatch(r"\d{2,}@[a-z]{3}\.example", v) for v in got[40_000:40_100])
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]+ [A-Z][a-z]+", v) and v.split()[1] in pii.GIVEN["latin"]["m"] for v in got[40_100:-1])
+    assert re.fullmatch(r"password=\*{8}\d+", got[-1])
