@@ -5,8 +5,8 @@ kept and returns a DataFrame; the runner writes it as Parquet and the next stage
 reads that. All but the last return the columns of `documents` (extra columns
 pass through).
 
-1. language ID: rows without a letter, or whose best language scores below
-   MIN_LANGUAGE_SCORE, go; `lang` becomes the predicted language.
+1. language ID: rows without a letter, or unlike the learned rows of their best
+   language, go; `lang` becomes the predicted language.
 2. n-gram Jaccard join: of each class of near-duplicates the row with the
    smallest doc_id stays (of equal ids the first stored).
 3. PII: entities in `text` are replaced by surrogates, `n_chars` follows.
@@ -24,8 +24,6 @@ from strata.llm import language_id, mixing, ngram_join, pii_surrogates, piece_bp
 from strata.llm.shipping import ship_package
 from strata.session import scratch_path
 
-MIN_LANGUAGE_SCORE = 0.25
-
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Null and letterless texts go; without any labelled row every other text stays as it is."""
@@ -34,8 +32,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_id.train(docs, ~held_out)
     if not model.families:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    named = language_id.identify(docs, model, lang_name="__lang", score_name="__score").where(
-        (F.col("__lang") != "und") & (F.col("__score") >= MIN_LANGUAGE_SCORE))
+    named = language_id.identify(docs, model, lang_name="__lang", score_name="__score", like_name="__like").where(
+        (F.col("__lang") != "und") & F.col("__like"))
     return named.select(*[F.col("__lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 
 

@@ -5,6 +5,10 @@ no letter is a blank; square roots of the counts, length one). One linear
 support vector machine per language family finds the family; within it, one
 machine per pair of languages votes. All machines are fitted here, on a
 bounded sample of labelled rows, and applied to whole texts.
+
+Whether a text is in its language at all is a question of its own: the mean log
+ratio of its trigrams' shares in that language to even shares is 0 for noise and
+does not depend on how many languages were learned.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from strata.llm import flat
 SAMPLE_PER_LANGUAGE = 500
 DIMS = 4096
 MAX_ROWS = 256
+#: A language with so many learned rows has a least likeness: this share of what all but 1% of those rows reach.
+PROFILE_ROWS, LIKENESS_SHARE = 30, 0.2
 
 #: Language families by ISO 639-1 code; a code not listed is a family of its own.
 FAMILIES = {
@@ -60,6 +66,8 @@ class LanguageModel:
     family_weight: np.ndarray | None = None
     languages: dict[str, list[str]] = field(default_factory=dict)
     pair_weight: dict[str, np.ndarray] = field(default_factory=dict)
+    profile: dict[str, np.ndarray] = field(default_factory=dict)
+    least: dict[str, float] = field(default_factory=dict)
 
 
 def vectors(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -157,9 +165,24 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
                 pairs.append(fit_machine(x[own], np.where(lang[own] == a, 1, -1).astype(np.float32)))
         if pairs:
             model.pair_weight[f] = np.stack(pairs)
+    for code in sorted(set(lang)):
+        own = x[(lang == code) & x.any(axis=1)] ** 2  # shares of the trigrams
+        if len(own) >= PROFILE_ROWS:
+            model.profile[code] = np.log((own.mean(axis=0) * DIMS + 0.1) / 1.1).astype(np.float32)
+            model.least[code] = LIKENESS_SHARE * float(np.quantile(own @ model.profile[code], 0.01))
     return model
 
 
+def resembles(model: LanguageModel, x: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """True where trigram vectors are like the learned rows of their language (always,
+    where it had fewer than PROFILE_ROWS)."""
+    out = np.ones(len(x), bool)
+    for code, profile in model.profile.items():
+        rows = np.flatnonzero(lang == code)
+        out[rows] = x[rows] ** 2 @ profile >= model.least[code]
+    return out
+
+
 def predict(model: LanguageModel, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(language, score) of trigram vectors; the score is the family's share of
     the family margins times the language's share of the pair votes."""
@@ -195,29 +218,33 @@ def predict(model: LanguageModel, x: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return lang, np.clip(score, 0.0, 1.0)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """`docs` with the predicted language and its score (0 to 1) as two more columns.
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score", like_name: str | None = None) -> DataFrame:
+    """`docs` with the predicted language and its score (0 to 1) as two more columns;
+    `like_name` names a third one, whether the text is like that language's learned rows.
 
-    A null text, or one without a letter, is `und` with score 0. Repeated rows,
+    A null text, or one without a letter, is `und` with score 0 and like none. Repeated rows,
     nulls in other columns and empty tables need no special case; a column that
     already has one of the two names is replaced.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # bounded: DIMS weights per machine
-    keep = [c for c in docs.columns if c not in (lang_name, score_name)]
+    keep = [c for c in docs.columns if c not in (lang_name, score_name, like_name)]
     src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = StructType(docs.select(*keep).schema.fields + StructType.fromDDL(f"`{lang_name}` string, `{score_name}` double").fields)
+    schema = StructType(docs.select(*keep).schema.fields + StructType.fromDDL(f"`{lang_name}` string, `{score_name}` double" + (f", `{like_name}` boolean" if like_name else "")).fields)
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         model = sent.value
         for rb in batches:
-            lang, score = np.full(rb.num_rows, "und", object), np.zeros(rb.num_rows)
+            lang, score, like = np.full(rb.num_rows, "und", object), np.zeros(rb.num_rows), np.zeros(rb.num_rows, bool)
             for first, raw, off in _pieces(rb.column(rb.num_columns - 1)):
                 some = np.flatnonzero(has_letter(raw, off))
                 if len(some) and model.families:
-                    a, b = predict(model, vectors(raw, off)[some])
+                    x = vectors(raw, off)[some]
+                    a, b = predict(model, x)
                     lang[first + some], score[first + some] = a, b
-            yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(lang.tolist(), pa.string()), pa.array(score)], schema=arrow)
+                    if like_name:
+                        like[first + some] = resembles(model, x, a)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(lang.tolist(), pa.string()), pa.array(score)] + [pa.array(like)] * bool(like_name), schema=arrow)
 
     return src.mapInArrow(run, schema)

@@ -52,3 +52,19 @@ def test_empty_table(spark, documents, tmp_path):
         stage(spark, left, str(tmp_path)).write.parquet(f"file://{tmp_path}/{number}")
         left = spark.read.parquet(f"file://{tmp_path}/{number}")
     assert left.count() == 0
+
+
+def test_texts_of_unlearned_languages_go_and_clean_ones_stay(spark, documents):
+    from pyspark.sql import functions as F
+
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    odd = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах.", "xkq zvvw qjxz bbkt wqpz jjx kkz vvbq xzqw"]
+    left = corpus_pipeline.keep_languages(spark, known.union(documents(*[(-1 - i, t) for i, t in enumerate(odd)] + [(-100, "the cat sat on the mat and the dog ran")])), "")
+    assert {r["doc_id"] for r in left.where("doc_id < 0").collect()} == {-100}
+    assert left.where("doc_id >= 0").count() > 0.99 * known.where("text is not null").count()
+    # Three learned languages of two families: German goes as a whole, nearly all else stays.
+    german = corpus_pipeline.keep_languages(spark, known.withColumn("lang", F.expr("if(lang = 'de', null, lang)")), "").select("doc_id")
+    share = known.join(german.withColumn("kept", F.lit(True)), "doc_id", "left").groupBy((F.col("lang") == "de").alias("de")).agg(F.avg(F.coalesce("kept", F.lit(False)).cast("int")).alias("s"))
+    share = {r["de"]: r["s"] for r in share.collect()}
+    assert share[True] < 0.1 and share[False] > 0.99
