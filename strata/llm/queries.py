@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat_collapse, language_id, license_scan, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe, vptree, warc
+from strata.llm import chat_collapse, fingerprint, language_id, license_scan, line_crf, mixing, ngram_join, pii_surrogates, piece_bpe, prefix_trie, vptree, warc, whitening
 from strata.llm.shipping import ship_package
+from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +94,22 @@ def op5_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op4_warc_round_trip"] = warc.ORACLE
 ORACLE["op5_vantage_point_search"] = vptree.oracle()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"), scratch_path(spark, "prefix-trie"))
+    return prefix_trie.prefix_trie(prefix_trie.lend_heads(turns))
+
+
+ORACLE["op11_prefix_trie"] = prefix_trie.ORACLE
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
