@@ -15,46 +15,51 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import checkpoint_root
 
-#: Edges that one task contracts at once: 16 bytes each, and a dictionary entry per node.
+#: Edges that one task contracts at once, about 100 bytes each while it does.
 TASK_EDGES = 1_000_000
 
 
-def _contract(limit: int):
-    def stars(a: list, b: list) -> pa.RecordBatch:
-        root: dict = {}
-
-        def find(z):
-            top = z
-            while (up := root.get(top, top)) != top:
-                top = up
-            while root.get(z, z) != top:
-                root[z], z = top, root[z]
-            return top
-
-        for x, y in zip(a, b):
-            p, q = find(x), find(y)
-            if p != q:
-                root[max(p, q)] = min(p, q)
-        node = list(root)
-        low = [find(z) for z in node]
-        return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(low, pa.int64())], ["a", "b"])
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its component) of every node that is not that one."""
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    low = np.arange(len(node))
+    while True:
+        new = low.copy()
+        least = np.minimum(low[x], low[y])
+        for end in (x, y):
+            np.minimum.at(new, low[end], least)
+            np.minimum.at(new, end, least)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, low):
+            break
+        low = new
+    moved = np.flatnonzero(low != np.arange(len(node)))
+    return node[moved], node[low[moved]]
 
+
+def _contract(limit: int):
     def run(batches):
-        a, b = [], []
+        held, count = [], 0
         for rb in batches:
-            a += rb.column(0).to_pylist()
-            b += rb.column(1).to_pylist()
-            if len(a) >= limit:
-                yield stars(a, b)
-                a, b = [], []
-        if a:
-            yield stars(a, b)
+            held.append((rb.column(0).to_numpy(), rb.column(1).to_numpy()))
+            count += rb.num_rows
+            if count >= limit:
+                yield _batch(held)
+                held, count = [], 0
+        if count:
+            yield _batch(held)
+
+    def _batch(held):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in stars(*(np.concatenate(c) for c in zip(*held)))], ["a", "b"])
 
     return run
 

@@ -1,4 +1,4 @@
-"""Flat numpy views of Arrow text batches: word boundaries and segment hashes.
+"""Flat numpy views of Arrow text batches: word boundaries, segment hashes, exact groups.
 
 All functions work on the UTF-8 bytes of many texts laid end to end, so no
 Python object exists per word. Words are maximal runs of bytes outside
@@ -14,15 +14,15 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_BYTE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_LOWER = _BYTE.copy()
-_BYTE_LOWER[65:91] = _BYTE[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: The low n bytes of a little-endian word.
+_LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,26 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of the hash base and of its inverse, grown to the longest chunk seen."""
-
-    def __init__(self) -> None:
-        self.up = np.ones(1, np.uint64)
-        self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            size = max(n + 1, CHUNK_BYTES)
-            for name, base in (("up", _BASE), ("down", _BASE_INV)):
-                p = np.full(size, base, np.uint64)
-                p[0] = 1
-                setattr(self, name, np.multiply.accumulate(p))
-        return self.up, self.down
-
-
-_POWERS = _Powers()
-
-
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, row offsets) of runs of whole texts of about `limit`
     bytes; a longer text is a chunk of its own. Null counts as empty."""
@@ -88,17 +68,62 @@ def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.searchsorted(start, off)
 
 
-def hash_runs(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every run [start, end) of uint64 values, by its content alone."""
-    up, down = _POWERS.upto(len(values))
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+def _blocks(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8-byte blocks of every byte segment, zero-filled; block offset per segment)."""
+    count = (end - start + 7) >> 3
+    off = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(count, out=off[1:])
+    at = np.repeat(start - 8 * off[:-1], count) + 8 * np.arange(off[-1])
+    left = np.minimum(np.repeat(end, count) - at, 8)
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    every = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    return every[at] & _LOW[left], off
+
+
+def _block_hashes(block: np.ndarray, off: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """Sums of mixed (block, position) pairs: no arithmetic relation between
+    positions survives the mixing, whatever the symbols."""
+    turn = np.arange(len(block)) - np.repeat(off[:-1], np.diff(off))
+    total = np.zeros(len(block) + 1, np.uint64)
+    np.cumsum(mix(mix(block + _BASE) ^ mix(turn.astype(np.uint64) + np.uint64(seed << 40 | 1))), out=total[1:])
+    return mix(total[off[1:]] - total[off[:-1]] + size.astype(np.uint64))
 
 
 def segment_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
     """A 64-bit hash of every byte segment [start, end); `lower` folds A-Z to a-z."""
-    return hash_runs((_BYTE_LOWER if lower else _BYTE)[raw], start, end)
+    block, off = _blocks(_LOWER[raw] if lower else raw, start, end)
+    return _block_hashes(block, off, end - start, 0)
+
+
+def equal_segments(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first segment of each group, group of each segment) of equal byte segments:
+    grouped by hash, then every segment is compared with its group's first one, so
+    unequal segments are never taken for equal."""
+    block, off = _blocks(raw, start, end)
+    size = end - start
+    seed = 0
+    while True:
+        _, first, group = np.unique(_block_hashes(block, off, size, seed), return_index=True, return_inverse=True)
+        of = first[group]
+        if np.array_equal(size, size[of]):
+            twin = np.repeat(off[of] - off[:-1], np.diff(off)) + np.arange(len(block))
+            if np.array_equal(block, block[twin]):
+                return first, group
+        seed += 1
+
+
+def equal_rows(*columns: np.ndarray) -> np.ndarray:
+    """The group of each row of integer columns; rows of a group are equal in all of them."""
+    seed = 0
+    while True:
+        h = np.full(len(columns[0]), seed + 1, np.uint64)
+        for c in columns:
+            h = mix(h * _BASE + c.astype(np.uint64))
+        _, first, group = np.unique(h, return_index=True, return_inverse=True)
+        if all(np.array_equal(c, c[first[group]]) for c in columns):
+            return group
+        seed += 1
 
 
 def windows(word_hash: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -13,14 +13,13 @@ does not depend on how many languages were learned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from strata.llm import flat
 
@@ -226,25 +225,25 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang
     nulls in other columns and empty tables need no special case; a column that
     already has one of the two names is replaced.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # bounded: DIMS weights per machine
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded: DIMS weights per machine
     keep = [c for c in docs.columns if c not in (lang_name, score_name, like_name)]
-    src = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    schema = StructType(docs.select(*keep).schema.fields + StructType.fromDDL(f"`{lang_name}` string, `{score_name}` double" + (f", `{like_name}` boolean" if like_name else "")).fields)
-    arrow = to_arrow_schema(schema)
+    kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("like", pa.bool_())])
 
-    def run(batches):
+    # Only the text goes to Python; the rest of the row waits in the JVM.
+    @F.arrow_udf("lang string, score double, like boolean")
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
-        for rb in batches:
-            lang, score, like = np.full(rb.num_rows, "und", object), np.zeros(rb.num_rows), np.zeros(rb.num_rows, bool)
-            for first, raw, off in _pieces(rb.column(rb.num_columns - 1)):
+        for texts in batches:
+            lang, score, like = np.full(len(texts), "und", object), np.zeros(len(texts)), np.zeros(len(texts), bool)
+            for first, raw, off in _pieces(texts):
                 some = np.flatnonzero(has_letter(raw, off))
                 if len(some) and model.families:
                     x = vectors(raw, off)[some]
                     a, b = predict(model, x)
-                    lang[first + some], score[first + some] = a, b
-                    if like_name:
-                        like[first + some] = resembles(model, x, a)
-            yield pa.RecordBatch.from_arrays([*rb.columns[:-1], pa.array(lang.tolist(), pa.string()), pa.array(score)] + [pa.array(like)] * bool(like_name), schema=arrow)
+                    lang[first + some], score[first + some], like[first + some] = a, b, resembles(model, x, a)
+            yield pa.StructArray.from_arrays([pa.array(lang.tolist(), pa.string()), pa.array(score), pa.array(like)], fields=list(kind))
 
-    return src.mapInArrow(run, schema)
+    # Marked so that a filter on the result is not answered by a second run.
+    named = docs.select(*keep, guess.asNondeterministic()(F.col(text_col).cast("string")).alias("__guess"))
+    pairs = [("lang", lang_name), ("score", score_name)] + [("like", like_name)] * bool(like_name)
+    return named.select(*keep, *[F.col("__guess")[c].alias(name) for c, name in pairs])

@@ -28,6 +28,7 @@ from strata.llm import flat
 
 #: Documents of each class that the fit may use; counts, features and decoding always cover all rows.
 SAMPLE_PER_CLASS = 400
+SAMPLE_LINES = 4000
 FEATURES = ("bias", "symbols", "upper", "digits", "pipes", "marks", "short", "long_words", "repeated_line", "repeated_words", "no_stop", "few_words")
 MIN_WORDS, MAX_REPEAT_PERCENT, CONTENT_SHARE = 50, 50, 0.5
 
@@ -68,15 +69,17 @@ def measure(raw: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray], np
     """Counts per text; then per line with a word: text number, word count, features, [start, end)."""
     n_docs = len(off) - 1
     start, end, word_off = flat.words(raw, off)
-    word = flat.segment_hashes(raw, start, end)
+    _, word = flat.equal_segments(raw, start, end)
     lead = (raw & 0xC0) != 0x80
-    gram, gram_off = flat.windows(word, word_off, 3)
+    per = np.maximum(np.diff(word_off) - 2, 0)
+    gram_off = np.concatenate([[0], np.cumsum(per)])
     owner = flat.spread(gram_off)
-    _, back, seen = np.unique(flat.mix(gram + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
-    first_word = word_off[owner] + (np.arange(len(gram)) - gram_off[owner])
+    at = word_off[owner] + (np.arange(len(owner)) - gram_off[owner])
+    back = flat.equal_rows(owner, word[at], word[at + 1], word[at + 2]) if len(at) else at
+    seen = np.bincount(back)
     covered = np.zeros(len(word) + 3, bool)
     for i in range(3):
-        covered[first_word[seen[back] > 1] + i] = True
+        covered[at[seen[back] > 1] + i] = True
     covered = covered[: len(word)]
 
     newline = np.flatnonzero(raw == 0x0A)
@@ -88,7 +91,7 @@ def measure(raw: np.ndarray, off: np.ndarray) -> tuple[dict[str, np.ndarray], np
     at, to = np.searchsorted(start, line_start), np.searchsorted(start, line_end)
     with_word = to > at
     line_start, line_end, doc, at, to = (x[with_word] for x in (line_start, line_end, doc, at, to))
-    repeated = _later_equal(doc, flat.segment_hashes(raw, line_start, line_end))
+    repeated = _later_equal(doc, flat.equal_segments(raw, line_start, line_end)[1])
     words = to - at
     chars = np.maximum(_sums(lead, line_start, line_end), 1)
     in_words = np.zeros(len(word) + 1, np.int64)
@@ -205,14 +208,18 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = 120, rate:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality",
           per_class: int = SAMPLE_PER_CLASS) -> LineModel:
     """A model from documents labelled 1 (good) or 0 (bad). At most `per_class`
-    documents of each class are used: those of smallest id hash. Rows with a null
-    label, id or text are not used; without both classes the prior model returns."""
+    documents of each class are used: those of smallest id hash, of rows that share an id
+    the one of smallest text hash; of these, texts of more than SAMPLE_LINES lines are
+    left out. Rows with a null label, id or text are not used; without both classes
+    the prior model returns."""
     known = labels.where(F.col(quality_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(quality_col).cast("int")).alias("good"))
     chosen = None
     for good in (0, 1):
         part = known.where(F.col("good") == good).orderBy(F.xxhash64("id"), "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null").join(chosen, "id").select("id", "good", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null").join(chosen, "id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"]
+    rows = rows.groupBy("id", "good").agg(one.alias("text")).where(F.regexp_count("text", F.lit("\n")) < SAMPLE_LINES).select("id", "good", "text")
 
     def features(batches):
         for rb in batches:
@@ -227,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                         out["x"].append(x[cut[i] : cut[i + 1]].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out["id"], pa.string()), pa.array(out["good"], pa.int32()), pa.array(out["x"], pa.binary())], ["id", "good", "x"])
 
-    got = sorted((r["id"], r["good"], bytes(r["x"])) for r in rows.mapInArrow(features, "id string, good int, x binary").collect())[: 2 * per_class]
+    got = sorted((r["id"], r["good"], bytes(r["x"])) for r in rows.mapInArrow(features, "id string, good int, x binary").collect())
     by = {g: [np.frombuffer(x, np.float32).reshape(-1, len(FEATURES)).astype(float) for _, good, x in got if good == g] for g in (0, 1)}
     if not by[0] or not by[1]:
         return PRIOR

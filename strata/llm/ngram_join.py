@@ -58,8 +58,10 @@ RARE_COUNT = 8
 SKETCH_BITS = 22
 MAX_FILTER_BITS = 28
 BLOCK_ROWS = 256
-BUCKET_BYTES = 64 << 20
-FLUSH_TOKENS = 1_000_000
+#: Text behind one bucket of the shared-token count, rows passed along in one bucket, tokens buffered by a task.
+BUCKET_BYTES, BUCKET_ROWS, FLUSH_TOKENS = 16 << 20, 1_000_000, 1_000_000
+#: A key with more than one in HOT rows is joined by broadcast; there are fewer than HOT such keys.
+HOT = 1000
 U64 = np.uint64
 
 
@@ -139,7 +141,7 @@ def _first_pass(k: int, percent: int, share: float, buckets: int, schema: pa.Sch
     def run(batches):
         task = TaskContext.get().partitionId() << 24
         sets: dict = {}
-        held = number = 0
+        held = number = rows = 0
         for rb in batches:
             ids, n, sid = rb.column(0), np.zeros(rb.num_rows, np.int64), np.zeros(rb.num_rows, np.int64)
             for row, x, s in token_sets(rb.column(1), k):
@@ -152,7 +154,10 @@ def _first_pass(k: int, percent: int, share: float, buckets: int, schema: pa.Sch
                     yield pa.RecordBatch.from_pylist(list(flush(sets, task + number)), schema)
                     sets, held, number = {}, 0, number + 1
             blank = {f.name: pa.nulls(rb.num_rows, f.type) for f in schema}
-            blank |= {"id": ids, "n": pa.array(n), "sid": pa.array(sid), "bucket": pa.array((sid % buckets).astype(np.int32))}
+            # These rows only pass along; they are dealt in turn, whatever they hold.
+            turn = (TaskContext.get().partitionId() + rows + np.arange(rb.num_rows)) % buckets
+            rows += rb.num_rows
+            blank |= {"id": ids, "n": pa.array(n), "sid": pa.array(sid), "bucket": pa.array(turn.astype(np.int32))}
             yield pa.RecordBatch.from_arrays([blank[f.name] for f in schema], schema=schema)
         if sets:
             yield pa.RecordBatch.from_pylist(list(flush(sets, task + number)), schema)
@@ -382,8 +387,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = src.schema["id"].dataType
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    volume = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(parts, math.ceil(volume / BUCKET_BYTES))
+    volume, rows = src.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    buckets = max(parts, math.ceil((volume or 0) / BUCKET_BYTES), math.ceil(rows / BUCKET_ROWS))
 
     pass1 = StructType.fromDDL(_PASS1.format(id=id_type.simpleString()))
     counted = StructType.fromDDL(f"id {id_type.simpleString()}, n bigint, sid bigint, batch bigint, size bigint, shared bigint")
@@ -459,7 +464,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     more = units.groupBy("component", "p", "q").applyInPandas(_compare_blocks(percent), "a bigint, b bigint").checkpoint(eager=True)
     final = connected_components(links.unionByName(more))
-    return _membership(members, final)
+    return _membership(members, final, base)
 
 
 def _needed_column(size: str, percent: int, share: float):
@@ -474,13 +479,47 @@ def _needed_column(size: str, percent: int, share: float):
     return F.greatest(best - 1, F.lit(1))
 
 
-def _membership(members: DataFrame, classes: DataFrame) -> DataFrame:
-    joined = members.join(classes.withColumnRenamed("node", "sid"), "sid", "left")
+def _membership(members: DataFrame, classes: DataFrame, base: str) -> DataFrame:
+    """The answer is found per distinct set (known by id and size) and stored; rows
+    then look it up, those of hot sets in a broadcast of fewer than HOT entries."""
+    spark = members.sparkSession
     # An empty set links with nothing, not even another one: its row stands for itself.
-    lone = joined.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.col("id").alias("component_id"), F.lit(1).cast("bigint").alias("component_size"))
-    rest = joined.where("n > 0").withColumn("root", F.coalesce("component", "sid"))
-    # A set is known by id and size; the size only separates sets outside any link.
-    rest = rest.withColumn("apart", F.when(F.col("component").isNull(), F.col("n")).otherwise(0))
-    least = rest.groupBy("root", "apart").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("component_size"))
-    full = rest.join(least, ["root", "apart"]).select("id", F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), "component_id", "component_size")
-    return full.unionByName(lone)
+    lone = members.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), F.col("id").alias("component_id"), F.lit(1).cast("bigint").alias("component_size"))
+    full = members.where("n > 0")
+    sets = full.groupBy("sid", "n").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")).join(classes.withColumnRenamed("node", "sid"), "sid", "left")
+    # The size separates sets outside any link only.
+    sets = sets.withColumn("root", F.coalesce("component", "sid")).withColumn("apart", F.when(F.col("component").isNull(), F.col("n")).otherwise(0)).drop("component")
+    sets.write.parquet(f"{base}/distinct")
+    sets = spark.read.schema(sets.schema).parquet(f"{base}/distinct")
+    groups = sets.groupBy("root", "apart").agg(F.min("least").alias("component_id"), F.sum("rows").alias("component_size"), F.count(F.lit(1)).alias("sets"))
+    groups.write.parquet(f"{base}/groups")
+    groups = spark.read.schema(groups.schema).parquet(f"{base}/groups")
+    known = _join_hot(sets.drop("least"), groups, ["root", "apart"], "sets").select("sid", "n", "component_id", "component_size", "rows")
+    known.write.parquet(f"{base}/known")
+    known = spark.read.schema(known.schema).parquet(f"{base}/known")
+    found = _join_hot(full, known, ["sid", "n"], "rows")
+    return found.select("id", F.col("n").alias("n_shingles"), F.col("sid").alias("set_id"), "component_id", "component_size").unionByName(lone)
+
+
+def _join_hot(big: DataFrame, small: DataFrame, on: list[str], weight: str) -> DataFrame:
+    """`big` with the columns of `small` (one row per key, every key there); `weight`
+    is the number of rows of `big` that a key has."""
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * HOT > total
+    hot, cold = F.broadcast(small.where(is_hot).drop(weight)), small.where(~is_hot).drop(weight)
+    return big.join(hot, on).unionByName(big.join(F.broadcast(small.where(is_hot).select(*on)), on, "left_anti").join(cold, on))
+
+
+#: The same rows from shingle texts; for distinct, non-null doc_ids.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS hits FROM g x JOIN g y USING (s) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM b JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * hits >= 75 * (p.n + q.n - hits)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, count(*) OVER (PARTITION BY component_id) AS component_size FROM c LEFT JOIN n USING (doc_id)
+"""

@@ -9,20 +9,17 @@ whole of a batch is held as flat numpy arrays:
   place, so the parts, here called words, are independent. Equal words are
   encoded once per chunk.
 * A round takes each word's smallest pair rank (a segmented minimum), joins its
-  leftmost pair of that rank, in all words at once, looks up the two new
-  neighbour pairs and compacts the arrays; words without a pair leave. Only one
-  join per word and round is sound: a joined symbol may form a better pair than
-  an equal pair further right.
-* A word of more than LONG_WORD characters (no blanks, one script) goes through
-  the same rule with a heap, n log n instead of a round per merge.
+  pairs of that rank from the left, in all words at once, looks up the new
+  neighbour pairs and compacts the arrays; words without a pair leave. A joined
+  symbol may form a better pair than an equal pair further right, so a word's
+  joins of a round end with the first one that does. A word thus takes about a
+  round per distinct rank that occurs in it, however long it is.
 
 Characters outside the vocabulary become byte pieces.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +30,6 @@ from pyspark.sql.types import StructType
 from strata.llm import flat
 
 BLANK = "▁"
-LONG_WORD = 2048
 CHUNK_BYTES = 2 << 20
 NONE = np.int32(np.iinfo(np.int32).max)
 
@@ -119,43 +115,33 @@ class PieceTable:
         return rank, into
 
 
-def _heap_merge(table: PieceTable, sym: np.ndarray) -> np.ndarray:
-    """The same merge rule for one long word, with a heap over linked symbols."""
-    sym = sym.tolist()
-    n = len(sym)
-    after, before = list(range(1, n)) + [-1], list(range(-1, n - 1))
-    rank, into = table.look(np.array(sym[:-1], np.int32), np.array(sym[1:], np.int32))
-    heap = [(int(r), i, sym[i], sym[i + 1], int(t)) for i, (r, t) in enumerate(zip(rank, into)) if r != NONE]
-    heapq.heapify(heap)
-    while heap:
-        _, i, left, right, new = heapq.heappop(heap)
-        j = after[i]
-        if sym[i] != left or j < 0 or sym[j] != right:
-            continue
-        sym[i], sym[j] = new, None
-        after[i] = after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-        for a, b in ((before[i], i), (i, after[i])):
-            if a >= 0 and b >= 0:
-                r, t = table.look(np.array([sym[a]], np.int32), np.array([sym[b]], np.int32))
-                if r[0] != NONE:
-                    heapq.heappush(heap, (int(r[0]), a, sym[a], sym[b], int(t[0])))
-    return np.array([s for s in sym if s is not None], np.int32)
+def _joinable(table: PieceTable, sym: np.ndarray, word: np.ndarray, rank: np.ndarray, into: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of the pairs of smallest rank in their words, those that the rule joins before
+    any other pair: from the left without overlap, up to the first one whose joined
+    symbol makes a pair of the same or a smaller rank with a neighbour."""
+    run = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+    at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
+    new_word = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
+    if new_word.all():
+        return at
+    several = np.flatnonzero(~(new_word & np.append(new_word[1:], True)))
+    x, w, new = at[several], word[at[several]], into[at[several]]
+    stop = np.zeros(len(at), bool)
+    before = np.where(np.isin(x - 2, at, assume_unique=True), into[np.maximum(x - 2, 0)], sym[np.maximum(x - 1, 0)])
+    after = np.minimum(x + 2, len(sym) - 1)
+    for left, right, there in ((before, new, (x > 0) & (word[np.maximum(x - 1, 0)] == w)), (new, sym[after], (x + 2 < len(sym)) & (word[after] == w))):
+        r = table.look(np.where(there, left, -1).astype(np.int32), right.astype(np.int32))[0]
+        stop[several] |= there & (r <= rank[x])
+    # A pair stays if no earlier one of its word stops.
+    stops = np.cumsum(stop) - stop
+    return at[stops == np.repeat(stops[new_word], np.diff(np.append(np.flatnonzero(new_word), len(at))))]
 
 
 def merge_words(table: PieceTable, sym: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, offsets) of words after all merges."""
     size = np.diff(off)
     done: dict[str, list] = {"word": [], "sym": []}
-    for w in np.flatnonzero(size > LONG_WORD):
-        s = _heap_merge(table, sym[off[w] : off[w + 1]])
-        done["sym"].append(s)
-        done["word"].append(np.full(len(s), w, np.int64))
     word = np.repeat(np.arange(len(size)), size)
-    if (size > LONG_WORD).any():
-        keep = (size <= LONG_WORD)[word]
-        sym, word = sym[keep], word[keep]
     rank, into = np.full(len(sym), NONE, np.int32), np.zeros(len(sym), np.int32)
     inner = np.flatnonzero(word[:-1] == word[1:])
     rank[inner], into[inner] = table.look(sym[inner], sym[inner + 1])
@@ -172,8 +158,7 @@ def merge_words(table: PieceTable, sym: np.ndarray, off: np.ndarray) -> tuple[np
             least, count = least[live], count[live]
             if not len(sym):
                 break
-        at = np.flatnonzero(rank == np.repeat(least, count))
-        at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]
+        at = _joinable(table, sym, word, rank, into, np.flatnonzero(rank == np.repeat(least, count)))
         sym[at] = into[at]
         keep = np.ones(len(sym), bool)
         keep[at + 1] = False
@@ -243,8 +228,7 @@ def encode_chunk(table: PieceTable, raw: np.ndarray, off: np.ndarray) -> tuple[n
     cut[doc_off] = True
     bound = np.flatnonzero(cut)
     start, end = bound[:-1], bound[1:]
-    key = flat.hash_runs(flat.mix(flat_code.astype(np.uint64) + np.uint64(1)), start, end)
-    _, first, back = np.unique(key, return_index=True, return_inverse=True)
+    first, back = flat.equal_segments(flat_code.view(np.uint8), 4 * start, 4 * end)
     sym = table.symbol_of[flat_code]
     sym = np.where(sym < 0, -2 - flat_code.astype(np.int64), sym).astype(np.int32)
     part, part_off = take_runs(sym, bound, first)

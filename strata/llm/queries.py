@@ -30,7 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    classes = ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "component_size")
+
+
+ORACLE["op1_ngram_jaccard_join"] = ngram_join.ORACLE
 
 
 @query

@@ -1,4 +1,4 @@
-"""Makes this package importable in Python workers.
+"""Makes this package importable in Python workers, and bounds what they are sent at once.
 
 A cluster job normally ships it with `--py-files`; a session started without
 that gets the package's source files added once per application.
@@ -13,9 +13,12 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Bytes of rows in one Arrow batch: a batch exists several times over, in the JVM and in the worker.
+BATCH_BYTES = "8m"
 
 
 def ship_package(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -25,3 +25,9 @@ def documents(spark):
 @pytest.fixture(scope="session")
 def small_docs(spark, sf_small):
     return spark.read.parquet(f"{sf_small}/documents.parquet")
+
+
+def thue_morse(n=1024):
+    """A word of n letters and its complement: equal under any polynomial hash modulo 2**64."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))

@@ -3,7 +3,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from conftest import WORD
+from conftest import WORD, thue_morse
 
 from strata.llm import flat, line_crf
 
@@ -24,6 +24,8 @@ def counts(text):
 
 def test_base_counts_and_edge_cases(documents):
     rows = [(1, None), (2, ""), (3, "a b c a b c a"), (4, "x\nx\n\nx y\n \nx"), (5, "ein Wörtchen # | <é>\r\nzwei"), (5, "x\n"), (None, "q " * 60_000), (6, "\n\n"), (7, "\x0b\x0cA\x85B C")]
+    a, b = thue_morse()
+    rows += [(8, f"{a}\n{b}\n{a}"), (9, f"{a} x y\n{b} x y\n{a} x y")]
     df = documents(*[(d, t, "l", "s", 1, 9) for d, t in rows], extra=", kept int")
     got = line_crf.assess(df, line_crf.PRIOR, with_text=True).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -85,3 +87,12 @@ def test_lines_with_content_are_returned(documents):
 def test_no_text_spans_two_rows():
     off = flat.words(*list(flat.text_chunks(pa.array(["ab", "cd", None, " e"])))[0][1:])[2]
     assert off.tolist() == [0, 1, 2, 2, 3]
+
+
+def test_one_labelled_id_in_most_rows_does_not_fill_the_sample(spark, documents):
+    rows = [(1, f"bad | line {i} !\nmore ! {i}") for i in range(300)] + [(i, f"A clean sentence with several words number {i}.\nAnother one follows here.") for i in range(2, 40)]
+    labels = spark.createDataFrame([(1, 0, 0)] + [(i, 1, 0) for i in range(2, 40)], "doc_id bigint, quality int, toxic int")
+    model = line_crf.train(documents(*rows), labels)
+    assert model is not line_crf.PRIOR
+    again = line_crf.train(documents(*rows[::-1]).repartition(5), labels)
+    assert np.array_equal(model.weight, again.weight)

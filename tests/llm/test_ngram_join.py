@@ -1,12 +1,14 @@
 import collections
 import random
 
+import duckdb
 import numpy as np
 import pytest
-from conftest import WORD
+from conftest import WORD, thue_morse
 
 from strata.llm import flat, ngram_join
-from strata.llm.components import connected_components
+from strata.llm.components import connected_components, stars
+from strata.llm.queries import ORACLE, QUERIES
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -85,6 +87,26 @@ def test_null_empty_repeated_and_clashing(documents):
     compare(df, rows)
 
 
+def test_words_with_equal_polynomial_hashes_stay_apart(documents):
+    a, b = thue_morse()
+    rows = [(1, f"{a} one two three four five"), (2, f"{b} one two three four five"), (3, a), (4, b), (5, " ".join([a] * 8)), (6, " ".join([b] * 8))]
+    compare(documents(*rows), rows)
+
+
+def test_one_set_and_one_component_with_a_third_of_all_rows(documents):
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, base) for i in range(600)] + [(1000 + i, base + f" tail{i}") for i in range(600)] + [(2000 + i, None) for i in range(600)] + [(3000, "other words of a lone text here")]
+    compare(documents(*rows).repartition(7), rows)
+
+
+def test_equals_sql(spark, sf_small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")
+    want = con.execute(ORACLE["op1_ngram_jaccard_join"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(tuple, QUERIES["op1_ngram_jaccard_join"](spark, sf_small).select(*names).collect())) == sorted(want.fetchall())
+
+
 def test_empty_table(documents):
     assert ngram_join.jaccard_classes(documents().limit(0)).count() == 0
 
@@ -128,3 +150,10 @@ def test_components_one_task_and_rounds(spark, task_edges):
     df = spark.createDataFrame(edges + [(None, 4)], "a bigint, b bigint").repartition(3)
     got = {x["node"]: x["component"] for x in connected_components(df, task_edges=task_edges).collect()}
     assert got == want
+
+
+def test_stars_of_a_long_path_in_any_order():
+    r = np.random.default_rng(4)
+    path = r.permutation(5000).astype(np.int64)
+    node, low = stars(path[:-1], path[1:])
+    assert sorted(node.tolist()) == list(range(1, 5000)) and not low.any()

@@ -4,6 +4,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from conftest import thue_morse
 
 from strata.llm import flat, piece_bpe
 
@@ -27,8 +28,8 @@ def texts():
     out = ["", " ", "  ", "\n", "▁", "▁▁ x", "a", "<s>", "</s> <unk> <0x41>", "é" * 10, " lead", "trail ", "a  b"]
     out += ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(1500)]
     out += ["".join(chr(r.choice([r.randrange(32, 0x250), r.randrange(0x4E00, 0x5000), r.randrange(0x1F300, 0x1F600), r.randrange(0, 0xD7FF)])) for _ in range(30)) for _ in range(800)]
-    # Longer than the bound of the merge rounds: no blanks, one run.
-    return out + ["ab" * 3000 + "the" * 2000, "a" * 7000, "   " * 3000 + "x", "".join(r.choice("abcdefghijklmnop") for _ in range(9000))]
+    # Long words: no blanks, one run; two of equal polynomial hashes.
+    return out + [*thue_morse(), "the" * 5000 + "ing" * 3000, "".join(r.choice("ethnsai") for _ in range(20_000)), "ab" * 3000 + "the" * 2000, "a" * 7000, "   " * 3000 + "x", "".join(r.choice("abcdefghijklmnop") for _ in range(9000))]
 
 
 def test_ids_and_decoding_equal_the_library(pieces, library):
