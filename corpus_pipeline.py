@@ -8,7 +8,7 @@ pass through).
 1. language ID: rows without a letter, or unlike the learned rows of their best
    language, go; `lang` becomes the predicted language.
 2. n-gram Jaccard join: of each class of near-duplicates the row with the
-   smallest doc_id stays (of equal ids the first stored).
+   smallest doc_id stays (of equal ids one by its place in the files).
 3. PII: entities in `text` are replaced by surrogates, `n_chars` follows.
 4. mixing: rows are left out or repeated so that sources meet their targets.
 5. SentencePiece: token ids of every remaining row, and whether decoding them
@@ -17,6 +17,7 @@ pass through).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,14 +38,27 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return named.select(*[F.col("__lang").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 
 
+def positioned(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """`docs` read straight from files, which give every row its position; other frames are stored first."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        path = scratch_path(spark, "positioned")
+        docs.write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+    return docs
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a null or word-less text are classes of their own and stay."""
     ship_package(spark)
-    # `docs` is a stored table, so row numbers by file position are the same in both reads.
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    classes = ngram_join.jaccard_classes(numbered.select(F.struct("doc_id", "__row").alias("id"), "text"), id_col="id")
-    stay = classes.where(F.col("id") == F.col("component_id")).select(F.col("id")["__row"].alias("__row"))
-    return numbered.join(stay, "__row").select(*docs.columns)
+    # A row is known by its file and its position there, however the file is split.
+    docs = positioned(spark, docs)
+    numbered = docs.select("*", F.struct("doc_id", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("__id"))
+    classes = ngram_join.jaccard_classes(numbered.select("__id", "text"), id_col="__id")
+    stay = classes.where(F.col("id") == F.col("component_id")).select(F.col("id.file").alias("__file"), F.col("id.row").alias("__row"))
+    numbered = numbered.withColumn("__file", F.col("__id.file")).withColumn("__row", F.col("__id.row"))
+    return numbered.join(stay, ["__file", "__row"], "left_semi").select(*docs.columns)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
