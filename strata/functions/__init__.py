@@ -1,7 +1,9 @@
 """Column-expression helpers shared by the layers (all JVM-side, no UDFs)."""
 
 from strata.functions.columns import (
+    BLANKS,
     in_exact_range,
+    is_blank,
     lower_trim,
     money_round,
     money_sum,
@@ -14,7 +16,9 @@ from strata.functions.columns import (
 )
 
 __all__ = [
+    "BLANKS",
     "in_exact_range",
+    "is_blank",
     "lower_trim",
     "money_round",
     "money_sum",

@@ -22,9 +22,21 @@ def lower_trim(c: Column | str) -> Column:
     return F.lower(F.trim(_c(c)))
 
 
+#: White space as Python's `str.strip` sees it: Unicode White_Space and the four separators U+001C to U+001F.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Strip every Unicode white-space character from both ends, like `str.strip`."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Strip every white-space character from both ends, like `str.strip`. Most text
+    has none there and is passed as it is after a look at its first and last character."""
+    c, blanks = _c(c), F.lit(BLANKS)
+    edge = F.contains(blanks, F.substring(c, 1, 1)) | F.contains(blanks, F.substring(c, -1, 1))
+    return F.when(edge, F.btrim(c, blanks)).otherwise(c)
+
+
+def is_blank(c: Column | str) -> Column:
+    """True for empty text and text of white space alone."""
+    return F.btrim(_c(c), F.lit(BLANKS)) == F.lit("")
 
 
 def not_blank(c: Column | str) -> Column:

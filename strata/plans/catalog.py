@@ -21,7 +21,7 @@ from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA
 from strata.session import scratch_path
 from strata.sources import files, kafka, sinks
 from strata.streaming import jobs
-from strata.plans import fixtures
+from strata.plans import fixtures, produce
 from strata.plans import oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -522,6 +522,15 @@ def q_reject_summary(spark, sf_dir):
     return quality.reject_summary(quality.validate(fixtures.validation_lines(spark, sf_dir)))
 
 
+@register("quarantine_line_numbers", f'SELECT "partition", line_number, reason FROM ({fixtures.QUARANTINE_EXPECTED_SQL}) q')
+def q_quarantine_line_numbers(spark, sf_dir):
+    """V3: the producer's quarantine over text files read in several splits, by line number."""
+    path = scratch_path(spark, "validation-files")
+    fixtures.write_validation_files(spark, sf_dir, path)
+    _, quarantine = produce.prepare(spark, path)
+    return quarantine.select(F.regexp_extract("source_file", "partition=([0-9]+)", 1).cast("int").alias("partition"), "line_number", "reason")
+
+
 # ------------------------------------------------------------------ storage
 
 

@@ -238,6 +238,23 @@ FROM ({event_rows_sql()}) ev
 """
 
 
+def write_validation_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """F4 as text files, one per Kafka partition under `partition=<n>`, in the order of
+    the offsets (a null line as a blank one); every 13th offset is followed by a blank line."""
+    line = F.coalesce("json_line", F.lit(""))
+    line = F.when(F.col("offset") % 13 == 0, F.concat(line, F.lit("\n \t"))).otherwise(line)
+    rows = validation_lines(spark, sf_dir).select("partition", "offset", line.alias("value"))
+    rows.repartition("partition").sortWithinPartitions("partition", "offset").select("partition", "value").write.partitionBy("partition").text(path)
+
+
+QUARANTINE_EXPECTED_SQL = f"""
+SELECT * FROM (SELECT "partition", reason, row_number() OVER w + coalesce(sum(CASE WHEN "offset" % 13 = 0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line_number
+  FROM ({VALIDATION_EXPECTED_SQL}) v WINDOW w AS (PARTITION BY "partition" ORDER BY "offset")) n
+WHERE reason NOT IN ('', 'Empty line', 'Input is not a string')
+"""
+
+
 def kafka_with_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2 with a non-JSON payload planted in some records."""
     k = kafka_fixture(spark, sf_dir)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import batch_job, fixtures, produce
 from strata.session import scratch_path
-from strata.sources import sinks
+from strata.sources import files, sinks
 
 
 def test_producer_counts(spark, sf_small):
@@ -58,3 +58,25 @@ def test_producer_counts_every_line_and_loses_no_event(spark):
     assert sent == ["e1"] and set(kept) == set(lines[1:])
     assert [kept[x] for x in lines[1:6]] == ["Invalid JSON"] * 5 and kept["null"] == kept["NaN"] == "JSON record is not an object"
     assert kept[lines[8]] == "Required field 'event_id' is empty"
+
+
+def test_quarantine_has_line_numbers_over_many_splits(spark, tmp_path):
+    """Numbers are the lines' own, blank ones counted, however the files are split and ended."""
+    good = '{"event_id":"e","user_id":"u","session_id":"s","event_type":"view","timestamp":"t","product_id":"p"}'
+    want = set()
+    for name, end in (("a.jsonl", "\n"), ("b.jsonl", "\r\n"), ("c.jsonl", "\n")):
+        lines = [["", " 　\t", good, f"bad {name} {i}", "[1]"][(i * 7 + i // 11) % 5] for i in range(700)]
+        (tmp_path / name).write_bytes(end.join(lines).encode() + (end.encode() if name == "a.jsonl" else b""))
+        want |= {(name, i, line) for i, line in enumerate(lines, 1) if line.strip() and line != good}
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        assert files.scan_lines(spark, str(tmp_path)).select("source_file", "split_start").distinct().count() > 20
+        records, quarantine = produce.prepare(spark, str(tmp_path))
+        got = {(r["source_file"].rsplit("/", 1)[1], r["line_number"], r["json_line"]) for r in quarantine.collect()}
+        assert got == want and quarantine.count() == len(want)
+        assert records.count() == 3 * 700 - len(want) - sum(1 for i in range(700) if (i * 7 + i // 11) % 5 < 2) * 3
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
