@@ -705,6 +705,32 @@ def q_stream_silver(spark, sf_dir):
     return jobs.resolve_silver(spark, out)
 
 
+@register("stream_silver_two_queries", O.SILVER)
+def q_stream_silver_two_queries(spark, sf_dir):
+    """Two queries with a checkpoint each feed one candidate log, batch numbers from
+    0 in both, and runs are merged by twos: no row of either is lost."""
+    b = _bronze(spark, sf_dir)
+    log = scratch_path(spark, "silver-log")
+    for cond in (F.col("partition") < 2, F.col("partition") >= 1):
+        src, ckpt = scratch_path(spark, "bronze-src"), scratch_path(spark, "ckpt-silver")
+        _stage_files(b.filter(cond), src, 3, "offset")
+        stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
+        _run(jobs.start_silver_stream(stream, log, ckpt, available_now=True, merge_fan=2))
+    return jobs.resolve_silver(spark, log)
+
+
+@register("stream_latest", O.SILVER)
+def q_stream_latest(spark, sf_dir):
+    """The latest row per id in a watermark-bounded state store. Bronze arrives in
+    the order of event time, so every row is in time and the result is the batch Silver."""
+    src, log, ckpt = (scratch_path(spark, n) for n in ("bronze-src", "latest-log", "ckpt-latest"))
+    timed = _bronze(spark, sf_dir).withColumn("_t", F.coalesce("event_timestamp", "kafka_timestamp"))
+    _stage_files(timed, src, 3, "_t")
+    stream = files.bronze_file_stream(spark, src, BRONZE_SCHEMA, max_files_per_trigger=FILES_PER_BATCH)
+    _run(jobs.start_latest_stream(stream, log, ckpt, span="30 days", available_now=True))
+    return jobs.resolve_silver(spark, log)
+
+
 _EVENTS_BRONZE_COLS = ["partition", "offset"] + [n for n, _ in fixtures.F7_COLUMNS] + ["event_timestamp", "event_date_parsed"]
 
 

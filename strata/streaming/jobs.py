@@ -7,7 +7,8 @@
   it never drops a row: late rows pass through.
 * Continuous Silver through `foreachBatch`: `row_number` is not allowed on a
   stream, so each micro-batch appends its candidates to a log, and readers
-  resolve the latest row per event_id.
+  resolve the latest row per event_id. A variant keeps the latest row per id in
+  the state store, bounded by the watermark.
 """
 
 from __future__ import annotations
@@ -15,12 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from strata.operators import silver as S
 from strata.operators.bronze import kafka_to_bronze
-from strata.schema import SILVER_SCHEMA
 from strata.sources.sinks import with_month_partition
+from strata.streaming import silver_log
 
 
 def with_trigger(writer, processing_time: str | None = None, available_now: bool = False):
@@ -69,10 +69,25 @@ def start_bronze_stream(
 
 
 def with_event_watermark(df: DataFrame, column: str = "event_timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Event-time watermark (min policy across inputs is Spark's default)."""
+    """Event-time watermark."""
     return df.withWatermark(column, delay)
 
 
+#: How one query's watermark follows several inputs. "min": the slowest one, so no input's rows are late because another is ahead.
+WATERMARK_POLICY = ("spark.sql.streaming.multipleWatermarkPolicy", "min")
+
+
+def union_watermarked(streams: list[DataFrame], column: str = "event_timestamp", delay: str = "10 minutes") -> DataFrame:
+    """Several inputs in one query, each with a watermark of its own; the query's
+    watermark is the least of them (`WATERMARK_POLICY`, kept in its checkpoint)."""
+    streams[0].sparkSession.conf.set(*WATERMARK_POLICY)
+    marked = [with_event_watermark(s, column, delay) for s in streams]
+    out = marked[0]
+    for other in marked[1:]:
+        out = out.unionByName(other)
+    return out
+
+
 def start_console_stream(df: DataFrame, checkpoint: str, processing_time: str | None = "5 seconds", num_rows: int = 10,
                          truncate: bool = False, fmt: str = "console", query_name: str | None = None,
                          available_now: bool = False) -> StreamingQuery:
@@ -101,44 +116,63 @@ def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) ->
 
 # ------------------------------------------------------- continuous Silver
 
-BATCH_COL = "_batch"
-MONTH_COL = "_event_month"
-CANDIDATE_SCHEMA = StructType([f for f in SILVER_SCHEMA.fields if f.name not in ("net_quantity", "discount_amount")])
 
+def append_silver_batch(bronze_batch: DataFrame, batch_id: int, log_path: str, query: str = "batch") -> bool:
+    """Commit one Bronze micro-batch to the Silver candidate log, reduced to one row
+    per event_id. Nothing that is stored is read or rewritten; see `silver_log`."""
+    return silver_log.append(S.deduplicate(silver_log.candidates(bronze_batch)), batch_id, log_path, query)
 
-def append_silver_batch(bronze_batch: DataFrame, batch_id: int, log_path: str) -> None:
-    """Append one Bronze micro-batch to the Silver candidate log.
 
-    The batch's rows are filtered, standardised, clamped and reduced to one per
-    event_id, and written to the batch's own folder, by event month. Nothing that
-    is stored is read or rewritten: the bytes written follow the batch, not the
-    table, and a crash can at worst leave this batch's folder incomplete. A
-    replay replaces exactly that folder (static overwrite, whatever the session's
-    mode), so the sink is idempotent.
-    """
-    rows = S.deduplicate(S.clamp(S.standardize(S.keep_required(bronze_batch))))
-    rows = rows.select(*CANDIDATE_SCHEMA.fieldNames(), F.date_format("event_date", "yyyy-MM").alias(MONTH_COL))
-    rows.hint("rebalance", MONTH_COL).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH_COL).parquet(
-        f"{log_path}/{BATCH_COL}={batch_id}")
+def resolve_silver(spark: SparkSession, log_path: str) -> DataFrame:
+    """Silver out of the candidate log."""
+    return silver_log.resolve(spark, log_path)
 
 
-def resolve_silver(spark: SparkSession, log_path: str) -> DataFrame:
-    """Silver out of the candidate log: the latest row per event_id over all
-    batches, in the order of the batch Silver, with the derived columns. The
-    scheduled batch Silver publishes this as a table."""
-    log = spark.read.schema(CANDIDATE_SCHEMA).parquet(log_path)
-    return S.derive(S.deduplicate(log)).select(*SILVER_SCHEMA.fieldNames())
+def _log_sink(log_path: str, checkpoint: str, merge_fan: int, stateful: bool):
+    key: list[str] = []
+
+    def sink(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if not key:
+            key.append(silver_log.query_key(spark, checkpoint))
+        if stateful:
+            silver_log.append(batch, number, log_path, key[0], stateful=True)
+        else:
+            append_silver_batch(batch, number, log_path, key[0])
+        silver_log.merge(spark, log_path, merge_fan)
+
+    return sink
 
 
 def start_silver_stream(bronze_stream: DataFrame, log_path: str, checkpoint: str, processing_time: str | None = None,
-                        available_now: bool = False) -> StreamingQuery:
-    """Continuous Silver over a Bronze stream."""
-    w = bronze_stream.writeStream.foreachBatch(lambda batch, number: append_silver_batch(batch, number, log_path)).option(
-        "checkpointLocation", checkpoint
-    )
+                        available_now: bool = False, merge_fan: int = silver_log.FAN) -> StreamingQuery:
+    """Continuous Silver over a Bronze stream, batch by batch, without state."""
+    w = bronze_stream.writeStream.foreachBatch(_log_sink(log_path, checkpoint, merge_fan, stateful=False)).option("checkpointLocation", checkpoint)
     return with_trigger(w, processing_time, available_now).start()
 
 
+#: State beyond memory: the state store that keeps its rows on the executors' disks and its versions in the checkpoint.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def start_latest_stream(bronze_stream: DataFrame, log_path: str, checkpoint: str, delay: str = "10 minutes", span: str = "1 hour",
+                        processing_time: str | None = None, available_now: bool = False, merge_fan: int = silver_log.FAN) -> StreamingQuery:
+    """Continuous Silver with state: only rows that are the latest of their id
+    so far reach the log. State is bounded by the watermark (`silver_log.latest_rows`)."""
+    spark = bronze_stream.sparkSession
+    held = spark.conf.get(STATE_STORE[0], None)
+    spark.conf.set(*STATE_STORE)  # a query keeps the setting that it was started with
+    try:
+        latest = silver_log.latest_rows(bronze_stream, delay, span)
+        w = latest.writeStream.outputMode("update").foreachBatch(_log_sink(log_path, checkpoint, merge_fan, stateful=True)).option("checkpointLocation", checkpoint)
+        return with_trigger(w, processing_time, available_now).start()
+    finally:
+        if held is None:
+            spark.conf.unset(STATE_STORE[0])
+        else:
+            spark.conf.set(STATE_STORE[0], held)
+
+
 # ------------------------------------------------------------------ CLI
 
 

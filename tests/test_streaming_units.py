@@ -128,20 +128,26 @@ def test_watermark_progression(spark, sf_small):
     assert spark.table("strata_wm").count() == ev.count()
 
 
-def test_silver_log_survives_a_crash_and_a_replay(spark, sf_small):
-    """A batch that fails half-way loses nothing that is stored; its replay replaces its own folder."""
-    import os
+def _parquet_bytes(*folders):
+    from pathlib import Path
+
+    from strata.session import local_path
+
+    return sum(f.stat().st_size for x in folders for f in Path(local_path(x)).rglob("*.parquet"))
+
 
+def test_silver_log_survives_a_crash_and_a_replay(spark, sf_small):
+    """A batch that fails half-way loses nothing that is stored; a replay of a committed batch adds nothing."""
     from strata.operators import silver
     from strata.plans.fixtures import bronze_fixture
-    from strata.session import local_path, scratch_path
-    from strata.streaming import jobs
+    from strata.streaming import silver_log
 
     b = bronze_fixture(spark, sf_small).cache()
     log = scratch_path(spark, "test-silver-log")
     first, second = b.filter("partition < 2"), b.filter("partition >= 2")
+    assert jobs.resolve_silver(spark, log).count() == 0
     jobs.append_silver_batch(first, 0, log)
-    size = lambda n: sum(f.stat().st_size for f in __import__("pathlib").Path(local_path(log), f"_batch={n}").rglob("*.parquet"))
+    size = lambda n: _parquet_bytes(f"{log}/runs/batch-{n:010d}")
     stored = size(0)
 
     broken = second.withColumn("search_query", F.when(F.col("offset") % 50 == 0, F.raise_error(F.lit("crash"))).otherwise(F.col("search_query")))
@@ -152,12 +158,83 @@ def test_silver_log_survives_a_crash_and_a_replay(spark, sf_small):
         assert "crash" in str(exc)
     assert size(0) == stored and jobs.resolve_silver(spark, log).count() == silver.silver_events(first).count()
 
-    for number in (1, 1, 2):  # the replay of batch 1, once more, and the second batch again under a new number
-        jobs.append_silver_batch(second, number, log)
+    # The replay of batch 1, once more, and the second batch again under a new number.
+    assert [jobs.append_silver_batch(second, number, log) for number in (1, 1, 2)] == [True, False, True]
     want = sorted(map(str, silver.silver_events(b).collect()))
     assert sorted(map(str, jobs.resolve_silver(spark, log).collect())) == want
-    assert size(0) == stored and os.path.isdir(local_path(log))
     # A small batch writes little, however large the log is.
     jobs.append_silver_batch(second.limit(10), 3, log)
-    assert size(3) < 0.2 * stored
+    assert size(0) == stored and size(3) < 0.2 * stored
+
+    # Merged, the live runs hold one row per id, whatever the number of batches; the rest goes with the vacuum.
+    assert silver_log.merge(spark, log, fan=3) == 1 and silver_log.merge(spark, log, fan=3) == 0
+    (run,) = silver_log.live(spark, log)
+    assert run.level == 1 and run.rows == len(want) and len(run.replaces) == 4
+    assert sorted(map(str, jobs.resolve_silver(spark, log).collect())) == want
+    assert len(silver_log.vacuum(spark, log, keep_seconds=3600)) == 0
+    assert len(silver_log.vacuum(spark, log, keep_seconds=0)) == 4 and size(0) == 0
+    assert sorted(map(str, jobs.resolve_silver(spark, log).collect())) == want
+    b.unpersist()
+
+
+def test_bytes_of_a_much_replayed_log_follow_its_ids(spark, sf_small):
+    from strata.plans.fixtures import bronze_fixture
+    from strata.streaming import silver_log
+
+    b = bronze_fixture(spark, sf_small).limit(500).cache()
+    log = scratch_path(spark, "test-silver-log")
+    for number in range(9):
+        jobs.append_silver_batch(b, number, log, query="again")
+        silver_log.merge(spark, log, fan=3)
+    found = silver_log.live(spark, log)
+    ids = jobs.resolve_silver(spark, log).count()
+    assert [r.level for r in found] == [2] and found[0].rows == ids
     b.unpersist()
+
+
+def test_state_of_the_latest_rows_is_bounded_by_the_watermark(spark):
+    """One row per id and minute; state leaves with the watermark, late rows are dropped and counted."""
+    import time
+
+    from strata.schema import BRONZE_SCHEMA
+    from strata.streaming import silver_log
+
+    src, log, ckpt = (scratch_path(spark, n) for n in ("t-latest-src", "t-latest-log", "t-latest-ckpt"))
+    fixed = {"user_id": "'u'", "session_id": "'s'", "event_type": "'view'", "product_id": "'p'", "partition": "0"}
+
+    def arrive(rows):
+        df = spark.createDataFrame(rows, "event_id string, minute int, offset bigint, device string")
+        time_of = F.expr("TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, minute)")
+        full = df.withColumn("event_timestamp", time_of).withColumns({k: F.expr(v) for k, v in fixed.items()})
+        full.select(*[F.col(f.name).cast(f.dataType) if f.name in full.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA.fields]).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+
+    for step in range(6):  # half an hour each; every id comes three times, the last one counts
+        arrive([(f"e{step}-{i}", 30 * step + i % 5, 3 * i + again, f"d{again}") for i in range(40) for again in range(3)])
+    arrive([("late", 0, 1, "x"), ("e5-1", 151, 999, "last")])
+    stream = spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", "1").parquet(src)
+    q = jobs.start_latest_stream(stream, log, ckpt, delay="10 minutes", span="1 minute", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    state = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert max(s["numRowsTotal"] for s in state) <= 80 and sum(s["numRowsDroppedByWatermark"] for s in state) == 1
+    assert "rocksdbCommitCheckpointLatency" in state[0]["customMetrics"] or any("rocksdb" in k for k in state[0]["customMetrics"])
+    got = {r["event_id"]: r["device"] for r in jobs.resolve_silver(spark, log).collect()}
+    assert got == {f"e{s}-{i}": "d2" for s in range(6) for i in range(40)} | {"e5-1": "last"}
+    assert sum(r.rows for r in silver_log.live(spark, log)) <= 241
+
+
+def test_watermark_of_two_inputs_follows_the_slower_one(spark):
+    def source(name, minutes):
+        src = scratch_path(spark, name)
+        for m in minutes:
+            spark.sql(f"SELECT {m} AS minute, TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, {m}) AS event_timestamp").coalesce(1).write.mode("append").parquet(src)
+        return spark.readStream.schema("minute int, event_timestamp timestamp").option("maxFilesPerTrigger", "1").parquet(src)
+
+    both = jobs.union_watermarked([source("t-fast", [600, 601]), source("t-slow", [45, 45])])
+    ckpt = scratch_path(spark, "t-two-ckpt")
+    q = jobs.start_console_stream(both, ckpt, fmt="memory", query_name="strata_two", available_now=True)
+    q.awaitTermination()
+    marks = [p["eventTime"].get("watermark") for p in q.recentProgress if p.get("eventTime")]
+    assert spark.table("strata_two").count() == 4
+    assert marks[-1] == "2024-01-01T00:35:00.000Z"
