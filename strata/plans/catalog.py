@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import bronze as bronze_ops
-from strata.operators import gold, payload, quality, report, silver
+from strata.operators import distinct, gold, increment, payload, quality, report, silver
 from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA
 from strata.session import scratch_path
 from strata.sources import files, kafka, sinks
@@ -52,6 +52,7 @@ def silver_stored(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataF
 
 #: What the Gold tables read of Silver.
 _MEASURES = ["session_id", "user_id", "product_id", "quantity", "removed_quantity", "net_quantity", "sales", "discount_amount"]
+DAILY_INPUT = [*_MEASURES, "discount_percent", "event_date"]
 PRODUCT_INPUT = [*_MEASURES, "product_name", "category", "sub_category", "product_price", "discount_percent"]
 CUSTOMER_INPUT = [*_MEASURES, "customer_name", "segment", "country", "market", "region", "event_timestamp"]
 GOLD_INPUT = list(dict.fromkeys([*PRODUCT_INPUT, *CUSTOMER_INPUT, "event_date", "event_type"]))
@@ -70,7 +71,7 @@ def q_silver_events(spark, sf_dir):
 
 @register("gold_daily_sales", O.with_silver(O.DAILY_SALES_SELECT))
 def q_gold_daily_sales(spark, sf_dir):
-    return gold.daily_sales(silver_of(spark, sf_dir))
+    return gold.daily_sales(silver_stored(spark, sf_dir, DAILY_INPUT))
 
 
 @register("gold_product_performance", O.with_silver(O.PRODUCT_SELECT))
@@ -261,7 +262,7 @@ def q_silver_event_type_counts(spark, sf_dir):
 
 @register("list_daily_sales", O.with_silver(f"SELECT * FROM {_G1} g1 ORDER BY event_date"))
 def q_list_daily_sales(spark, sf_dir):
-    return report.list_daily_sales(gold.daily_sales(silver_of(spark, sf_dir)))
+    return report.list_daily_sales(gold.daily_sales(silver_stored(spark, sf_dir, DAILY_INPUT)))
 
 
 _BY_PRODUCT = "ORDER BY total_sales DESC, product_id, product_name, category, sub_category"
@@ -320,7 +321,7 @@ def q_dash_executive(spark, sf_dir):
     O.with_silver(f"SELECT event_date, total_sales, total_events, unique_customers, total_net_quantity FROM {_G1} g1 ORDER BY event_date"),
 )
 def q_dash_daily_trend(spark, sf_dir):
-    return report.daily_trend(gold.daily_sales(silver_of(spark, sf_dir)))
+    return report.daily_trend(gold.daily_sales(silver_stored(spark, sf_dir, DAILY_INPUT)))
 
 
 def _roll(c):
@@ -592,7 +593,7 @@ def q_reconcile_counts(spark, sf_dir):
 @register("publish_table", O.with_silver(O.DAILY_SALES_SELECT))
 def q_publish_table(spark, sf_dir):
     table, base = _table_name("gold_daily_sales"), scratch_path(spark, "tables")
-    sinks.publish(gold.daily_sales(silver_of(spark, sf_dir)), table, base)
+    sinks.publish(gold.daily_sales(silver_stored(spark, sf_dir, DAILY_INPUT)), table, base)
     return spark.table(table)
 
 
@@ -614,6 +615,58 @@ def q_compact_bronze(spark, sf_dir):
     return files.read_bronze_parquet(spark, dst, nan_to_null=False)
 
 
+@register("compact_table", O.with_bronze("SELECT * FROM bronze"))
+def q_compact_table(spark, sf_dir):
+    """Four loads into a table partitioned by month leave four files a month; compaction
+    picks those months, rewrites them and swaps; a second run finds nothing to do."""
+    table, base = _table_name("bronze_months"), scratch_path(spark, "tables")
+    b = sinks.stage(sinks.with_month_partition(_bronze(spark, sf_dir)), scratch_path(spark, "bronze"))
+    sinks.write_partitioned(b.filter("partition = 0"), f"{base}/{table}/first", "event_month")
+    spark.sql(f"CREATE TABLE {table} ({sinks.ddl(BRONZE_SCHEMA)}, `event_month` STRING) USING parquet PARTITIONED BY (`event_month`) LOCATION '{base}/{table}/first'")
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    for p in (1, 2, 3):
+        b.filter(F.col("partition") == p).select(*spark.table(table).columns).hint("rebalance", "event_month").write.insertInto(table)
+    if not sinks.compact_table(spark, table, "event_month", base) or sinks.compact_table(spark, table, "event_month", base):
+        raise RuntimeError("compaction has to rewrite the loaded months once")
+    return spark.table(table).select(*BRONZE_SCHEMA.fieldNames())
+
+
+@register("silver_incremental", O.SILVER)
+def q_silver_incremental(spark, sf_dir):
+    """V6 on increments: three Kafka partitions are history, then the fourth comes with
+    replays of the others. Only history rows that can recur are shuffled."""
+    b = sinks.stage(_bronze(spark, sf_dir), scratch_path(spark, "bronze"))
+    history, new = (sinks.stage(silver.silver_events(b.filter(cond)), scratch_path(spark, "silver-part"))
+                    for cond in ("partition < 3", "partition = 3 OR offset % 17 = 0"))
+    return increment.refresh_silver(history, new)
+
+
+@register("dash_executive_days", ORACLE["dash_executive"])
+def q_dash_executive_days(spark, sf_dir):
+    """D1 from daily bitmaps and sums that were built in two increments; Silver is not read."""
+    s = silver_stored(spark, sf_dir, ["event_date", "event_type", "user_id", "session_id", "product_id", "sales", "quantity"])
+    base = scratch_path(spark, "daily")
+    early = F.coalesce(F.dayofmonth("event_date") <= 15, F.lit(True))
+    known = None
+    for number, part in enumerate((s.where(early), s.where(~early))):
+        numbers = distinct.extend_dictionary(known, part, f"{base}/dictionary-{number}")
+        known = numbers if known is None else known.unionByName(numbers)
+        distinct.daily_bitmaps(part, known).write.mode("append").parquet(f"{base}/bitmaps")
+        distinct.daily_amounts(part).write.mode("append").parquet(f"{base}/amounts")
+    return distinct.executive_from_days(spark.read.parquet(f"{base}/bitmaps"), spark.read.parquet(f"{base}/amounts"))
+
+
+@register("daily_distinct_from_bitmaps", O.with_silver("SELECT event_date, unique_customers, unique_sessions, unique_products FROM (" + O.DAILY_SALES_SELECT + ") g"))
+def q_daily_distinct_from_bitmaps(spark, sf_dir):
+    """G1's distinct counts per day out of the bitmaps."""
+    s = silver_stored(spark, sf_dir, ["event_date", "event_type", "user_id", "session_id", "product_id"]).where("event_date IS NOT NULL")
+    base = scratch_path(spark, "daily")
+    bits = sinks.stage(distinct.daily_bitmaps(s, distinct.extend_dictionary(None, s, f"{base}/dictionary")), f"{base}/bitmaps")
+    counts = distinct.distinct_counts(bits, ["event_date"])
+    return counts.groupBy("event_date").agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("ids"))), F.lit(0)).cast("bigint").alias(f"unique_{k}")
+                                              for k in ("customers", "sessions", "products")])
+
+
 # ---------------------------------------------------------------- streaming
 
 
@@ -790,7 +843,7 @@ def q_silver_extreme_amounts(spark, sf_dir):
 
 @register("gold_daily_extreme_amounts", _over_extremes(O.DAILY_SALES_SELECT))
 def q_gold_daily_extreme_amounts(spark, sf_dir):
-    return gold.daily_sales(_extreme_silver(spark, sf_dir))
+    return gold.daily_sales(sinks.stage(_extreme_silver(spark, sf_dir).select(*DAILY_INPUT), scratch_path(spark, "stage-silver")))
 
 
 @register("gold_product_extreme_amounts", _over_extremes(O.PRODUCT_SELECT))

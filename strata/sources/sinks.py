@@ -1,4 +1,4 @@
-"""Table and file sinks: DDL, atomic publish (staging + swap), full refresh,
+"""Table and file sinks: DDL, atomic publish (version + view), full refresh,
 partitioned Bronze writes, compaction and load reconciliation."""
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.schema import ddl
+from strata.sources import fs
 
 
 def create_table_sql(name: str, schema: StructType, fmt: str = "parquet", location: str | None = None) -> str:
@@ -56,41 +57,71 @@ def publish(df: DataFrame, table: str, base_path: str, fmt: str = "parquet", par
     """Create-or-replace a table atomically and count what was written.
 
     The data is written to a fresh version folder first; only after the write
-    committed is the table pointed at it, so readers never see a truncated or
-    half-loaded table and a rerun replaces rather than duplicates. Returns the
-    version path and the number of rows written (an `Observation` taken during
-    the write, no second pass over the data).
-
-    A table of another schema, or a partitioned one (whose catalog entries name the
-    old version's folders), is replaced: its definition is dropped (an external
-    table, so no data goes) and created over the new version. `partition_by` lays the files out by column values, so later reads
-    are pruned by them.
+    committed do readers see it, by one catalog operation, so they never meet a
+    missing, truncated or half-loaded table and a rerun replaces rather than
+    duplicates. Returns the version path and the number of rows written (an
+    `Observation` taken during the write, no second pass over the data).
+
+    The name is a view over a table of the version, `<name>__<version>`, and the
+    operation is the view's replacement, whatever changed in schema or
+    partitioning. A plain table under the name (made by `create_table`) keeps its
+    kind while the schema stays and there are no partitions: its location is set.
+    Otherwise it is renamed out of the way once, and the view takes its name.
+    `partition_by` lays the files out by column values, so later reads are pruned
+    by them. Old versions stay until `drop_old_versions`.
     """
     partition_by = list(partition_by or [])
     spark = df.sparkSession
-    version = f"{base_path.rstrip('/')}/{table}/v-{uuid.uuid4().hex[:12]}"
+    tag = uuid.uuid4().hex[:12]
+    version = f"{base_path.rstrip('/')}/{table}/v-{tag}"
     obs = Observation(f"publish_{table}_{uuid.uuid4().hex[:6]}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         counted = counted.hint("rebalance", *partition_by)
     counted.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(version)
     wanted = _layout(df.schema.fields, partition_by)
-    if spark.catalog.tableExists(table):
-        now = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-        if not now and not partition_by and _layout(spark.table(table).schema.fields, now) == wanted:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
-        else:
-            spark.sql(f"DROP TABLE {table}")
-    if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{n}` {t}" for n, t in wanted)
-        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{parts} LOCATION '{version}'")
+    plain = spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW"
+    if plain and not partition_by and not any(c.isPartition for c in spark.catalog.listColumns(table)) and _layout(spark.table(table).schema.fields, []) == wanted:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.sql(f"REFRESH TABLE {table}")
+        return version, int(obs.get["rows"])
+    columns = ", ".join(f"`{n}` {t}" for n, t in wanted)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table}__{tag} ({columns}) USING {fmt}{parts} LOCATION '{version}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
-    spark.sql(f"REFRESH TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table}__{tag} SYNC PARTITIONS")
+    if plain:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__before_{tag}")
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__{tag}")
     return version, int(obs.get["rows"])
 
 
+def versions(spark: SparkSession, table: str) -> list[str]:
+    """The version tables of a published name, the one that readers see last."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{table}__".lower()) or t.name.startswith(f"{table}__")]
+    now = spark.sql(f"SHOW CREATE TABLE {table}").first()[0] if spark.catalog.getTable(table).tableType == "VIEW" else ""
+    return sorted(names, key=lambda n: n.rsplit("__", 1)[1] in now)
+
+
+def drop_old_versions(spark: SparkSession, table: str) -> list[str]:
+    """Retention: drop every version but the one that readers see, table and files.
+    To run when no reader uses an older one any more; the names dropped."""
+    old = versions(spark, table)[:-1]
+    for name in old:
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE {name}")
+        fs.delete(spark, place)
+    return old
+
+
+def drop_published(spark: SparkSession, table: str) -> None:
+    """The view and all its versions; their files stay."""
+    names = versions(spark, table)
+    spark.sql(f"DROP {'VIEW' if spark.catalog.getTable(table).tableType == 'VIEW' else 'TABLE'} {table}")
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def reconcile(spark: SparkSession, table: str, loaded_rows: int) -> DataFrame:
     """V8: loaded rows vs rows now in the table (one row; `matches` false = error)."""
     return (
@@ -134,6 +165,39 @@ def compact(spark: SparkSession, src: str, dst: str, schema: StructType, partiti
     return dst
 
 
+def partition_files(spark: SparkSession, table: str, partition_col: str) -> DataFrame:
+    """(partition value, files, bytes) of a partitioned table, wherever its partitions lie."""
+    each = spark.table(table).select(F.col(partition_col).alias("value"), "_metadata.file_path", "_metadata.file_size").distinct()
+    return each.groupBy("value").agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
+
+
+def compact_table(spark: SparkSession, table: str, partition_col: str, base_path: str, target_bytes: int = 256 << 20) -> list:
+    """Compaction that chooses and swaps. Partitions with at least twice the files
+    that their bytes need at `target_bytes` each are rewritten together to a new
+    folder, then each is pointed at its new place by one catalog operation; readers
+    see a partition before or after. The partition values rewritten; with nothing
+    to gain nothing is rewritten. Old files stay, for readers that still use them.
+    """
+    need = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes))
+    chosen = [r["value"] for r in partition_files(spark, table, partition_col).where((F.col("files") >= 2 * need)).select("value").collect()]
+    if not chosen:
+        return []
+    place = f"{base_path.rstrip('/')}/{table}/c-{uuid.uuid4().hex[:12]}"
+    rows = spark.table(table).where(F.col(partition_col).isin([v for v in chosen if v is not None]) | (F.col(partition_col).isNull() if None in chosen else F.lit(False)))
+    held = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+        write_partitioned(rows, place, partition_col, mode="errorifexists")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", held)
+    for v in chosen:
+        spec = "null" if v is None else f"'{v}'"
+        folder = "__HIVE_DEFAULT_PARTITION__" if v is None else v
+        spark.sql(f"ALTER TABLE {table} PARTITION (`{partition_col}`={spec}) SET LOCATION '{place}/{partition_col}={folder}'")
+    spark.sql(f"REFRESH TABLE {table}")
+    return chosen
+
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 

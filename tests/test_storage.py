@@ -60,6 +60,71 @@ def test_publish_replaces_the_schema(spark):
     assert sorted(map(tuple, spark.table(table).collect())) == [("y", "p"), ("z", "q")]
     _, n = sinks.publish(spark.createDataFrame([("w", "r")], "a string, day string"), table, base, partition_by=["day"])
     assert n == 1 and [tuple(r) for r in spark.table(table).collect()] == [("w", "r")]
+    assert len(sinks.versions(spark, table)) == 4
+    assert len(sinks.drop_old_versions(spark, table)) == 3
+    assert [tuple(r) for r in spark.table(table).collect()] == [("w", "r")]
+    assert len(glob.glob(f"{local_path(base)}/{table}/v-*")) == 1
+    sinks.drop_published(spark, table)
+    assert not spark.catalog.tableExists(table) and not [t for t in spark.catalog.listTables() if t.name.startswith(table)]
+
+
+def test_a_reader_never_meets_a_missing_or_empty_table(spark):
+    """A loop of reads beside publishes of changing schema and partitioning sees whole versions only."""
+    import threading
+
+    base, table = scratch_path(spark, "test-publish"), f"pub_{uuid.uuid4().hex[:8]}"
+    frames = [(spark.range(n).selectExpr("id AS a", f"'{n}' AS b", *extra), by) for n, extra, by in (
+        (10, [], []), (20, ["id % 3 AS day"], ["day"]), (30, ["id % 3 AS day"], ["day"]), (40, ["id AS c"], []), (50, [], []))]
+    sinks.publish(frames[0][0], table, base)
+    seen, errors, stop = set(), [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(tuple(spark.table(table).groupBy("b").count().first()))
+            except Exception as exc:  # noqa: BLE001
+                errors.append(exc)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for df, by in frames[1:]:
+            assert sinks.publish(df, table, base, partition_by=by)[1] == df.count()
+    finally:
+        stop.set()
+        reader.join()
+    assert not errors and seen <= {(str(n), n) for n in (10, 20, 30, 40, 50)} and len(seen) > 1
+    assert spark.table(table).count() == 50
+    sinks.drop_published(spark, table)
+
+
+def test_a_created_table_becomes_a_view_only_when_it_must(spark):
+    from pyspark.sql.types import StructType
+
+    base, table = scratch_path(spark, "test-publish"), f"pub_{uuid.uuid4().hex[:8]}"
+    sinks.create_table(spark, table, StructType.fromDDL("a int"), location=f"{base}/{table}/initial")
+    sinks.publish(spark.createDataFrame([(1,)], "a int"), table, base)
+    assert spark.catalog.getTable(table).tableType != "VIEW"
+    sinks.publish(spark.createDataFrame([("x",)], "a string"), table, base)
+    assert spark.catalog.getTable(table).tableType == "VIEW" and [tuple(r) for r in spark.table(table).collect()] == [("x",)]
+    sinks.drop_published(spark, table)
+
+
+def test_compaction_chooses_and_swaps(spark):
+    """Only the partitions with too many files move; a second run rewrites nothing."""
+    base, table = scratch_path(spark, "test-compact"), f"months_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([(i, ["a", "b", None][i % 3]) for i in range(60)], "v int, m string").coalesce(1).write.partitionBy("m").parquet(f"{base}/first")
+    spark.sql(f"CREATE TABLE {table} (v INT, m STRING) USING parquet PARTITIONED BY (m) LOCATION '{base}/first'")
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    for i in range(3):
+        spark.createDataFrame([(100 + i, "a"), (200 + i, None)], "v int, m string").coalesce(1).write.insertInto(table)
+    want = sorted(map(str, spark.table(table).collect()))
+    before = {r["value"]: r["files"] for r in sinks.partition_files(spark, table, "m").collect()}
+    assert before == {"a": 4, "b": 1, None: 4}
+    assert set(sinks.compact_table(spark, table, "m", base)) == {"a", None}
+    assert {r["value"]: r["files"] for r in sinks.partition_files(spark, table, "m").collect()} == {"a": 1, "b": 1, None: 1}
+    assert sorted(map(str, spark.table(table).collect())) == want
+    assert sinks.compact_table(spark, table, "m", base) == []
     spark.sql(f"DROP TABLE {table}")
 
 
