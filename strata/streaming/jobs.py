@@ -31,6 +31,10 @@ def with_trigger(writer, processing_time: str | None = None, available_now: bool
     return writer
 
 
+#: Offsets of one Kafka partition whose rows of one day a single task writes.
+ROWS_PER_FILE = 50_000
+
+
 def start_bronze_stream(
     kafka_df: DataFrame,
     path: str,
@@ -39,7 +43,7 @@ def start_bronze_stream(
     processing_time: str | None = "10 seconds",
     available_now: bool = False,
     query_name: str | None = None,
-    salt_files: int = 1,
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> StreamingQuery:
     """Parse every micro-batch and append it to Parquet.
 
@@ -48,14 +52,15 @@ def start_bronze_stream(
     One checkpoint per query: the offset log and the sink's commit log make
     the output exactly-once across restarts (a batch planned but not committed
     is replayed, and the sink ignores a repeat of a committed batch).
-    Each micro-batch is clustered by the partition column before the sink, so it
-    writes one file per partition that it touches instead of one per task and
-    partition; a hot partition is spread by `salt_files` more keys.
+    Each micro-batch is clustered before the sink by the partition column and by runs
+    of `rows_per_file` Kafka offsets: few files per day that it touches, and a day
+    that holds nearly the whole batch is written by as many tasks as its offsets fill
+    (adaptive execution merges the small ones up to its advisory size).
     """
     bronze = kafka_to_bronze(kafka_df)
     if partition_col == "event_month":
         bronze = with_month_partition(bronze)
-    bronze = bronze.repartition(F.col(partition_col), F.pmod(F.xxhash64("event_id"), F.lit(max(1, salt_files))))
+    bronze = bronze.repartition(F.col(partition_col), F.col("partition"), F.floor(F.col("offset") / rows_per_file))
     w = (
         bronze.writeStream.format("parquet")
         .outputMode("append")
@@ -195,7 +200,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoint", required=True, help="one checkpoint folder per query")
     ap.add_argument("--path", help="Bronze output folder (bronze job)")
     ap.add_argument("--partition-col", default="event_date_parsed", choices=["event_date_parsed", "event_month"])
-    ap.add_argument("--files-per-partition", type=int, default=1, help="files a hot partition may be spread over per batch")
+    ap.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE, help="Kafka offsets whose rows of one day share a file")
     ap.add_argument("--trigger", help="processing time (default: 10 seconds for bronze, 5 seconds for console)")
     ap.add_argument("--max-offsets", type=int, help="offsets per batch, 0 for no limit (default: 10000 for bronze, none for console)")
     ap.add_argument("--starting-offsets", default="earliest")
@@ -207,7 +212,7 @@ def main(argv: list[str] | None = None) -> None:
     options = kafka.kafka_options(a.bootstrap, a.topic, a.starting_offsets, a.fail_on_data_loss, limit or None, a.min_partitions)
     src = kafka.read_kafka_stream(spark, options)
     if a.job == "bronze":
-        query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col, processing_time=a.trigger or "10 seconds", salt_files=a.files_per_partition)
+        query = start_bronze_stream(src, a.path, a.checkpoint, partition_col=a.partition_col, processing_time=a.trigger or "10 seconds", rows_per_file=a.rows_per_file)
     else:
         query = start_console_stream(with_event_watermark(to_console_rows(src)), a.checkpoint, processing_time=a.trigger or "5 seconds")
     run_until_stopped(query)

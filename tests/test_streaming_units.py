@@ -102,6 +102,32 @@ def test_uncommitted_batch_is_replayed_exactly_once(spark, sf_small):
     assert back.exceptAll(sent).count() == 0 and sent.exceptAll(back).count() == 0
 
 
+def test_a_hot_day_is_written_by_several_tasks(spark, sf_small):
+    """A batch of one day: as many files as its Kafka partitions and offset runs, and no row lost."""
+    import glob
+
+    from strata.plans.fixtures import kafka_fixture
+    from strata.schema import KAFKA_SOURCE_SCHEMA
+    from strata.session import local_path
+
+    k = kafka_fixture(spark, sf_small)
+    one_day = F.regexp_replace(F.col("value").cast("string"), '"event_date":"[^"]*"', '"event_date":"2024-05-01"').cast("binary")
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-day-src", "t-day", "t-day-ckpt"))
+    k = k.withColumn("value", one_day).where(F.col("value").cast("string").contains('"event_date"')).select(*KAFKA_SOURCE_SCHEMA.fieldNames())
+    k.coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(KAFKA_SOURCE_SCHEMA).parquet(src)
+    # So few rows would be merged into one task; a batch beyond the advisory size is not.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        q = jobs.start_bronze_stream(stream, out, ckpt, available_now=True, rows_per_file=100)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert q.exception() is None
+    assert len(glob.glob(f"{local_path(out)}/event_date_parsed=2024-05-01/*.parquet")) > 1
+    assert spark.read.parquet(out).count() == k.count()
+
+
 def test_watermark_progression(spark, sf_small):
     """Watermark starts at 0 and then trails the maximum event time seen by
     10 minutes; with no stateful operator nothing is dropped."""
