@@ -6,9 +6,10 @@ two 64-bit hashes of (position, role, text). A conversation whose whole hash is
 a proper prefix hash of another one is a snapshot of it; an anti-join keeps the
 maximal ones, equal ones are kept once (smallest id), and these are rendered.
 
-Positions and running sums are built in two levels, within chunks of turns and
-over the chunk totals, so a conversation that holds a large part of all rows is
-spread over many tasks; its rendering comes in parts of one chunk each.
+Positions come from range partitions, running sums from chunks of positions and
+the chunk totals, so a conversation that holds a large part of all rows is spread
+over many tasks, whatever its turn numbers are; its rendering comes in parts of one
+chunk each.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strata.functions import ordering
+from strata.session import scratch_path
+
 CHUNK_TURNS = 512
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
@@ -26,24 +30,23 @@ def _term(salt: int) -> Column:
     return F.xxhash64(F.lit(salt), "pos", F.col("role").isNull(), F.coalesce("role", F.lit("")), F.col("text").isNull(), F.coalesce("text", F.lit(""))).cast("decimal(38,0)")
 
 
-def rolled(turns: DataFrame, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
-    """Distinct turns with `chunk`, `pos` (from 1), `n` (turns of the conversation)
-    and the rolling hashes `h1`, `h2` up to the turn."""
-    rows = turns.distinct().withColumn("chunk", F.floor(F.col("turn") / F.lit(chunk_turns)))
-    rows = rows.withColumn("chunk", F.coalesce("chunk", F.lit(2**62)))  # turns without a number come last
-    inside = Window.partitionBy("conv_id", "chunk").orderBy(F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_last(), F.col("text").asc_nulls_last())
-    over = Window.partitionBy("conv_id").orderBy("chunk")
-    whole = Window.partitionBy("conv_id")
-    counts = rows.groupBy("conv_id", "chunk").agg(F.count(F.lit(1)).alias("c")).select(
-        "conv_id", "chunk", (F.sum("c").over(over) - F.col("c")).alias("before"), F.sum("c").over(whole).alias("n"))
-    placed = rows.withColumn("r", F.row_number().over(inside)).join(counts, ["conv_id", "chunk"]).withColumn("pos", F.col("r") + F.col("before"))
+def rolled(turns: DataFrame, base: str, chunk_turns: int = CHUNK_TURNS) -> DataFrame:
+    """Distinct turns with `pos` (from 1), `chunk` (`chunk_turns` positions each, from 0),
+    `n` (turns of the conversation) and the rolling hashes `h1`, `h2` up to the turn,
+    stored under `base`, since several steps read them."""
+    spark = turns.sparkSession
+    order = [F.col(c).asc_nulls_last() for c in ("turn", "role", "text")]
+    stored = ordering.in_parts(turns.distinct(), [F.col("conv_id"), *order], f"{base}/turns")
+    placed = ordering.positions(stored, ["conv_id"], order).withColumn("chunk", F.floor((F.col("pos") - 1) / chunk_turns))
     placed = placed.withColumn("t1", _term(1)).withColumn("t2", _term(2))
-    sums = placed.groupBy("conv_id", "chunk").agg(F.sum("t1").alias("s1"), F.sum("t2").alias("s2")).select(
-        "conv_id", "chunk", (F.sum("s1").over(over) - F.col("s1")).alias("b1"), (F.sum("s2").over(over) - F.col("s2")).alias("b2"))
+    over, whole = Window.partitionBy("conv_id").orderBy("chunk"), Window.partitionBy("conv_id")
+    sums = placed.groupBy("conv_id", "chunk").agg(F.sum("t1").alias("s1"), F.sum("t2").alias("s2"), F.count(F.lit(1)).alias("c")).select(
+        "conv_id", "chunk", (F.sum("s1").over(over) - F.col("s1")).alias("b1"), (F.sum("s2").over(over) - F.col("s2")).alias("b2"), F.sum("c").over(whole).alias("n"))
     upto = Window.partitionBy("conv_id", "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return placed.join(sums, ["conv_id", "chunk"]).select(
+    placed.join(sums, ["conv_id", "chunk"]).select(
         "conv_id", "chunk", "pos", "n", "role", "text",
-        (F.col("b1") + F.sum("t1").over(upto)).cast("string").alias("h1"), (F.col("b2") + F.sum("t2").over(upto)).cast("string").alias("h2"))
+        (F.col("b1") + F.sum("t1").over(upto)).cast("string").alias("h1"), (F.col("b2") + F.sum("t2").over(upto)).cast("string").alias("h2")).write.parquet(f"{base}/rolled")
+    return spark.read.parquet(f"{base}/rolled")
 
 
 def render(role: Column, text: Column) -> Column:
@@ -53,8 +56,8 @@ def render(role: Column, text: Column) -> Column:
 
 def collapse(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
              chunk_turns: int = CHUNK_TURNS) -> DataFrame:
-    """Maximal conversations, rendered: `conv_id`, `part` (0 for turns 0 to
-    `chunk_turns` - 1, and so on), `n_turns` (of the conversation), `n_copies`
+    """Maximal conversations, rendered: `conv_id`, `part` (0 for the first `chunk_turns`
+    turns, and so on), `n_turns` (of the conversation), `n_copies`
     (conversations equal to it), `chat` (the part's rendered turns).
 
     Turns are ordered by number, role, text, nulls last; repeated rows count
@@ -64,7 +67,7 @@ def collapse(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
     """
     turns = conversations.where(F.col(conv_col).isNotNull()).select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("bigint").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    rows = rolled(turns, chunk_turns)
+    rows = rolled(turns, scratch_path(turns.sparkSession, "chat-collapse"), chunk_turns)
     ends = rows.where("pos = n").groupBy("n", "h1", "h2").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_copies"))
     prefixes = rows.where("pos < n").select(F.col("pos").alias("n"), "h1", "h2").distinct()
     kept = ends.join(prefixes, ["n", "h1", "h2"], "left_anti").select("conv_id", "n", "n_copies")
@@ -83,7 +86,7 @@ p AS (SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id)
   FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST ROWS UNBOUNDED PRECEDING)),
 e AS (SELECT n, upto, min(conv_id) AS conv_id, count(*) AS n_copies FROM p WHERE pos = n GROUP BY n, upto),
 k AS (SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n AND p.pos = e.n AND p.upto = e.upto))
-SELECT p.conv_id, CAST(coalesce(floor(turn / {float(CHUNK_TURNS)}), 4611686018427387904) AS BIGINT) AS part, k.n AS n_turns, k.n_copies,
+SELECT p.conv_id, CAST(floor((pos - 1) / {float(CHUNK_TURNS)}) AS BIGINT) AS part, k.n AS n_turns, k.n_copies,
   string_agg('{OPEN}' || coalesce(role, 'unknown') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '{CLOSE}' || chr(10), '' ORDER BY pos) AS chat
 FROM p JOIN k USING (conv_id) GROUP BY ALL
 """

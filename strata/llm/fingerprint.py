@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm import ordering
+from strata.functions import ordering
 from strata.session import scratch_path
 
 BINS, BITS, PROBES, WORDS = 256, 4, 12, 5

@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from strata.llm import ordering
+from strata.functions import ordering
 from strata.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Turns per chunk of the rolling sums; arcs per block of the list ranking.
-CHUNK_TURNS, BLOCK = 4096, 1 << 15
+CHUNK_TURNS, BLOCK = 4096, 1 << 12
 SUMS = ["steps", "leaves", "saved"]
 LIST = StructType([StructField(c, LongType()) for c in ("item", "place", "next", *SUMS)])
 CHAINS = StructType([StructField(c, LongType()) for c in ("item", "head", "next", *(f"{p}_{s}" for p in ("off", "all") for s in SUMS))])

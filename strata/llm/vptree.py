@@ -36,53 +36,67 @@ SCORE_CELLS = 1 << 21
 
 @dataclass
 class Tree:
-    """Unit vectors in leaf order, original vectors, ids per point, nodes (vantage point, radius, inner, outer; or leaf range)."""
+    """Unit vectors in leaf order, original vectors, ids and row numbers per point,
+    nodes (vantage point, radius, inner, outer; or leaf range)."""
 
     unit: np.ndarray
     raw: np.ndarray
     ids: list[np.ndarray]
+    rows: list[np.ndarray]
     nodes: list[tuple]
 
 
-def build(ids: np.ndarray, raw: np.ndarray, keep_ids: int) -> Tree:
-    """A tree over float64 rows; a point keeps its `keep_ids` smallest ids, which
+def scaled(raw: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component near 1: exact, same
+    directions, and no square leaves the range of doubles."""
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, initial=0.0))[1][:, None])
+
+
+def to_unit(raw: np.ndarray) -> np.ndarray:
+    raw = scaled(raw)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def build(ids: np.ndarray, raw: np.ndarray, keep_ids: int, rows: np.ndarray | None = None) -> Tree:
+    """A tree over float64 rows; a point keeps the `keep_ids` rows of smallest id, which
     is all that a result of fewer neighbours can hold."""
-    order = np.argsort(ids, kind="stable")
-    ids, raw = ids[order], raw[order]
+    rows = np.arange(len(ids)) if rows is None else rows
+    order = np.lexsort((rows, ids))
+    ids, raw, rows = ids[order], raw[order], rows[order]
     points, back = np.unique(raw, axis=0, return_inverse=True)
     back = back.reshape(-1)
     by = np.argsort(back, kind="stable")
     cut = np.searchsorted(back[by], np.arange(len(points) + 1))
-    of = [ids[by[a : min(b, a + keep_ids)]] for a, b in zip(cut[:-1], cut[1:])]
-    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    of = [by[a : min(b, a + keep_ids)] for a, b in zip(cut[:-1], cut[1:])]
+    unit = to_unit(points)
     place: list[int] = []
     nodes: list[tuple] = []
 
-    def grow(rows: np.ndarray) -> int:
+    def grow(part: np.ndarray) -> int:
         number = len(nodes)
         nodes.append(())
-        if len(rows) <= LEAF:
-            nodes[number] = (None, len(place), len(place) + len(rows))
-            place.extend(rows.tolist())
+        if len(part) <= LEAF:
+            nodes[number] = (None, len(place), len(place) + len(part))
+            place.extend(part.tolist())
             return number
         # The vantage point is the row farthest from the first one.
-        d0 = unit[rows] @ unit[rows[0]]
+        d0 = unit[part] @ unit[part[0]]
         v = int(d0.argmin())
-        d = np.sqrt(np.maximum(0, 2 - 2 * (unit[rows] @ unit[rows[v]])))
+        d = np.sqrt(np.maximum(0, 2 - 2 * (unit[part] @ unit[part[v]])))
         radius = float(np.median(d))
         inner = d <= radius
-        if inner.all():
-            nodes[number] = (None, len(place), len(place) + len(rows))
-            place.extend(rows.tolist())
+        if inner.all() or not inner.any():
+            nodes[number] = (None, len(place), len(place) + len(part))
+            place.extend(part.tolist())
             return number
-        a = grow(rows[inner])
-        b = grow(rows[~inner])
-        nodes[number] = (unit[rows[v]], radius, a, b)
+        a = grow(part[inner])
+        b = grow(part[~inner])
+        nodes[number] = (unit[part[v]], radius, a, b)
         return number
 
     grow(np.arange(len(points)))
     at = np.array(place)
-    return Tree(unit[at], points[at], [of[i] for i in at], nodes)
+    return Tree(unit[at], points[at], [ids[of[i]] for i in at], [rows[of[i]] for i in at], nodes)
 
 
 def search(tree: Tree, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, int]:
@@ -149,6 +163,8 @@ def collect(tree: Tree, queries: np.ndarray, floor: np.ndarray, factor: float) -
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise cosine in double precision, sums taken from left to right."""
+    a, b = scaled(a), scaled(b)
+
     def total(x: np.ndarray) -> np.ndarray:
         return np.cumsum(x, axis=1)[:, -1]
 
@@ -162,24 +178,23 @@ def usable(vector: Column) -> Column:
 
 
 def index(vectors: DataFrame, folder: str, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = SHARD_ROWS, k: int = 5) -> DataFrame:
-    """Stores a tree per (dimension, shard) under `folder` and returns the table. Every usable row is indexed."""
+    """Stores a tree per (dimension, shard) under `folder` and returns the table. Every
+    usable row is indexed; rows are known by a number that is stored with them."""
     spark: SparkSession = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("vec")))
-    # Of rows with one id the smallest vector counts.
-    rows = rows.groupBy("id").agg(F.min("vec").alias("vec"))
-    rows.write.parquet(f"{folder}/vectors")
+    rows.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/vectors")
     rows = spark.read.parquet(f"{folder}/vectors")
     shards = max(1, math.ceil(rows.count() / shard_rows))
 
     def make(table: pa.Table) -> pa.Table:
         n = table.num_rows
         raw = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-        tree = build(table["id"].to_numpy(), raw, k + 1)
+        tree = build(table["id"].to_numpy(), raw, k + 1, table["row"].to_numpy())
         return pa.table({"dim": pa.array([raw.shape[1]], pa.int32()), "shard": pa.array([table["shard"][0].as_py()], pa.int64()), "tree": pa.array([pickle.dumps(tree, protocol=5)], pa.binary())})
 
     (
-        rows.withColumn("dim", F.size("vec")).withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("bigint"))
+        rows.withColumn("dim", F.size("vec")).withColumn("shard", F.pmod(F.xxhash64("id", "row"), F.lit(shards)).cast("bigint"))
         .groupBy("dim", "shard").applyInArrow(make, "dim int, shard bigint, tree binary").write.parquet(f"{folder}/trees")
     )
     return spark.read.parquet(f"{folder}/trees")
@@ -187,13 +202,14 @@ def index(vectors: DataFrame, folder: str, id_col: str = "vec_id", vec_col: str
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding",
             shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the `k` nearest other ids of every query
-    id, nearest first, ties to the smaller id; fewer where fewer exist.
+    """(query_id, rank, vec_id, score) of the `k` nearest other rows of every query
+    row, nearest first, ties to the smaller id; fewer where fewer exist.
 
     `is_query` is a condition on a column `id`. Null, empty, zero and non-finite
     vectors and rows without id take no part; vectors of another dimension are no
-    candidates; rows with one id count as one (the smallest vector). An empty
-    table gives an empty result. Other columns are not read.
+    candidates. Rows that share an id are rows of their own: each is a candidate of the
+    others, and each query row among them has a result. An empty table gives an
+    empty result. Other columns are not read.
     """
     spark: SparkSession = vectors.sparkSession
     folder = scratch_path(spark, "vptree")
@@ -203,35 +219,36 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 1.
     shards = spark.read.parquet(f"{folder}/trees").select(F.col("dim").alias("dim"), F.col("shard").alias("shard"))
     by_block = trees.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
     # Every query block meets every shard of its dimension: an equality join on the dimension of the stated query set.
-    asked = asked.withColumn("dim", F.size("vec")).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(blocks)).cast("bigint"))
-    asked = asked.join(shards, "dim").select("dim", F.col("shard").alias("to_shard"), "block", "id", "vec").withColumnRenamed("to_shard", "shard")
+    asked = asked.withColumn("dim", F.size("vec")).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id", "row"), F.lit(blocks)).cast("bigint"))
+    asked = asked.join(shards, "dim").select("dim", F.col("shard").alias("to_shard"), "block", "id", "row", "vec").withColumnRenamed("to_shard", "shard")
 
     def look(tree_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"query_id": [], "query_row": [], "vec_id": [], "row": [], "score": []}
         if tree_rows.num_rows and query_rows.num_rows:
             tree: Tree = pickle.loads(tree_rows["tree"][0].as_py())
-            ids = query_rows["id"].to_numpy()
+            ids, own = query_rows["id"].to_numpy(), query_rows["row"].to_numpy()
             raw = query_rows["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+            unit = to_unit(raw)
             # One point more than k: the query's own may be among them.
             _, best, _ = search(tree, unit, k + 1, factor)
             q, point = collect(tree, unit, best[:, -1] - EPS, factor)
             step = max(1, SCORE_CELLS // raw.shape[1])
             score = np.concatenate([cosine(raw[q[i : i + step]], tree.raw[point[i : i + step]]) for i in range(0, len(q), step)] or [np.zeros(0)])
             count = np.array([len(x) for x in tree.ids])[point]
-            name = np.concatenate([tree.ids[p] for p in point]) if len(point) else np.zeros(0, np.int64)
+            none = [np.zeros(0, np.int64)]
+            name, row = np.concatenate([tree.ids[p] for p in point] or none), np.concatenate([tree.rows[p] for p in point] or none)
             q, score = np.repeat(q, count), np.repeat(score, count)
-            other = name != ids[q]
-            q, score, name = q[other], score[other], name[other]
-            order = np.lexsort((name, -score, q))
-            q, score, name = q[order], score[order], name[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q)
-            top = place < k
-            out = {"query_id": ids[q[top]], "vec_id": name[top], "score": score[top]}
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
-
-    found = by_block.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block")).applyInArrow(look, "query_id bigint, vec_id bigint, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id")))
+            other = row != own[q]
+            q, score, name, row = q[other], score[other], name[other], row[other]
+            order = np.lexsort((row, name, -score, q))
+            q, score, name, row = q[order], score[order], name[order], row[order]
+            top = np.arange(len(q)) - np.searchsorted(q, q) < k
+            out = {"query_id": ids[q[top]], "query_row": own[q[top]], "vec_id": name[top], "row": row[top], "score": score[top]}
+        return pa.table([pa.array(out[f.name], f.type) for f in result], schema=result)
+
+    result = pa.schema([(c, pa.int64()) for c in ("query_id", "query_row", "vec_id", "row")] + [("score", pa.float64())])
+    found = by_block.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block")).applyInArrow(look, "query_id bigint, query_row bigint, vec_id bigint, row bigint, score double")
+    place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id"), F.col("row")))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -96,3 +96,13 @@ def test_anchor_words_lose_nothing():
             mine = set(zip(unit, unit[1:]))
             if mine and 200 * len(mine & pairs) >= 80 * (len(mine) + len(pairs)):
                 assert any(a in " ".join(unit) for a in anchors)
+
+
+def test_parts_follow_the_position_whatever_the_turn_numbers(spark):
+    """Turn numbers that are timestamps, and turns without a number, fill parts one after the other."""
+    stamped = [(1, 1_700_000_000_000 + 977 * i, "user", f"t{i}") for i in range(250)]
+    unnumbered = [(2, None, "user", f"u{i:04d}") for i in range(250)]
+    got = chat_collapse.collapse(spark.createDataFrame(stamped + unnumbered, "conv_id bigint, turn bigint, role string, text string"), chunk_turns=100).orderBy("conv_id", "part").collect()
+    assert [(r["conv_id"], r["part"], r["chat"].count("<|im_start|>")) for r in got] == [(c, p, n) for c in (1, 2) for p, n in ((0, 100), (1, 100), (2, 50))]
+    assert all(r["n_turns"] == 250 for r in got)
+    assert "".join(r["chat"] for r in got if r["conv_id"] == 2) == "".join(f"<|im_start|>user\nu{i:04d}<|im_end|>\n" for i in range(250))

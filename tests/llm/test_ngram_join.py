@@ -1,14 +1,12 @@
 import collections
 import random
 
-import duckdb
 import numpy as np
 import pytest
 from conftest import WORD, thue_morse
 
 from strata.llm import flat, ngram_join
 from strata.llm.components import connected_components, stars
-from strata.llm.queries import ORACLE, QUERIES
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -99,14 +97,6 @@ def test_one_set_and_one_component_with_a_third_of_all_rows(documents):
     compare(documents(*rows).repartition(7), rows)
 
 
-def test_equals_sql(spark, sf_small):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")
-    want = con.execute(ORACLE["op1_ngram_jaccard_join"])
-    names = [d[0] for d in want.description]
-    assert sorted(map(tuple, QUERIES["op1_ngram_jaccard_join"](spark, sf_small).select(*names).collect())) == sorted(want.fetchall())
-
-
 def test_empty_table(documents):
     assert ngram_join.jaccard_classes(documents().limit(0)).count() == 0
 

@@ -3,12 +3,10 @@ import random
 import zlib
 from collections import defaultdict
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import prefix_trie
-from strata.llm.queries import ORACLE, QUERIES
 from strata.session import scratch_path
 from conftest import WORD
 
@@ -97,12 +95,3 @@ def test_list_ranks_of_a_shuffled_list(spark, block):
     items = spark.createDataFrame([(i, i, after[i], 1, weight[i], i) for i in range(n)], prefix_trie.LIST)
     got = {r["item"]: (r["steps"], r["leaves"], r["saved"]) for r in prefix_trie.list_ranks(items, scratch_path(spark, "test-list"), block).collect()}
     assert got == {x: (k, sum(weight[y] for y in order[:k]), sum(order[:k])) for k, x in enumerate(order)}
-
-
-def test_equals_sql(spark, sf_small):
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf_small}/conversations.parquet'")
-    want = con.execute(ORACLE["op11_prefix_trie"])
-    names = [d[0] for d in want.description]
-    got = QUERIES["op11_prefix_trie"](spark, sf_small)
-    assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)

@@ -37,8 +37,8 @@ def test_edge_cases(spark):
     rows = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (1, [1.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (None, [1.0, 1.0]), (100, [1.0, 2.0, 3.0]), (1, [1.0, 1.0]), (1, [9.0, 9.0]), (150, None)]
     df = spark.createDataFrame([(i, v, 0, 2, "x") for i, v in rows], SCHEMA)
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in vptree.nearest(df, F.col("id") % 50 == 0).collect())
-    # Three usable ids of two dimensions; the only vector of three dimensions has no candidate.
-    assert got == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
+    # Five usable rows of two dimensions, three of them with one id; the only vector of three dimensions has no candidate.
+    assert got == [(q, rank, v) for q, other in ((0, 50), (50, 0)) for rank, v in enumerate((1, 1, 1, other), 1)]
     assert vptree.nearest(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
@@ -67,3 +67,19 @@ def test_dozens_of_ties_go_to_the_smaller_id(spark):
     df = spark.createDataFrame([(int(i), [float(x) for x in v], 0, 1, "s") for i, v in zip(ids, raw)], SCHEMA)
     got = vptree.nearest(df, F.col("id") % 20 == 0, shard_rows=700, block_rows=30)
     assert sorted(map(tuple, got.collect())) == brute(ids, raw, ids[ids % 20 == 0])
+
+
+def test_rows_that_share_an_id_are_candidates_and_queries_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [1.0, 0.0]), (7, [1.0, 1.0])]
+    df = spark.createDataFrame([(i, v, 0, 2, "x") for i, v in rows], SCHEMA)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in vptree.nearest(df, F.col("id") == 0, k=2).collect())
+    half = round(0.5**0.5, 6)
+    assert got == sorted([(0, 1, 0, 1.0), (0, 2, 7, half)] * 2 + [(0, 1, 7, half), (0, 2, 0, 0.0)])
+
+
+def test_tiny_and_huge_components(spark):
+    r = np.random.default_rng(9)
+    raw = r.normal(size=(300, 6)) * 10.0 ** r.choice([-200, 0, 200], size=(300, 1))
+    df = spark.createDataFrame([(i, [float(x) for x in v], 0, 1, "s") for i, v in enumerate(raw)], "vec_id bigint, embedding array<double>, label int, id bigint, shard string")
+    got = vptree.nearest(df, F.col("id") % 50 == 0, shard_rows=100)
+    assert sorted(map(tuple, got.collect())) == brute(np.arange(300), raw, np.arange(0, 300, 50))
