@@ -59,7 +59,9 @@ SKETCH_BITS = 22
 MAX_FILTER_BITS = 28
 BLOCK_ROWS = 256
 #: Text behind one bucket of the shared-token count, rows passed along in one bucket, tokens buffered by a task.
-BUCKET_BYTES, BUCKET_ROWS, FLUSH_TOKENS = 16 << 20, 1_000_000, 1_000_000
+BUCKET_BYTES, BUCKET_ROWS, FLUSH_TOKENS = 64 << 20, 1_000_000, 1_000_000
+#: Tokens of a bucket that are sorted at once: those of one remainder of their hash.
+SLICE_TOKENS = 1_000_000
 #: A key with more than one in HOT rows is joined by broadcast; there are fewer than HOT such keys.
 HOT = 1000
 U64 = np.uint64
@@ -165,6 +167,41 @@ def _first_pass(k: int, percent: int, share: float, buckets: int, schema: pa.Sch
     return run
 
 
+def _sum_equal(sid: np.ndarray, batch: np.ndarray, size: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row per (set, batch), counts added."""
+    order = np.lexsort((batch, sid))
+    sid, batch, size, count = sid[order], batch[order], size[order], count[order]
+    new = np.flatnonzero(np.concatenate([[True], (sid[1:] != sid[:-1]) | (batch[1:] != batch[:-1])]))
+    return sid[new], batch[new], size[new], np.add.reduceat(count, new)
+
+
+def _shared_in(rem: list, idx: list, sids: list, sizes: list, batches: list) -> tuple[np.ndarray, ...]:
+    """(set, batch, size, tokens seen in another set) out of one bucket's entries, in
+    slices of the tokens, so that sorting needs a fraction of the bucket's memory."""
+    slices = max(1, -(-sum(map(len, rem)) // SLICE_TOKENS))
+    none = np.zeros(0, np.int64)
+    total = (none, none, none, none)
+    for part in range(slices):
+        pick = [np.flatnonzero(r % np.uint32(slices) == part) for r in rem] if slices > 1 else [np.arange(len(r)) for r in rem]
+        r = np.concatenate([x[i] for x, i in zip(rem, pick)] or [np.zeros(0, np.uint32)])
+        if not len(r):
+            continue
+        at = [x[i] for x, i in zip(idx, pick)]
+        low = [x & np.uint32(0x7FFFFFFF) for x in at]
+        s, z = np.concatenate([x[i] for x, i in zip(sids, low)]), np.concatenate([x[i] for x, i in zip(sizes, low)])
+        t = np.repeat(np.array(batches, np.int64), [len(i) for i in low])
+        multi = np.concatenate(at) >> np.uint32(31) == 1
+        order = np.argsort(r, kind="stable")
+        r, s, z, t, multi = r[order], s[order], z[order], t[order], multi[order]
+        new = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+        shared = (np.minimum.reduceat(s, new) != np.maximum.reduceat(s, new)) | np.logical_or.reduceat(multi, new)
+        hit = np.repeat(shared, np.diff(np.append(new, len(r)))) & ~multi
+        if hit.any():
+            more = _sum_equal(s[hit], t[hit], z[hit].astype(np.int64), np.ones(int(hit.sum()), np.int64))
+            total = _sum_equal(*(np.concatenate(x) for x in zip(total, more)))
+    return total
+
+
 def _count_shared(schema: pa.Schema):
     """One bucket: membership rows pass; token entries become (set, batch, shared tokens)."""
     def column(table: pa.Table, name: str, kind) -> list[np.ndarray]:
@@ -181,28 +218,9 @@ def _count_shared(schema: pa.Schema):
             size.append(z.astype(np.int64))
             count.append(c.astype(np.int64))
         posts = rest.filter(pa.compute.is_valid(rest["rem"]))
-        if posts.num_rows:
-            at = column(posts, "idx", np.uint32)
-            low = [i & np.uint32(0x7FFFFFFF) for i in at]
-            rem = np.concatenate(column(posts, "rem", np.uint32))
-            s = np.concatenate([x[i] for x, i in zip(column(posts, "sids", np.int64), low)])
-            z = np.concatenate([x[i] for x, i in zip(column(posts, "sizes", np.uint32), low)])
-            t = np.repeat(np.array(posts["batch"].to_pylist(), np.int64), [len(i) for i in at])
-            multi = np.concatenate(at) >> np.uint32(31) == 1
-            order = np.argsort(rem, kind="stable")
-            rem, s, z, t, multi = rem[order], s[order], z[order], t[order], multi[order]
-            new = np.flatnonzero(np.concatenate([[True], rem[1:] != rem[:-1]]))
-            shared = (np.minimum.reduceat(s, new) != np.maximum.reduceat(s, new)) | np.logical_or.reduceat(multi, new)
-            hit = np.repeat(shared, np.diff(np.append(new, len(rem)))) & ~multi
-            if hit.any():
-                s, z, t = s[hit], z[hit], t[hit]
-                order = np.lexsort((t, s))
-                s, z, t = s[order], z[order], t[order]
-                new = np.flatnonzero(np.concatenate([[True], (s[1:] != s[:-1]) | (t[1:] != t[:-1])]))
-                sid.append(s[new])
-                batch.append(t[new])
-                size.append(z[new].astype(np.int64))
-                count.append(np.diff(np.append(new, len(s))))
+        found = _shared_in(column(posts, "rem", np.uint32), column(posts, "idx", np.uint32), column(posts, "sids", np.int64), column(posts, "sizes", np.uint32), posts["batch"].to_pylist())
+        for whole, part in zip((sid, batch, size, count), found):
+            whole.append(part)
         out = [table.filter(is_member).select(["id", "n", "sid"])]
         if sid:
             got = dict(zip(("sid", "batch", "size", "shared"), map(np.concatenate, (sid, batch, size, count))))

@@ -11,6 +11,8 @@ from strata.llm import chat_collapse, fingerprint, language_id, license_scan, li
 from strata.llm.shipping import ship_package
 from strata.session import scratch_path
 
+#: The session setting that names the secret of the surrogates.
+PII_KEY = "spark.strata.pii.key"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -68,7 +70,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_surrogates.replace_pii(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    key = spark.conf.get(PII_KEY, pii_surrogates.PUBLIC_KEY)
+    return pii_surrogates.replace_pii(table(spark, sf_dir, "documents"), key).select("doc_id", "text", "n_entities")
 
 
 @query

@@ -97,6 +97,25 @@ def test_one_set_and_one_component_with_a_third_of_all_rows(documents):
     compare(documents(*rows).repartition(7), rows)
 
 
+def test_small_slices_and_buckets_lose_no_link(documents, monkeypatch):
+    """Driver-side sizes only change how the count is cut."""
+    monkeypatch.setattr(ngram_join, "BUCKET_BYTES", 4000)
+    rows = near_copies()
+    compare(documents(*rows).repartition(3), rows)
+
+
+def test_shared_tokens_in_slices(monkeypatch):
+    r = np.random.default_rng(2)
+    rem = [r.integers(0, 50, 300).astype(np.uint32) for _ in range(4)]
+    idx = [r.integers(0, 20, 300).astype(np.uint32) for _ in range(4)]
+    sids = [r.integers(0, 30, 20) for _ in range(4)]
+    sizes = [np.arange(20, dtype=np.uint32) for _ in range(4)]
+    whole = ngram_join._shared_in(rem, idx, sids, sizes, [0, 1, 2, 3])
+    monkeypatch.setattr(ngram_join, "SLICE_TOKENS", 100)
+    cut = ngram_join._shared_in(rem, idx, sids, sizes, [0, 1, 2, 3])
+    assert [x.tolist() for i, x in enumerate(whole) if i != 2] == [x.tolist() for i, x in enumerate(cut) if i != 2] and len(whole[0])
+
+
 def test_empty_table(documents):
     assert ngram_join.jaccard_classes(documents().limit(0)).count() == 0
 
