@@ -62,16 +62,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Null texts stay null."""
-    done = pii_surrogates.replace_pii(docs, count_col="__entities")
+    """Null texts stay null. The session setting spark.strata.pii.key names the secret."""
+    key = spark.conf.get("spark.strata.pii.key", pii_surrogates.PUBLIC_KEY)
+    done = pii_surrogates.replace_pii(docs, key, count_col="__entities")
     return done.select(*[F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row appears as many times as the mix takes it."""
-    sized = docs.withColumn("__size", mixing.word_count(F.col("text")))
-    taken = mixing.mix(sized, size_col="__size", prefix="__mix_").where(F.col("__mix_copies") > 0)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*docs.columns)
+    docs = positioned(spark, docs)
+    place = [F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")]
+    sized = docs.select("doc_id", "source", *place, mixing.word_count(F.col("text")).alias("__size"))
+    # The choice is made without the texts.
+    taken = mixing.mix(sized, size_col="__size", prefix="__mix_").where(F.col("__mix_copies") > 0).select("__file", "__row", "__mix_copies")
+    rows = docs.select("*", *place).join(taken, ["__file", "__row"])
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies")))).select(*docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
