@@ -39,12 +39,28 @@ def test_license_edge_cases(documents):
             (8, "Released under the MIT License!"), (8, "Released under the MIT License!"), (None, "Licensed under CC BY-NC 4.0."), (9, "Licensed under the Apache Licence, Version 3"), (10, "word " * 100_000)]
     df = documents(*[(d, t, "l", "s", 1, 3) for d, t in rows], extra=", size int")
     got = license_scan.scan(df)
-    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(("doc_id", "license_id", "matched", "common", "unit_bigrams", "template_bigrams", "dice"), scan_sql(rows))
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(("doc_id", "license_id", "start", "matched", "common", "unit_bigrams", "template_bigrams", "dice"), scan_sql(rows))
     found = {(r["doc_id"], r["license_id"]) for r in got.collect()}
     assert {(4, "Apache-2.0"), (5, "Apache-2.0"), (6, "Apache-2.0-header"), (7, "Apache-2.0-header"), (8, "MIT")} <= found and not any(d in (1, 2, 3, 10) for d, _ in found)
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_notices_inside_prose_and_wrapped_lines(documents):
+    t = license_scan.TEMPLATES
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + t["MIT-permission"].replace(", ", ",\n") + "\n\nThe above copyright notice shall be included."
+    commented = "\n".join("# " + " ".join(t["GPL-3.0-header"].split()[i : i + 9]) for i in range(0, 60, 9))
+    changed = t["ISC"].replace("for any purpose", "for any lawful purpose").replace("appear", "shall appear")
+    rows = [(1, "Some words. This project is licensed under the MIT License. More words of the readme follow."), (2, mit), (3, f"code();\n{commented}\nmore();"),
+            (4, "/* Copyright */ " + t["BSD-redistribution"] + " 1. Redistributions of source code"), (5, f"intro {changed} end"), (6, "The license of the car is under version two of the law."),
+            (7, "filler words of a page " * 30_000 + t["MIT"] + " more filler" * 1000 + " " + t["MIT"]), (8, " ".join([t["MIT"]] * 40))]
+    got = license_scan.scan(documents(*rows))
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(("doc_id", "license_id", "start", "matched", "common", "unit_bigrams", "template_bigrams", "dice"), scan_sql(rows))
+    hits = [(r["doc_id"], r["license_id"], round(r["dice"], 2)) for r in got.collect()]
+    assert {(1, "MIT-licensed", 1.0), (2, "MIT-permission", 1.0), (3, "GPL-3.0-header", 1.0), (4, "BSD-redistribution", 1.0)} <= set(hits)
+    assert any(d == 5 and k == "ISC" for d, k, _ in hits) and not any(d == 6 for d, _, _ in hits)
+    assert hits.count((7, "MIT", 1.0)) == 2 and hits.count((8, "MIT", 1.0)) == 40
+
+
 def test_size_bounds_lose_nothing():
     for t in range(1, 120):
         low, high = -(-t * 80 // 120), t * 120 // 80

@@ -8,7 +8,7 @@ import corpus_pipeline
 
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
-    assert {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")} == set(range(1, 14))
 
 
 def test_stages_on_a_table_with_edge_cases(spark, documents, tmp_path):
