@@ -1,4 +1,7 @@
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import language_id
@@ -43,3 +46,47 @@ def test_no_labelled_rows_predict_und(documents):
 def test_families():
     assert language_id.family("de") == language_id.family("en") == "germanic"
     assert language_id.family("pt-BR") == "romance" and language_id.family("xx") == "xx"
+
+
+def scalar(model, text):
+    """(language, score) of one text with plain loops over its bytes and the model's weights."""
+    code = [b | 0x20 if chr(b).isascii() and chr(b).isalpha() else b if b >= 0x80 else 0x20 for b in text.encode()]
+    if not any(c.isalpha() for c in text):
+        return "und", 0.0
+    count, word = {}, 0xFFFFFFFF
+    for a, b, c in zip(code, code[1:], code[2:]):
+        if (a, b, c) != (32, 32, 32):
+            g = (a * 0x9E3779B1 ^ b * 0x85EBCA77 ^ c * 0xC2B2AE3D) & word
+            g = ((g ^ g >> 15) * 0x2C1B3C6D & word) >> 20
+            count[g] = count.get(g, 0) + 1
+    size = math.sqrt(sum(count.values()))
+    squash = lambda w: 1 / (1 + math.exp(-3 * max(-10, min(10, sum(math.sqrt(n) / size * float(w[g]) for g, n in count.items()) + float(w[-1])))))
+    p = [squash(w) for w in model.family_weight]
+    best = p.index(max(p))
+    codes = model.languages[model.families[best]]
+    if len(codes) == 1:
+        return codes[0], max(p) / sum(p)
+    vote, pairs = dict.fromkeys(codes, 0.0), iter(model.pair_weight[model.families[best]])
+    for i, a in enumerate(codes):
+        for b in codes[i + 1 :]:
+            q = squash(next(pairs))
+            vote[a] += q
+            vote[b] += 1 - q
+    winner = max(codes, key=vote.get)
+    return winner, max(p) / sum(p) * vote[winner] / (len(codes) - 1)
+
+
+def test_predictions_equal_a_scalar_version(small_docs):
+    usable = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))
+    model = language_id.train(small_docs, usable)
+    texts = {r["doc_id"]: r["text"] for r in small_docs.where("doc_id % 4 = 0").collect()}
+    for r in language_id.identify(small_docs.where("doc_id % 4 = 0"), model).collect():
+        lang, score = scalar(model, texts[r["doc_id"]] or "")
+        assert r["lang_pred"] == lang and r["score"] == pytest.approx(score, abs=1e-4)
+
+
+def test_equal_votes_go_to_the_first_code_in_order():
+    """A text without any learned trigram: the machines' biases decide, equal ones for the first."""
+    model = language_id.LanguageModel(["germanic"], None, {"germanic": ["de", "en", "nl"]}, {"germanic": np.zeros((3, language_id.DIMS + 1), np.float32)})
+    lang, score = language_id.predict(model, np.zeros((2, language_id.DIMS), np.float32))
+    assert list(lang) == ["de", "de"] and score == pytest.approx([0.5, 0.5])
