@@ -402,7 +402,9 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", count_col: st
 def _rewrite(rows: DataFrame, columns: list[str], text_col: str, key: str, count_col: str, attempts: Column) -> DataFrame:
     parts = F.when(F.col("__pattern").isNull(), F.split(F.col(text_col), ENTITY, -1)).otherwise(F.split(F.col(text_col), F.col("__pattern"), -1))
     new = surrogates(F.col("__found"), lambda m: F.coalesce(F.try_element_at(attempts, m), F.lit(0)), key, F.col("__mentions"))
-    rows = rows.withColumn("__parts", parts).withColumn("__new", F.when(F.size("__found") > 0, new))
+    # Few texts hold an entity; the others are neither split nor drawn for.
+    some = F.size("__found") > 0
+    rows = rows.withColumn("__parts", F.when(some, parts)).withColumn("__new", F.when(some, new))
     text = F.concat(F.array_join(F.zip_with(F.slice("__parts", 1, F.size("__found")), F.col("__new"), lambda p, s: F.concat(p, s)), ""), F.element_at("__parts", -1))
     out = F.when(F.size("__found") > 0, text).otherwise(F.col(text_col))
     # A string that stays as it is was none.
