@@ -3,7 +3,8 @@ their DuckDB oracle SQL.
 
 Each query takes ``(spark, sf_dir)``, derives its input from the test tables and
 returns a DataFrame over the whole tables. Queries about storage and streaming, and
-those that read Silver more than once, write to the shared folder when called;
+those that read Silver more than once, write to the shared folder when called (Silver
+once per snapshot of the source tables, see `sources/layers.py`);
 the others are lazy.
 """
 
@@ -15,11 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import schema
+from strata.functions import columns as column_functions
 from strata.operators import bronze as bronze_ops
 from strata.operators import distinct, gold, increment, payload, quality, report, silver
 from strata.schema import BRONZE_SCHEMA, EVENT_COLUMNS, KAFKA_SOURCE_SCHEMA
 from strata.session import scratch_path
-from strata.sources import files, kafka, sinks
+from strata.sources import files, kafka, layers, sinks
 from strata.streaming import jobs
 from strata.plans import fixtures, produce
 from strata.plans import oracle as O
@@ -43,11 +46,16 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_events(fixtures.bronze_fixture(spark, sf_dir))
 
 
-def silver_stored(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    """The named Silver columns written once to the shared folder, for plans with
-    several Silver branches (product performance and customer activity each
-    run two aggregations over it)."""
-    return sinks.stage(silver_of(spark, sf_dir).select(*columns), scratch_path(spark, "stage-silver"))
+#: The code that makes the fixture's Bronze and Silver.
+SILVER_RULES = layers.rules_digest(schema, column_functions, bronze_ops, silver, fixtures)
+
+
+def silver_stored(spark: SparkSession, sf_dir: str, columns: list[str], bronze=fixtures.bronze_fixture) -> DataFrame:
+    """The named Silver columns, stored once per snapshot of the source tables, for
+    plans with several Silver branches (product performance and customer activity each
+    run two aggregations over it). Queries over the same tables share the copies."""
+    sources = [fixtures.table_path(sf_dir, t) for t in fixtures.SOURCE_TABLES]
+    return layers.stored(spark, lambda: silver.silver_events(bronze(spark, sf_dir)).select(*columns), f"silver-{bronze.__name__}", sources, SILVER_RULES)
 
 
 #: What the Gold tables read of Silver.
@@ -196,9 +204,8 @@ _G4 = f"({O.conversion_select()})"
 
 
 def _layers(spark, sf_dir, silver_columns):
-    """Bronze as it is (its counts need no copy) and the named Silver columns stored once."""
-    b = _bronze(spark, sf_dir)
-    return b, sinks.stage(silver.silver_events(b).select(*silver_columns), scratch_path(spark, "stage-silver"))
+    """Bronze as it is (its counts need no copy) and the named Silver columns stored once per snapshot."""
+    return _bronze(spark, sf_dir), silver_stored(spark, sf_dir, silver_columns)
 
 
 @register(
@@ -843,13 +850,12 @@ def q_silver_extreme_amounts(spark, sf_dir):
 
 @register("gold_daily_extreme_amounts", _over_extremes(O.DAILY_SALES_SELECT))
 def q_gold_daily_extreme_amounts(spark, sf_dir):
-    return gold.daily_sales(sinks.stage(_extreme_silver(spark, sf_dir).select(*DAILY_INPUT), scratch_path(spark, "stage-silver")))
+    return gold.daily_sales(silver_stored(spark, sf_dir, DAILY_INPUT, fixtures.bronze_with_extremes))
 
 
 @register("gold_product_extreme_amounts", _over_extremes(O.PRODUCT_SELECT))
 def q_gold_product_extreme_amounts(spark, sf_dir):
-    s = sinks.stage(_extreme_silver(spark, sf_dir).select(*PRODUCT_INPUT), scratch_path(spark, "stage-silver"))
-    return gold.product_performance(s)
+    return gold.product_performance(silver_stored(spark, sf_dir, PRODUCT_INPUT, fixtures.bronze_with_extremes))
 
 
 @register("sales_reconcile_extreme_amounts", _over_extremes(O.sales_check_select()))

@@ -81,8 +81,16 @@ LINEITEM_COLS = [
 ]
 
 
+#: The tables that the star join reads.
+SOURCE_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def joined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in found if not n.startswith((".", "_")))
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since the epoch of a folder's or file's last change."""
+    fs, p = _open(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _open(spark, path)
     return fs.delete(p, True)

@@ -7,7 +7,7 @@ from strata.operators import gold, silver
 from strata.plans import catalog
 from strata.plans.fixtures import bronze_fixture
 from strata.session import scratch_path
-from strata.sources import files
+from strata.sources import files, layers
 
 
 def plan(df):
@@ -72,6 +72,7 @@ def test_only_needed_columns_are_staged(spark, sf_small, monkeypatch):
     monkeypatch.setattr(catalog.sinks, "stage", recording)
     for key in ("layer_counts", "verify_uniqueness", "event_type_counts", "silver_invariants", "gold_product_performance", "gold_customer_activity", "dash_geo_sales"):
         staged[key] = []
+        layers.drop(spark)
         catalog.QUERIES[key](spark, sf_small)
     invariants = ["event_id", "discount_percent", "quantity", "removed_quantity", "net_quantity", "product_price"]
     assert staged == {
