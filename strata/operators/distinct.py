@@ -57,8 +57,9 @@ def daily_bitmaps(silver: DataFrame, dictionary: DataFrame) -> DataFrame:
             rows = rows.where(F.col("event_type").isin(*types))
         rows = rows.select("event_date", F.lit(kind).alias("kind"), F.lit(column).alias("id_column"), F.col(column).alias("id")).distinct()
         out = rows if out is None else out.unionByName(rows)
-    numbered = out.join(dictionary, ["id_column", "id"])
-    return numbered.groupBy("event_date", "kind", F.bitmap_bucket_number("no").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("no")).alias("bits"))
+    numbered = out.join(dictionary, ["id_column", "id"]).select("event_date", "kind", F.bitmap_bucket_number("no").alias("bucket"), F.bitmap_bit_position("no").alias("bit"))
+    # Numbers meet in their bitmap's task before they become bits: 4 KB rows are neither sorted nor shuffled.
+    return numbered.repartition("event_date", "kind", "bucket").groupBy("event_date", "kind", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def daily_amounts(silver: DataFrame) -> DataFrame:
