@@ -11,14 +11,16 @@ Join plan: orders ⋈ customer is joined
 first (orders is a quarter of lineitem), then lineitem joins it on orderkey and
 part on partkey, and nation ⋈ region last, so that their names ride along in no
 shuffle. nation/region are fixed-size by the TPC-H specification (25 and
-5 rows); they, customer and part are left to the planner, which broadcasts a
+5 rows); they and customer are left to the planner, which broadcasts a
 side only when its measured size is under `spark.sql.autoBroadcastJoinThreshold`
 (checked again at run time by AQE) and otherwise sort-merges on the key.
-lineitem ⋈ orders is pinned to a sort-merge join on orderkey: both sides grow
-with the data, so that is the plan at any real scale, and it keeps the fact
-table the streamed, key-partitioned side. Left to size estimates, a small
-lineitem is broadcast instead and every later operator runs in as many tasks
-as the other side has input splits (one, for a one-row-group file).
+lineitem's joins with orders and part are pinned to shuffled hash joins: all three
+grow with the data, so both keys are shuffled at any real scale, and lineitem is the
+streamed, key-partitioned side. A task holds its share of the orders or parts in a
+hash table and sorts neither them nor the wide fact rows, whose sort would be the
+largest in the job. Left to size estimates, a small lineitem is broadcast instead and
+every later operator runs in as many tasks as the other side has input splits (one,
+for a one-row-group file).
 """
 
 from __future__ import annotations
@@ -110,9 +112,9 @@ def joined_sources(spark: SparkSession, sf_dir: str, dealt: Callable[[DataFrame]
         t("orders")
         .select("o_orderkey", "o_custkey", "o_orderpriority")
         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-        .hint("merge")
+        .hint("shuffle_hash")
     )
-    part = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    part = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice").hint("shuffle_hash")
     rows = (
         t("lineitem")
         .select(*LINEITEM_COLS)
