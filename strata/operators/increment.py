@@ -5,14 +5,15 @@ bits over the new ids, one 64-bit word per hash and four bits per id, is broadca
 while it is small; history rows that miss it pass straight through, the few that hit
 it meet the new rows in the one dedup shuffle. A false hit only passes through the
 shuffle. History is scanned twice (kept and possibly superseded rows), shuffled not at all
-beyond the hits.
+beyond the hits. For more new ids than the table is made for, all rows meet in one
+shuffle on the id.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators import silver as S
@@ -51,8 +52,21 @@ def possibly_superseded(history: DataFrame, ids: DataFrame, n: int, broadcast_id
     return marked.where(~hit).drop("_word", "_bits"), marked.where(hit).drop("_word", "_bits")
 
 
+def _refresh_in_one_shuffle(history: DataFrame, new: DataFrame) -> DataFrame:
+    """History rows whose id no new row has, and the latest row of every other id. A null
+    id of history equals no new one."""
+    both = history.select(*SILVER_COLUMNS, F.lit(False).alias("_new")).unionByName(new.select(*SILVER_COLUMNS, F.lit(True).alias("_new")))
+    apart = both.withColumn("_apart", F.col("event_id").isNull() & ~F.col("_new"))
+    same_id = Window.partitionBy("event_id", "_apart")
+    ranked = apart.withColumn("_rn", F.row_number().over(same_id.orderBy(*S.dedup_order()))).withColumn("_met", F.max("_new").over(same_id))
+    return ranked.where(~F.col("_met") | (F.col("_rn") == 1)).select(*SILVER_COLUMNS)
+
+
 def refresh_silver(history: DataFrame, new: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Silver of all rows so far, from stored Silver and the stored Silver of the new
     Bronze rows alone (`silver.silver_events`): equal to the full refresh."""
-    kept, old = possibly_superseded(history, new.select("event_id"), new.count(), broadcast_ids)
+    n = new.count()
+    if n > broadcast_ids:
+        return _refresh_in_one_shuffle(history, new)
+    kept, old = possibly_superseded(history, new.select("event_id"), n, broadcast_ids)
     return kept.select(*SILVER_COLUMNS).unionByName(S.deduplicate(old.select(*SILVER_COLUMNS).unionByName(new.select(*SILVER_COLUMNS))))
