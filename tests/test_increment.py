@@ -25,6 +25,17 @@ def test_refresh_equals_the_full_one(spark, bronze, broadcast_ids):
     assert sorted(map(str, empty.collect())) == sorted(map(str, history.collect()))
 
 
+def test_many_new_ids_leave_null_and_repeated_ids_of_history_alone(spark, bronze):
+    """Both ways agree on the ids of a history that is no plain Silver; the shuffle keeps its null ids."""
+    s = silver.silver_events(bronze.limit(60))
+    history = s.unionByName(s).unionByName(s.limit(5).withColumn("event_id", F.lit(None).cast("string")))
+    new = s.limit(20).withColumn("offset", F.col("offset") + 1).unionByName(s.limit(2).withColumn("event_id", F.lit(None).cast("string")))
+    history, new = sinks.stage(history, scratch_path(spark, "t-history")), sinks.stage(new, scratch_path(spark, "t-new"))
+    ways = [sorted(r["event_id"] or "" for r in increment.refresh_silver(history, new, limit).collect()) for limit in (increment.BROADCAST_IDS, 0)]
+    assert [e for e in ways[0] if e] == [e for e in ways[1] if e] and ways[1].count("") == 6
+    assert len(ways[1]) > len(set(ways[1])) + 5
+
+
 def test_rows_shuffled_follow_the_increment(spark):
     """Of a long history only rows with a new id, and few others, leave the direct way."""
     history = spark.range(200_000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"))
