@@ -16,6 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.packing import with_packed_texts
 from strata.operators import silver as S
 from strata.schema import SILVER_COLUMNS
 
@@ -56,10 +57,14 @@ def _refresh_in_one_shuffle(history: DataFrame, new: DataFrame) -> DataFrame:
     """History rows whose id no new row has, and the latest row of every other id. A null
     id of history equals no new one."""
     both = history.select(*SILVER_COLUMNS, F.lit(False).alias("_new")).unionByName(new.select(*SILVER_COLUMNS, F.lit(True).alias("_new")))
-    apart = both.withColumn("_apart", F.col("event_id").isNull() & ~F.col("_new"))
-    same_id = Window.partitionBy("event_id", "_apart")
-    ranked = apart.withColumn("_rn", F.row_number().over(same_id.orderBy(*S.dedup_order()))).withColumn("_met", F.max("_new").over(same_id))
-    return ranked.where(~F.col("_met") | (F.col("_rn") == 1)).select(*SILVER_COLUMNS)
+
+    def latest(rows: DataFrame) -> DataFrame:
+        apart = rows.withColumn("_apart", F.col("event_id").isNull() & ~F.col("_new"))
+        same_id = Window.partitionBy("event_id", "_apart")
+        ranked = apart.withColumn("_rn", F.row_number().over(same_id.orderBy(*S.dedup_order()))).withColumn("_met", F.max("_new").over(same_id))
+        return ranked.where(~F.col("_met") | (F.col("_rn") == 1))
+
+    return with_packed_texts(both, latest, keep=("event_id",)).select(*SILVER_COLUMNS)
 
 
 def refresh_silver(history: DataFrame, new: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
@@ -69,4 +74,4 @@ def refresh_silver(history: DataFrame, new: DataFrame, broadcast_ids: int = BROA
     if n > broadcast_ids:
         return _refresh_in_one_shuffle(history, new)
     kept, old = possibly_superseded(history, new.select("event_id"), n, broadcast_ids)
-    return kept.select(*SILVER_COLUMNS).unionByName(S.deduplicate(old.select(*SILVER_COLUMNS).unionByName(new.select(*SILVER_COLUMNS))))
+    return kept.select(*SILVER_COLUMNS).unionByName(S.deduplicate(old.select(*SILVER_COLUMNS).unionByName(new.select(*SILVER_COLUMNS)), whole=True))
